@@ -5,7 +5,11 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Query -> module of this subpackage that defines a function of the query's name.
-MODULES: dict[str, str] = {}
+MODULES: dict[str, str] = {
+    "p2_found": "splitting",
+    "p7_ids": "encoding",
+    "p8_containers": "packing",
+}
 
 
 def queries() -> dict:
