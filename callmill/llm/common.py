@@ -6,6 +6,9 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from callmill.common import stored
 
 #: Characters of text that a Python step holds at once, besides a single longer text.
 TEXTS_AT_ONCE = 8_000_000
@@ -31,3 +34,22 @@ def map_texts(df: DataFrame, column: str, schema: str, f: Callable[[pa.RecordBat
                 yield out
 
     return df.mapInArrow(run, schema)
+
+
+def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """nodes(node) -> node, component: the least node that edges(a, b) connect it with.
+
+    Each round takes the least label of the neighbours, then the label's own label, and is written to the shared
+    folder; the number of rounds follows the logarithm of the longest path, not the data.
+    """
+    both = stored(edges.select("a", "b").where("a <> b").union(edges.select("b", "a").where("a <> b")).distinct(), "edges")
+    labels = stored(nodes.select("node", F.col("node").alias("component")), "labels")
+    while True:
+        least = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("least"))
+        step = labels.join(least, labels.node == least.a, "left").select("node", F.least("component", F.coalesce("least", "component")).alias("next"), "component")
+        step = stored(step, "labels")
+        own = step.select(F.col("node").alias("_n"), F.col("next").alias("_next"))
+        new = stored(step.join(own, step.next == own._n, "left").select("node", F.least("next", F.coalesce("_next", "next")).alias("component"), F.col("component").alias("old")), "labels")
+        if new.where("component <> old").isEmpty():
+            return new.select("node", "component")
+        labels = new.select("node", "component")
