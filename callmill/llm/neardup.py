@@ -1,13 +1,13 @@
 """Near-duplicate records with small edits (problem 6).
 
-Similarity is that of the sets of distinct three-word sequences. A text's fingerprint has 32 coordinates, each the least
+Similarity is that of the sets of distinct three-word sequences. A text's fingerprint has 48 coordinates, each the least
 of a permuted hash over its set, so that two texts agree in a coordinate as often as their sets are similar. Covering
-locality-sensitive hashing joins them: the coordinates form two planes of 4 x 4 points and every line of a plane (20 of
+locality-sensitive hashing joins them: the coordinates form three planes of 4 x 4 points and every line of a plane (20 of
 4 points, no two points on fewer or more than one line) is a mask. Whatever six points of a plane two fingerprints
 differ in, some line misses them all (a set that meets every line needs 2 * 4 - 1 = 7 points), so every pair within six
-differences in either plane collides in some table. Pairs that collide are compared exactly.
+differences in some plane collides in some table. Pairs that collide are compared exactly.
 
-Texts with equal sets are one class and are compared once; their rows are joined in at the end. Keys travel in blocks
+Texts with equal sets are one class, named by a 64-bit digest; it is compared once and its rows are joined in at the end. Keys travel in blocks
 of columns, one block for each bucket, so that a shuffle moves few rows. A key that many classes share is cut into
 stretches of members that are paired in separate tasks; no key is capped.
 
@@ -32,7 +32,7 @@ from callmill.llm.common import in_slices
 
 WORDS, LEAST_WORDS, LEAST_SIMILARITY = 3, 12, 0.6
 #: Points of a plane's side, a prime power of 2; planes; classes for one bucket of keys; members of a key paired in one go.
-SIDE, PLANES, CLASSES_A_BUCKET, STRETCH = 4, 2, 40_000, 1_000
+SIDE, PLANES, CLASSES_A_BUCKET, STRETCH = 4, 3, 40_000, 1_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -85,26 +85,37 @@ def _sets(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, g, np.searchsorted(own, np.arange(len(at)))
 
 
-def _classes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, digest of the set, for each row with enough words."""
-    schema = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("n", pa.int32())])
+def _source(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("_text")).where("id is not null and _text is not null")
+
+
+def _each_set(source: DataFrame, schema: str, f) -> DataFrame:
+    """f(ids, hashes, starts) -> record batch, over slices of the texts that have enough words."""
 
     def run(batches):
         for b in batches:
             for part in in_slices([b], "_text"):
                 at, g, starts = _sets(part.column("_text").to_pylist())
                 if len(at):
-                    digest = _mix(np.add.reduceat(_mix(g), starts)).view(np.int64)
-                    ids = part.column("id").to_numpy(zero_copy_only=False)[at]
-                    yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(digest), pa.array(np.diff(np.append(starts, len(g))), pa.int32())], schema=schema)
+                    yield f(part.column("id").to_numpy(zero_copy_only=False)[at], g, starts)
+
+    return source.mapInArrow(run, schema)
+
 
-    return df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("_text")).mapInArrow(run, "id bigint, digest bigint, n int")
+def digests(g: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each set, the same for equal sets."""
+    return _mix(np.add.reduceat(_mix(g), starts)).view(np.int64)
 
 
-def keys_of(g: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def classes(source: DataFrame) -> DataFrame:
+    """id, class for each row with enough words; equal sets have one class."""
+    return _each_set(source, "id bigint, class bigint", lambda ids, g, starts: pa.record_batch([pa.array(ids), pa.array(digests(g, starts))], names=["id", "class"])).distinct()
+
+
+def keys_of(g: np.ndarray, starts: np.ndarray, planes: int = PLANES) -> np.ndarray:
     """The keys of each set, a row for each mask."""
     rows = []
-    for plane in range(PLANES):
+    for plane in range(planes):
         points = np.empty((SIDE * SIDE, len(starts)), np.uint64)
         for i in range(SIDE * SIDE):
             seed = np.uint64((plane * SIDE * SIDE + i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
@@ -117,26 +128,24 @@ def keys_of(g: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.array(rows)
 
 
-def _packed_keys(representatives: DataFrame, buckets: int) -> DataFrame:
-    """bucket, keys, ids: blocks of columns, little-endian 64-bit numbers; each text's keys are spread over the buckets."""
+def _packed_keys(source: DataFrame, buckets: int, planes: int) -> DataFrame:
+    """bucket, keys, owners: blocks of columns. A class that a batch holds several times sends its keys once."""
 
-    def run(batches):
-        for b in batches:
-            for part in in_slices([b], "_text"):
-                at, g, starts = _sets(part.column("_text").to_pylist())
-                if not len(at):
-                    continue
-                ids = part.column("id").to_numpy(zero_copy_only=False)[at]
-                keys = keys_of(g, starts)
-                flat, owner = keys.ravel(), np.tile(ids, len(keys))
-                bucket = (flat % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                filled = np.flatnonzero(np.diff(edges))
-                cut = lambda x, k: x[order[edges[k] : edges[k + 1]]].tobytes()
-                yield pa.record_batch([pa.array(filled, pa.int32()), pa.array([cut(flat, k) for k in filled], pa.binary()), pa.array([cut(owner, k) for k in filled], pa.binary())], names=["bucket", "keys", "ids"])
+    def run(_, g, starts):
+        owner = digests(g, starts)
+        own, first = np.unique(owner, return_index=True)
+        keys = keys_of(g, starts, planes)[:, first]
+        flat, owner = keys.ravel(), np.tile(own, len(keys))
+        bucket = (flat % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        filled = np.flatnonzero(np.diff(edges))
+        # what the bucket leaves of a key is kept to 32 bits: a chance agreement is a candidate more, no error
+        flat = ((flat // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        cut = lambda x, k: x[order[edges[k] : edges[k + 1]]].tobytes()
+        return pa.record_batch([pa.array(filled, pa.int32()), pa.array([cut(flat, k) for k in filled], pa.binary()), pa.array([cut(owner, k) for k in filled], pa.binary())], names=["bucket", "keys", "owners"])
 
-    return representatives.mapInArrow(run, "bucket int, keys binary, ids binary")
+    return _each_set(source, "bucket int, keys binary, owners binary", run)
 
 
 def _paired(lefts, rights) -> pa.RecordBatch:
@@ -145,13 +154,16 @@ def _paired(lefts, rights) -> pa.RecordBatch:
 
 
 def _collisions(packed: DataFrame) -> DataFrame:
-    """The different pairs of ids that share a key."""
+    """The different pairs of classes that share a key."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
-        ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.int64)
+        bucket = table.column("bucket")[0].as_py()
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint32)
+        ids = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
         order = np.lexsort((ids, keys))
         keys, ids = keys[order], ids[order]
+        new = np.r_[True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])]
+        keys, ids = keys[new], ids[new]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         sizes = np.diff(np.r_[first, len(keys)])
         some = sizes > 1
@@ -167,12 +179,12 @@ def _collisions(packed: DataFrame) -> DataFrame:
         a = np.concatenate([k[0] for k in kinds]) if kinds else np.empty(0, np.int64)
         b = np.concatenate([k[1] for k in kinds]) if kinds else np.empty(0, np.int64)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.empty((2, 0), np.int64)
-        big = [(int(keys[s]), ids[s : s + n]) for s, n in zip(first[~near], sizes[~near])]
+        big = [(f"{bucket}-{keys[s]}", ids[s : s + n]) for s, n in zip(first[~near], sizes[~near])]
         stretches = [(k, n, x[i : i + STRETCH].tobytes()) for k, x in big for n, i in enumerate(range(0, len(x), STRETCH))]
         return pa.table(
             {
                 "a": pa.array([*pairs[0], *[None] * len(stretches)], pa.int64()), "b": pa.array([*pairs[1], *[None] * len(stretches)], pa.int64()),
-                "key": pa.array([None] * len(pairs[0]) + [str(k) for k, _, _ in stretches], pa.string()), "no": pa.array([None] * len(pairs[0]) + [n for _, n, _ in stretches], pa.int32()),
+                "key": pa.array([None] * len(pairs[0]) + [k for k, _, _ in stretches], pa.string()), "no": pa.array([None] * len(pairs[0]) + [n for _, n, _ in stretches], pa.int32()),
                 "members": pa.array([None] * len(pairs[0]) + [x for _, _, x in stretches], pa.binary()),
             }
         )
@@ -196,21 +208,21 @@ def _collisions(packed: DataFrame) -> DataFrame:
     return direct.union(blocks.mapInArrow(across, "a bigint, b bigint")).distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar enough. texts(id, _text)."""
-    # only texts of some pair travel, once as the left side of all their pairs
-    ends = texts.join(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "id", "left_semi")
+def _grams(source: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """class, grams for the classes of some pair, from one row of each class."""
+    ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    rows = members.join(ends, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id")).select("id")
 
-    def sets(batches):
-        for b in batches:
-            for part in in_slices([b], "_text"):
-                at, g, starts = _sets(part.column("_text").to_pylist())
-                ids = part.column("id").to_numpy(zero_copy_only=False)[at]
-                bounds = np.append(starts, len(g))
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["id", "grams"])
+    def sets(ids, g, starts):
+        bounds = np.append(starts, len(g))
+        return pa.record_batch([pa.array(digests(g, starts)), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["class", "grams"])
+
+    return _each_set(source.join(rows, "id", "left_semi"), "class bigint, grams binary", sets).dropDuplicates(["class"])
 
-    grams = ends.mapInArrow(sets, "id bigint, grams binary")
-    sided = pairs.join(grams.withColumnsRenamed({"id": "a", "grams": "x"}), "a").join(grams.withColumnsRenamed({"id": "b", "grams": "y"}), "b")
+
+def _verified(pairs: DataFrame, grams: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are similar enough."""
+    sided = pairs.join(grams.withColumnsRenamed({"class": "a", "grams": "x"}), "a").join(grams.withColumnsRenamed({"class": "b", "grams": "y"}), "b")
 
     def compare(batches):
         for batch in batches:
@@ -226,25 +238,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return sided.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
 
 
-def near_duplicates(df: DataFrame, key: str, text: str, least: float = LEAST_SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): members(id, rep) gives each row's class of equal sets, pairs(a, b) the similar classes by their rep."""
-    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("_text")).where("id is not null and _text is not null").dropDuplicates(["id"])
-    rows = stored(rows, "rows")
-    digests = _classes(rows, "id", "_text")
-    members = stored(digests.groupBy("digest", "n").agg(F.min("id").alias("rep"), F.collect_set("id").alias("ids")).select("rep", F.explode("ids").alias("id")), "members")
-    reps = members.where("id = rep").select("id")
-    texts = stored(rows.join(reps, "id"), "texts")
-    buckets = max(1, -(-texts.count() * len(lines()) * PLANES // (CLASSES_A_BUCKET * len(lines()))))
-    pairs = stored(_collisions(_packed_keys(texts, buckets)), "candidates")
-    return members, _verified(pairs, texts, least)
+def near_duplicates(df: DataFrame, key: str, text: str, least: float = LEAST_SIMILARITY, planes: int = PLANES) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): members(id, class) gives each row's class of equal sets, pairs(a, b) the similar classes, a < b.
+
+    Pairs beyond the guaranteed radius may collide nowhere. Of those, the ones with a common partner are found by
+    comparing the partners of each class with one another.
+    """
+    source = _source(df, key, text)
+    members = stored(classes(source), "members")
+    buckets = max(1, -(-members.count() * planes // CLASSES_A_BUCKET))
+    candidates = stored(_collisions(_packed_keys(source, buckets, planes)), "candidates")
+    grams = stored(_grams(source, members, candidates), "grams")
+    near = stored(_verified(candidates, grams, least), "near")
+    both = near.union(near.select("b", "a"))
+    partners = both.select(F.col("b").alias("m"), "a").join(both.select(F.col("a").alias("m"), "b"), "m").where("a < b").select("a", "b").distinct()
+    more = _verified(partners.join(candidates, ["a", "b"], "left_anti"), grams, least)
+    return members, near.union(more)
 
 
 def all_pairs(members: DataFrame, pairs: DataFrame) -> DataFrame:
     """id_a < id_b of all rows of one class or of two similar classes."""
-    x, y = members.withColumnsRenamed({"id": "ia", "rep": "a"}), members.withColumnsRenamed({"id": "ib", "rep": "b"})
-    across = pairs.join(x, "a").join(y, "b")
-    within = x.join(y, x.a == y.b).where("ia < ib")
-    return across.union(within.select(across.columns)).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
+    x, y = members.withColumnsRenamed({"id": "ia", "class": "a"}), members.withColumnsRenamed({"id": "ib", "class": "b"})
+    across = pairs.join(x, "a").join(y, "b").select("ia", "ib")
+    within = x.join(y, x.a == y.b).where("ia < ib").select("ia", "ib")
+    return across.union(within).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
