@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: Query -> module of this subpackage that defines a function of the query's name.
 MODULES: dict[str, str] = {
+    "p9_found": "sentences",
     "p1_found": "boilerplate",
     "p6_found": "neardup",
     "p3_found": "names",
