@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows up to which a table may be broadcast; larger ones are shuffled.
@@ -57,3 +57,16 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, by: Column, salt
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return left.join(right, [key, "_salt"], "left").drop("_salt")
+
+
+def numbered(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
+    """df with its rows' places, from 0, in the order of the columns: ranges are numbered apart and shifted by what lies before.
+
+    Rows that tie in all columns are numbered in any order. Only the ranges' sizes are gathered.
+    """
+    ranged = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    placed = ranged.withColumn("_local", local).join(F.broadcast(before.select("_range", "_before")), "_range")
+    return placed.withColumn(name, (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint")).drop("_range", "_local", "_before")

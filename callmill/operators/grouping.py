@@ -1,0 +1,45 @@
+"""Which documents of a source list belong together, by the plan of a resolver.
+
+The plan is small by contract (a source list has some tens of entries, and more than MOST groups are refused): groups
+are taken in order, each keeping the members that are known and not yet taken, and one left with fewer than two frees
+them again. That is sequential and runs on the driver; its result is a table that joins like any other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MOST = 10_000
+
+
+def resolve_groups(plan: list[list[str]], known: set[str]) -> tuple[dict[str, str], list[str]]:
+    """source -> group, and warnings."""
+    if len(plan) > MOST:
+        raise ValueError(f"a plan of more than {MOST} groups")
+    taken: dict[str, str] = {}
+    warnings: list[str] = []
+    accepted = 0
+    for number, wanted in enumerate(plan, 1):
+        fit = []
+        for source in wanted:
+            if source not in known:
+                warnings.append(f"group {number}: unknown source {source}")
+            elif source in taken:
+                warnings.append(f"group {number}: {source} is in {taken[source]}")
+            else:
+                fit.append(source)
+        if len(fit) < 2:
+            warnings.append(f"group {number}: fewer than two members, ignored")
+            continue
+        accepted += 1
+        taken.update(dict.fromkeys(fit, f"group-{accepted}"))
+    return taken, warnings
+
+
+def with_groups(rows: DataFrame, group_map: dict[str, str]) -> DataFrame:
+    """rows with group_id: the source's group, else the source itself."""
+    if len(group_map) > MOST * 100:
+        raise ValueError("a group map is small by contract")
+    side = rows.sparkSession.createDataFrame(list(group_map.items()), "source_id string, group_id string")
+    return rows.drop("group_id").join(F.broadcast(side), "source_id", "left").withColumn("group_id", F.coalesce("group_id", "source_id"))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from callmill.operators import instants
+from callmill.plans import oracle
+from callmill.plans import queries as q
 
-FLAGSHIP = "p5_found"
+FLAGSHIP = "evidence_check"
 
 
 def queries() -> dict:
-    return {"p5_found": instants.p5_found}
+    return dict(q.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
