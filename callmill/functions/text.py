@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space as Unicode has it, which Java's \\s does not cover.
 WS = r"[\t-\r\x{1c}-\x20\x{85}\p{Z}]"
@@ -18,7 +19,7 @@ LEAF_STOPWORDS = "of and the inc for vs".split()
 VISUAL_WORDS = "table figure fig. grid chart dashboard matrix caption heading panel view".split()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Compatibility composition, the one step that Spark has no expression for."""
     return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
