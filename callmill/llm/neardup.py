@@ -5,7 +5,8 @@ of a permuted hash over its set, so that two texts agree in a coordinate as ofte
 locality-sensitive hashing joins them: the coordinates form three planes of 4 x 4 points and every line of a plane (20 of
 4 points, no two points on fewer or more than one line) is a mask. Whatever six points of a plane two fingerprints
 differ in, some line misses them all (a set that meets every line needs 2 * 4 - 1 = 7 points), so every pair within six
-differences in some plane collides in some table. Pairs that collide are compared exactly.
+differences in some plane collides in some table. Pairs that collide are compared exactly, after those have been left
+out whose fingerprints agree in fewer points altogether than a pair within the radius does in one plane.
 
 Texts with equal sets are one class, named by a 64-bit digest; it is compared once and its rows are joined in at the end. Keys travel in blocks
 of columns, one block for each bucket, so that a shuffle moves few rows. A key that many classes share is cut into
@@ -24,7 +25,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmill.common import read, stored
@@ -32,7 +33,9 @@ from callmill.llm.common import in_slices
 
 WORDS, LEAST_WORDS, LEAST_SIMILARITY = 3, 12, 0.6
 #: Points of a plane's side, a prime power of 2; planes; classes for one bucket of keys; members of a key paired in one go.
-SIDE, PLANES, CLASSES_A_BUCKET, STRETCH = 4, 3, 40_000, 1_000
+SIDE, PLANES, CLASSES_A_BUCKET, STRETCH = 4, 3, 8_000, 1_000
+#: Bits of the filter that spares texts from a shuffle: 1 MB at any size of the data.
+SLOTS = 1 << 23
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -107,23 +110,33 @@ def digests(g: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return _mix(np.add.reduceat(_mix(g), starts)).view(np.int64)
 
 
-def classes(source: DataFrame) -> DataFrame:
-    """id, class for each row with enough words; equal sets have one class."""
-    return _each_set(source, "id bigint, class bigint", lambda ids, g, starts: pa.record_batch([pa.array(ids), pa.array(digests(g, starts))], names=["id", "class"])).distinct()
+def classes(source: DataFrame, planes: int = PLANES) -> DataFrame:
+    """id, class, sketch for each row with enough words; equal sets have one class. The sketch has a byte of each coordinate."""
+
+    def run(ids, g, starts):
+        sketch = np.ascontiguousarray((coordinates(g, starts, planes) & np.uint64(0xFF)).astype(np.uint8).T)
+        return pa.record_batch([pa.array(ids), pa.array(digests(g, starts)), pa.array([x.tobytes() for x in sketch], pa.binary())], names=["id", "class", "sketch"])
+
+    return _each_set(source, "id bigint, class bigint, sketch binary", run).dropDuplicates(["id"])
+
+
+def coordinates(g: np.ndarray, starts: np.ndarray, planes: int = PLANES) -> np.ndarray:
+    """The fingerprints: a row for each coordinate, a column for each set."""
+    points = np.empty((planes * SIDE * SIDE, len(starts)), np.uint64)
+    for i in range(len(points)):
+        x = g ^ np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+        points[i] = np.minimum.reduceat(x * np.uint64(0xD6E8FEB86659FD93) ^ (x >> np.uint64(32)), starts)
+    return _mix(points)
 
 
 def keys_of(g: np.ndarray, starts: np.ndarray, planes: int = PLANES) -> np.ndarray:
     """The keys of each set, a row for each mask."""
-    rows = []
+    points, rows = coordinates(g, starts, planes), []
     for plane in range(planes):
-        points = np.empty((SIDE * SIDE, len(starts)), np.uint64)
-        for i in range(SIDE * SIDE):
-            seed = np.uint64((plane * SIDE * SIDE + i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-            points[i] = np.minimum.reduceat((g ^ seed) * np.uint64(0xD6E8FEB86659FD93) ^ ((g ^ seed) >> np.uint64(32)), starts)
         for j, line in enumerate(lines()):
             key = np.full(len(starts), plane * 100 + j + 1, np.uint64)
             for p in line:
-                key = _mix(key + points[p])
+                key = _mix(key + points[plane * SIDE * SIDE + p])
             rows.append(key)
     return np.array(rows)
 
@@ -208,16 +221,56 @@ def _collisions(packed: DataFrame) -> DataFrame:
     return direct.union(blocks.mapInArrow(across, "a bigint, b bigint")).distinct()
 
 
+def _slot(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int")
+
+
+def _marked(ids: DataFrame) -> np.ndarray:
+    """A filter of fixed size, SLOTS bits, with the slots of the ids set. When full it lets all pass and saves nothing."""
+    words = ids.select(_slot("id").alias("s")).selectExpr("shiftright(s, 5) AS w", "shiftleft(1L, s & 31) AS b")
+    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).collect()
+    filled = np.zeros(SLOTS // 32, np.uint32)
+    filled[[r.w for r in found]] = [r.b for r in found]
+    return filled
+
+
 def _grams(source: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """class, grams for the classes of some pair, from one row of each class."""
+    """class, grams for the classes of some pair, from one row of each class.
+
+    Texts are not shuffled: the scan passes a filter of the wanted ids, and only grams go on to the exact join.
+    """
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    rows = members.join(ends, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id")).select("id")
+    rows = stored(members.join(ends, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id")), "wanted")
+    wanted = source.sparkSession.sparkContext.broadcast(_marked(rows))
+
+    def run(batches):
+        for b in batches:
+            slot = b.column("_slot").to_numpy(zero_copy_only=False)
+            b = b.filter(pa.array((wanted.value[slot >> 5] >> (slot & 31).astype(np.uint32) & 1).astype(bool)))
+            for part in in_slices([b], "_text") if b.num_rows else ():
+                at, g, starts = _sets(part.column("_text").to_pylist())
+                if len(at):
+                    bounds = np.append(starts, len(g))
+                    ids = part.column("id").to_numpy(zero_copy_only=False)[at]
+                    yield pa.record_batch([pa.array(ids), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["id", "grams"])
+
+    grams = source.withColumn("_slot", _slot("id")).mapInArrow(run, "id bigint, grams binary").dropDuplicates(["id"])
+    return grams.join(rows, "id").select("class", "grams")
 
-    def sets(ids, g, starts):
-        bounds = np.append(starts, len(g))
-        return pa.record_batch([pa.array(digests(g, starts)), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["class", "grams"])
 
-    return _each_set(source.join(rows, "id", "left_semi"), "class bigint, grams binary", sets).dropDuplicates(["class"])
+def _promising(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches agree in as many coordinates as any pair within the radius does in a plane."""
+    sketches = members.groupBy("class").agg(F.first("sketch").alias("sketch"))
+    sided = pairs.join(sketches.withColumnsRenamed({"class": "a", "sketch": "x"}), "a").join(sketches.withColumnsRenamed({"class": "b", "sketch": "y"}), "b")
+    least = SIDE * SIDE - (2 * SIDE - 2)
+
+    def compare(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in "xy")
+                yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
+
+    return sided.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, grams: DataFrame, least: float) -> DataFrame:
@@ -245,15 +298,15 @@ def near_duplicates(df: DataFrame, key: str, text: str, least: float = LEAST_SIM
     comparing the partners of each class with one another.
     """
     source = _source(df, key, text)
-    members = stored(classes(source), "members")
+    members = stored(classes(source, planes), "members")
     buckets = max(1, -(-members.count() * planes // CLASSES_A_BUCKET))
-    candidates = stored(_collisions(_packed_keys(source, buckets, planes)), "candidates")
+    candidates = stored(_promising(_collisions(_packed_keys(source, buckets, planes)), members), "candidates")
     grams = stored(_grams(source, members, candidates), "grams")
     near = stored(_verified(candidates, grams, least), "near")
     both = near.union(near.select("b", "a"))
     partners = both.select(F.col("b").alias("m"), "a").join(both.select(F.col("a").alias("m"), "b"), "m").where("a < b").select("a", "b").distinct()
     more = _verified(partners.join(candidates, ["a", "b"], "left_anti"), grams, least)
-    return members, near.union(more)
+    return members.select("id", "class"), near.union(more)
 
 
 def all_pairs(members: DataFrame, pairs: DataFrame) -> DataFrame:
