@@ -47,13 +47,16 @@ def once(df: DataFrame, *keys: str) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, by: Column, salts: int = 16) -> DataFrame:
+def salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, by: Column, salts: int = 16, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join to a lookup that is unique by key; rows of a hot key are spread over salts by their own value `by`.
 
-    The lookup is repeated `salts` times, so it should be smaller than the rows by about that factor.
+    A lookup of at most broadcast_rows rows is broadcast, which suits short values only: pass 0 where it holds texts.
+    The lookup is repeated `salts` times; with salts of 1 it isn't, and adaptive execution splits hot partitions.
     """
-    if small(lookup):
+    if broadcast_rows and small(lookup, broadcast_rows):
         return rows.join(F.broadcast(lookup), key, "left")
+    if salts == 1:
+        return rows.join(lookup, key, "left")
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return left.join(right, [key, "_salt"], "left").drop("_salt")

@@ -1,7 +1,7 @@
 """Evidence checks: is a quote in its source, in order, or do its key tokens occur there?
 
-Normalised text and tokens are made once for each source, then joined to its quotes; the quotes of a hot source are
-spread by salting. Defined results: a null or blank text fails with evidence_check_failed; null quotes have no spans
+Normalised text and tokens are made once for each source, then joined to its quotes in a shuffle, whose hot partitions
+adaptive execution splits. Defined results: a null or blank text fails with evidence_check_failed; null quotes have no spans
 and are not found; repeated rows are checked as often as they occur.
 """
 
@@ -27,28 +27,43 @@ def quote_of(spans: Column) -> Column:
 def prepared(sources: DataFrame, text: str, compose: bool = False) -> DataFrame:
     """sources with norm_text and token_set, stored: the costly part, once for each source."""
     kept = F.coalesce(F.col(text), F.lit(""))
+    # by texts, not by bytes: the work is in the expressions
+    spark = sources.sparkSession
+    sources = sources.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "source_id")
     return stored(sources.withColumn("norm_text", normalize_quote(kept, compose)).withColumn("token_set", F.array_distinct(meaningful_tokens(kept, compose))), "sources")
 
 
-def verbatim(spans: Column, norm_text: Column) -> Column:
-    """Reason why the spans are not in the text one after the other, or null where they are. Unrolled: at most three spans."""
-    clean = F.filter(F.transform(spans, lambda s: F.struct(normalize_quote(s).alias("n"), s.alias("raw"))), lambda s: F.coalesce(s["n"], F.lit("")) != "")
-    at = lambda i: F.coalesce(F.try_element_at(F.transform(clean, lambda s: s["n"]), F.lit(i)), F.lit(""))
-    count = F.size(clean)
-    short = F.exists(clean, lambda s: F.size(meaningful_tokens(s["raw"])) < LEAST_SPAN_TOKENS)
-    one, two, three = at(1), at(2), at(3)
-    p1 = F.position(one, norm_text)
-    p2 = F.position(two, norm_text, p1 + F.length(one))
-    p3 = F.position(three, norm_text, p2 + F.length(two))
-    anywhere = lambda x: F.contains(norm_text, x)
-    missing = lambda x: F.when(anywhere(x), "out_of_order").otherwise("not_found")
+def with_spans(df: DataFrame, spans: Column) -> DataFrame:
+    """Adds _spans, the normalised spans that are not empty, and _thin: whether one of them has too few meaningful tokens.
+
+    Columns of their own, so that the normalisation runs once for each row however often the check reads it.
+    """
+    clean = F.filter(F.transform(spans, lambda s: F.struct(normalize_quote(s).alias("n"), F.size(meaningful_tokens(s)).alias("k"))), lambda s: F.coalesce(s["n"], F.lit("")) != "")
+    x = df.withColumn("_clean", clean)
+    return x.withColumn("_spans", F.transform("_clean", lambda s: s["n"])).withColumn("_thin", F.exists("_clean", lambda s: s["k"] < LEAST_SPAN_TOKENS)).drop("_clean")
+
+
+def _in_order(n: int) -> Column:
+    """A pattern of the first n spans one after the other: each taken where it first occurs, without going back."""
+    one = lambda i: F.concat(F.lit(r"(?>.*?\Q"), F.replace(F.coalesce(F.try_element_at("_spans", F.lit(i)), F.lit("")), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)"))
+    return F.concat(F.lit("(?s)^"), *[one(i + 1) for i in range(n)])
+
+
+def verbatim(norm_text: Column) -> Column:
+    """Reason why _spans are not in the text one after the other, or null where they are.
+
+    A single span, the usual case, is a plain search of bytes; only several ones need the pattern.
+    """
+    at = lambda i: F.coalesce(F.try_element_at("_spans", F.lit(i)), F.lit(""))
+    count, has = F.size("_spans"), lambda x: F.contains(norm_text, x)
+    missing = lambda x: F.when(has(x), "out_of_order").otherwise("not_found")
     return (
         F.when(F.coalesce(count, F.lit(0)) <= 0, "empty")
         .when(count > MOST_SPANS, "too_many_spans")
-        .when((count > 1) & short, "span_too_short")
-        .when(p1 == 0, "not_found")
-        .when((count > 1) & (p2 == 0), missing(two))
-        .when((count > 2) & (p3 == 0), missing(three))
+        .when((count > 1) & F.col("_thin"), "span_too_short")
+        .when(~has(at(1)), "not_found")
+        .when((count > 1) & ~(has(at(2)) & F.regexp_like(norm_text, _in_order(2))), missing(at(2)))
+        .when((count > 2) & ~(has(at(3)) & F.regexp_like(norm_text, _in_order(3))), missing(at(3)))
     )
 
 
@@ -65,8 +80,9 @@ def check(rows: DataFrame, sources: DataFrame, by: str) -> DataFrame:
     that reads scrambled its key tokens must occur; tables and pictures need a specific locator and key tokens.
     """
     side = sources.select("source_id", "norm_text", "token_set", "scrambled_pages")
-    x = salted_lookup(rows.drop("norm_text", "token_set", "scrambled_pages"), side, "source_id", F.col(by))
-    tokens = meaningful_tokens(F.col("evidence_quote"))
+    ready = with_spans(rows.drop("norm_text", "token_set", "scrambled_pages"), spans_of(F.col("evidence_quote"))).withColumn("_tokens", meaningful_tokens(F.col("evidence_quote")))
+    x = salted_lookup(ready, side, "source_id", F.col(by), salts=1, broadcast_rows=0)
+    tokens = F.col("_tokens")
     overlap = tokens_overlap(tokens, F.coalesce("token_set", F.array().cast("array<string>")))
     prose = F.coalesce(F.col("evidence_kind"), F.lit("prose")) == "prose"
     degraded = prose & F.coalesce(F.array_contains(F.coalesce("scrambled_pages", F.array().cast("array<int>")), cited_page(F.col("locator"))), F.lit(False))
@@ -74,8 +90,8 @@ def check(rows: DataFrame, sources: DataFrame, by: str) -> DataFrame:
     reason = (
         F.when(blank, "evidence_check_failed")
         .when(degraded, F.when(~overlap, "quote_not_found"))
-        .when(prose, F.when(verbatim(spans_of(F.col("evidence_quote")), F.col("norm_text")).isNotNull(), "quote_not_found"))
+        .when(prose, F.when(verbatim(F.col("norm_text")).isNotNull(), "quote_not_found"))
         .when(~visual_locator(F.col("locator")), "visual_locator_missing")
         .when((F.size(tokens) == 0) | ~overlap, "evidence_check_failed")
     )
-    return x.withColumn("ev_reason", reason).withColumn("ev_passed", reason.isNull()).withColumn("degraded", degraded & ~blank).drop("norm_text", "token_set", "scrambled_pages")
+    return x.withColumn("ev_reason", reason).withColumn("ev_passed", reason.isNull()).withColumn("degraded", degraded & ~blank).drop("norm_text", "token_set", "scrambled_pages", "_spans", "_thin", "_tokens")

@@ -82,8 +82,9 @@ def quote_tokens(spark, d):
 def verbatim_evidence(spark, d):
     sources = evidence.prepared(_snapshots(spark, d, "snapshot_text", "scrambled_pages"), "snapshot_text").select("source_id", "norm_text")
     rows = _failures(spark, d, "source_id", "evidence_quote").where("source_id is not null and evidence_quote is not null")
-    joined = evidence.salted_lookup(rows, sources, "source_id", F.col("failure_id"))
-    reason = evidence.verbatim(evidence.spans_of(F.col("evidence_quote")), F.coalesce("norm_text", F.lit("")))
+    ready = evidence.with_spans(rows, evidence.spans_of(F.col("evidence_quote")))
+    joined = evidence.salted_lookup(ready, sources, "source_id", F.col("failure_id"), salts=1, broadcast_rows=0)
+    reason = evidence.verbatim(F.coalesce("norm_text", F.lit("")))
     return joined.select("failure_id", F.coalesce(reason, F.lit("found")).alias("result"))
 
 

@@ -49,7 +49,7 @@ def test_numbered(spark):
 def test_verbatim(spark, quote, wanted):
     text = "alpha beta gamma delta, then epsilon zeta theta iota."
     df = spark.createDataFrame([(quote, text)], "q string, t string")
-    assert df.select(evidence.verbatim(evidence.spans_of(F.col("q")), F.col("t")).alias("r")).first().r == wanted
+    assert evidence.with_spans(df, evidence.spans_of(F.col("q"))).select(evidence.verbatim(F.col("t")).alias("r")).first().r == wanted
 
 
 def test_evidence_check(spark):
