@@ -38,12 +38,17 @@ def normalize_quote(text: Column, compose: bool = False) -> Column:
     x = F.regexp_replace(x, rf"{WS}+", " ")
     for _ in range(2):  # a letter between two hyphens belongs to both
         x = F.regexp_replace(x, rf"({WORD})-({WORD})", "$1$2")
-    return strip(x)
+    return F.trim(x)  # only single spaces are left
 
 
 def meaningful_tokens(text: Column, compose: bool = False) -> Column:
     """Tokens of at least three characters that are no stopwords, repeats kept. Null text gives an empty array."""
-    found = F.regexp_extract_all(F.lower(normalize_quote(text, compose)), F.lit(r"[a-z0-9][a-z0-9-]{2,}"), F.lit(0))
+    return tokens_of(normalize_quote(text, compose))
+
+
+def tokens_of(normalized: Column) -> Column:
+    """The same of a text that is normalised already."""
+    found = F.regexp_extract_all(F.lower(normalized), F.lit(r"[a-z0-9][a-z0-9-]{2,}"), F.lit(0))
     return F.coalesce(F.filter(found, lambda t: ~t.isin(STOPWORDS)), F.array().cast("array<string>"))
 
 

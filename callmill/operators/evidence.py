@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmill.common import salted_lookup, stored
-from callmill.functions.text import cited_page, meaningful_tokens, normalize_quote, strip, visual_locator
+from callmill.functions.text import cited_page, meaningful_tokens, normalize_quote, tokens_of, visual_locator
 
 SPAN_MARK, MOST_SPANS, LEAST_SPAN_TOKENS, LEAST_OVERLAP = " ... ", 3, 4, 2
 
@@ -30,7 +30,7 @@ def prepared(sources: DataFrame, text: str, compose: bool = False) -> DataFrame:
     # by texts, not by bytes: the work is in the expressions
     spark = sources.sparkSession
     sources = sources.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "source_id")
-    return stored(sources.withColumn("norm_text", normalize_quote(kept, compose)).withColumn("token_set", F.array_distinct(meaningful_tokens(kept, compose))), "sources")
+    return stored(sources.withColumn("norm_text", normalize_quote(kept, compose)).withColumn("token_set", F.array_distinct(tokens_of(F.col("norm_text")))), "sources")
 
 
 def with_spans(df: DataFrame, spans: Column) -> DataFrame:
@@ -38,9 +38,8 @@ def with_spans(df: DataFrame, spans: Column) -> DataFrame:
 
     Columns of their own, so that the normalisation runs once for each row however often the check reads it.
     """
-    clean = F.filter(F.transform(spans, lambda s: F.struct(normalize_quote(s).alias("n"), F.size(meaningful_tokens(s)).alias("k"))), lambda s: F.coalesce(s["n"], F.lit("")) != "")
-    x = df.withColumn("_clean", clean)
-    return x.withColumn("_spans", F.transform("_clean", lambda s: s["n"])).withColumn("_thin", F.exists("_clean", lambda s: s["k"] < LEAST_SPAN_TOKENS)).drop("_clean")
+    x = df.withColumn("_spans", F.filter(F.transform(spans, lambda s: normalize_quote(s)), lambda s: F.coalesce(s, F.lit("")) != ""))
+    return x.withColumn("_thin", F.exists("_spans", lambda s: F.size(tokens_of(s)) < LEAST_SPAN_TOKENS))
 
 
 def _in_order(n: int) -> Column:
@@ -86,7 +85,7 @@ def check(rows: DataFrame, sources: DataFrame, by: str) -> DataFrame:
     overlap = tokens_overlap(tokens, F.coalesce("token_set", F.array().cast("array<string>")))
     prose = F.coalesce(F.col("evidence_kind"), F.lit("prose")) == "prose"
     degraded = prose & F.coalesce(F.array_contains(F.coalesce("scrambled_pages", F.array().cast("array<int>")), cited_page(F.col("locator"))), F.lit(False))
-    blank = strip(F.coalesce("norm_text", F.lit(""))) == ""
+    blank = F.coalesce("norm_text", F.lit("")) == ""
     reason = (
         F.when(blank, "evidence_check_failed")
         .when(degraded, F.when(~overlap, "quote_not_found"))
