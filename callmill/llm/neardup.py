@@ -1,11 +1,12 @@
 """Near-duplicate records with small edits (problem 6).
 
-Similarity is that of the sets of distinct three-word sequences. A text's fingerprint has 48 coordinates, each the least
+Similarity is that of the sets of distinct three-word sequences. A text's fingerprint has 128 coordinates, each the least
 of a permuted hash over its set, so that two texts agree in a coordinate as often as their sets are similar. Covering
-locality-sensitive hashing joins them: the coordinates form three planes of 4 x 4 points and every line of a plane (20 of
+locality-sensitive hashing joins them: the coordinates form eight planes of 4 x 4 points and every line of a plane (20 of
 4 points, no two points on fewer or more than one line) is a mask. Whatever six points of a plane two fingerprints
 differ in, some line misses them all (a set that meets every line needs 2 * 4 - 1 = 7 points), so every pair within six
-differences in some plane collides in some table. Pairs that collide are compared exactly, after those have been left
+differences in some plane collides in some table. A pair at a similarity of 0.6 misses one plane with a probability of
+0.171 and all eight with 7e-7. Pairs that collide are compared exactly, after those have been left
 out whose fingerprints agree in fewer points altogether than a pair within the radius does in one plane.
 
 Texts with equal sets are one class, named by a 64-bit digest; it is compared once and its rows are joined in at the end. Keys travel in blocks
@@ -33,7 +34,7 @@ from callmill.llm.common import in_slices
 
 WORDS, LEAST_WORDS, LEAST_SIMILARITY = 3, 12, 0.6
 #: Points of a plane's side, a prime power of 2; planes; classes for one bucket of keys; members of a key paired in one go.
-SIDE, PLANES, CLASSES_A_BUCKET, STRETCH = 4, 3, 8_000, 1_000
+SIDE, PLANES, CLASSES_A_BUCKET, STRETCH = 4, 8, 8_000, 1_000
 #: Bits of the filter that spares texts from a shuffle: 1 MB at any size of the data.
 SLOTS = 1 << 23
 _WORD = re.compile(r"[^\W_]+")
