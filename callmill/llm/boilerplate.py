@@ -3,8 +3,9 @@
 A page's text is taken as flat lines. Each line is described by its words and its link density, by those of its
 neighbours, and by where it stands, and a decision tree trained on a small labelled table (labelled_pages.txt) decides
 whether it belongs to the article. Plain text has no links, so a line's link density is the share of its parts that
-stand alone, as a link does, on many pages of the corpus; these frequencies are counted over all pages. Only parts on
-at least SHARE of all pages are kept, which bounds their number to the lines of a mean page over SHARE at any scale.
+stand alone, as a link does, on other pages: on two of its host, or on LINK of all. These are numbers of pages, so a
+small host's furniture counts alike in a corpus of any size. They are counted by host and over all pages, stay a table,
+and are joined to the pages that have the parts. Pages of a host with the same lines count once.
 
 Defined results: null and empty texts have no lines; blank lines are counted and never named; repeated rows of a
 source count once; a page without address has no title line and is judged by the rest. Empty tables give no rows.
@@ -26,12 +27,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmill.common import read
+from callmill.common import read, stored
 from callmill.llm.common import map_texts
 
 TABLE = Path(__file__).with_name("labelled_pages.txt")
-#: Share of pages from which a part counts as repeated, and the tree's size.
-SHARE, DEPTH, LEAST_ROWS = 0.0005, 9, 4
+#: Pages, of a host or of all, from which a part counts as a link, and the tree's size.
+HOST_LINK, LINK, DEPTH, LEAST_ROWS = 2, 3, 9, 4
 #: Words from which a line with an end mark counts as a paragraph.
 PARAGRAPH = 12
 
@@ -51,10 +52,27 @@ def parts(line: str) -> list[str]:
     return [x for x in _PARTS.split(_BULLET.sub("", line).strip()) if x]
 
 
+def part_key(part: str) -> int:
+    return xxhash.xxh3_64_intdigest(fold(part)) >> 1
+
+
+def host_of(url: str | None) -> str:
+    """The address's host, empty without one."""
+    found = re.match(r"\w+://([^/?#]*)", url or "")
+    return found[1].lower() if found else ""
+
+
+def page_keys(lines: list[str]) -> tuple[int, list[int], list[int]]:
+    """(number of the page's content, keys it counts for, keys its features ask for)."""
+    own = sorted({k for x in lines if x.strip() for k in keys(x)})
+    asked = sorted({*own, *(part_key(p) for x in lines if x.strip() for p in parts(x))})
+    return xxhash.xxh3_64_intdigest(",".join(map(str, own))) >> 1, own, asked
+
+
 def keys(line: str) -> list[int]:
     """What is counted of a line: itself, and what stands before a colon."""
     note = _NOTE.match(line.strip())
-    return [xxhash.xxh3_64_intdigest(fold(line)) >> 1, *([xxhash.xxh3_64_intdigest(fold(note[1]) + ":") >> 1] if note else [])]
+    return [part_key(line), *([xxhash.xxh3_64_intdigest(fold(note[1]) + ":") >> 1] if note else [])]
 
 
 def n_words(line: str) -> float:
@@ -68,13 +86,24 @@ def slug(text: str) -> str:
 
 
 class Corpus:
-    """Shares of repeated parts, and the words' log-odds of the labelled table."""
+    """What a page's features need: the pages that have each of its parts (of all, of its host), and the words' log-odds."""
 
-    def __init__(self, shares: dict[int, float], odds: dict[str, float]):
-        self.shares, self.odds = shares, odds
+    def __init__(self, counts: dict[int, tuple[int, int]], odds: dict[str, float], total: int = 1, of_host: int = 1):
+        self.counts, self.odds, self.total, self.of_host = counts, odds, total, of_host
 
     def share(self, key: int) -> float:
-        return self.shares.get(key, 0.0)
+        """Share of all pages, 0 for a part of one page only."""
+        n = self.counts.get(key, (0, 0))[0]
+        return n / self.total if n > 1 else 0.0
+
+    def on_host(self, key: int) -> float:
+        """Share of the host's other pages."""
+        n = self.counts.get(key, (0, 0))[1]
+        return (n - 1) / (self.of_host - 1) if n > 1 and self.of_host > 1 else 0.0
+
+    def link(self, key: int) -> bool:
+        n, own = self.counts.get(key, (0, 0))
+        return own >= HOST_LINK or n >= LINK
 
 
 def words(line: str, above: str = "") -> list[str]:
@@ -85,7 +114,7 @@ def words(line: str, above: str = "") -> list[str]:
 
 
 NAMES = (
-    "words chars marked share link parts title since_title before_title note_share odds most_odds least_odds sum_odds note_odds bullet table digits capitals "
+    "words chars marked share host link parts title since_title before_title note_share odds most_odds least_odds sum_odds note_odds bullet table digits capitals "
     "words_1 words_2 words1 words2 link_1 link_2 link1 link2 share_1 share1 marked_1 marked1 odds_1 odds1 blank_before blank_after "
     "index left paragraphs_before paragraphs_after run_length run_place run_share run_link run_odds run_special part_of_title"
 ).split()
@@ -101,15 +130,14 @@ def features(url: str | None, lines: list[str], corpus: Corpus) -> list[tuple[in
     for i in at:
         line = lines[i].strip()
         ks, ps = keys(line), parts(line)
-        known = [corpus.share(xxhash.xxh3_64_intdigest(fold(p)) >> 1) for p in ps]
-        link = sum(k > 2 * SHARE for k in known) / len(ps) if ps else 0.0
+        link = sum(corpus.link(part_key(p)) for p in ps) / len(ps) if ps else 0.0
         above = lines[i - 1].strip() if i else ""
         odd = [corpus.odds[w] for w in words(line, above) if w in corpus.odds]
         special = [corpus.odds[w] for w in words(line, above) if w in corpus.odds and (w[-1:] == ":" or w[:6] == "under ")]
         name = slug(line)
         rows.append(
             {
-                "words": n_words(line), "chars": len(line), "marked": float(bool(_END.search(line))), "share": math.log10(corpus.share(ks[0]) + 1e-4), "link": link, "parts": len(ps),
+                "words": n_words(line), "chars": len(line), "marked": float(bool(_END.search(line))), "share": math.log10(corpus.share(ks[0]) + 1e-4), "host": corpus.on_host(ks[0]), "link": link, "parts": len(ps),
                 "title": float(bool(name) and name == address), "note_share": math.log10(corpus.share(ks[1]) + 1e-4) if len(ks) > 1 else -5.0, "odds": sum(odd) / len(odd) if odd else 0.0, "most_odds": max(odd, default=0.0), "least_odds": min(odd, default=0.0), "sum_odds": sum(odd), "note_odds": max(special, key=abs, default=0.0),
                 "bullet": float(bool(_BULLET.match(line))), "table": float(len(ps) > 1 and any(c.isdigit() for c in line)), "digits": sum(c.isdigit() for c in line) / len(line),
                 "capitals": sum(w[:1].isupper() for w in line.split()) / max(1, len(line.split())), "blank_before": float(i == 0 or not lines[i - 1].strip()), "blank_after": float(i + 1 >= len(lines) or not lines[i + 1].strip()),
@@ -171,38 +199,58 @@ def word_odds() -> dict[str, float]:
     return {w: math.log((by[1][w] + 0.5) / (n1 + 1)) - math.log((by[0][w] + 0.5) / (n0 + 1)) for w, n in pages.items() if n > 1}
 
 
-def shares(pages: DataFrame) -> dict[int, float]:
-    """Share of pages with each repeated part, the labelled pages among them."""
+def counted(pages: DataFrame) -> tuple[DataFrame, int]:
+    """(source_id, label, of_host, keys, alls, hosts; number of pages): for each page, and each labelled page by its number,
+    the pages of its host, and of each part that more than one page has the pages of all and of its host.
+    """
+    spark = pages.sparkSession
+    kinds = "source_id string, label int, host string, page bigint, own array<bigint>, asked array<bigint>"
+    ints = pa.list_(pa.int64())
+    schema = pa.schema([("source_id", pa.string()), ("label", pa.int32()), ("host", pa.string()), ("page", pa.int64()), ("own", ints), ("asked", ints)])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [k for t in batch.column("snapshot_text").to_pylist() for k in {k for x in t.split("\n") if x.strip() for k in keys(x)}]
-        return pa.record_batch([pa.array(found, pa.int64())], names=["key"])
+        rows = [(s, None, host_of(u), *page_keys(t.split("\n"))) for s, u, t in zip(*(batch.column(c).to_pylist() for c in ("source_id", "resolved_url", "snapshot_text")))]
+        return pa.record_batch([pa.array([r[k] for r in rows], x.type) for k, x in enumerate(schema)], schema=schema)
+
+    known = spark.createDataFrame([(None, n, host_of(url), *page_keys(lines)) for n, (url, lines, _) in enumerate(labelled())], kinds)
+    found = stored(map_texts(pages.select("source_id", "resolved_url", "snapshot_text"), "snapshot_text", kinds, run).union(known), "page_keys")
+    different = found.select("host", "page", "own").dropDuplicates(["host", "page"])
+    of_host = stored(different.groupBy("host").agg(F.count("*").alias("of_host")), "host_pages")
+    by_host = stored(different.select("host", F.explode("own").alias("key")).groupBy("host", "key").agg(F.count("*").alias("h")), "host_parts")
+    by_all = by_host.groupBy("key").agg(F.sum("h").alias("n")).where("n > 1")
+    asked = found.select("source_id", "label", "host", F.explode("asked").alias("key")).join(by_all, "key").join(by_host, ["host", "key"], "left")
+    lists = asked.groupBy(F.col("source_id").alias("_source"), F.col("label").alias("_label")).agg(F.collect_list(F.struct("key", "n", F.coalesce("h", F.lit(0)).alias("h"))).alias("x"))
+    match = F.col("source_id").eqNullSafe(F.col("_source")) & F.col("label").eqNullSafe(F.col("_label"))
+    out = found.select("source_id", "label", "host").join(lists, match, "left").select("source_id", "label", "host", F.col("x.key").alias("keys"), F.col("x.n").alias("alls"), F.col("x.h").alias("hosts"))
+    total = of_host.agg(F.coalesce(F.sum("of_host"), F.lit(0))).first()[0]
+    return stored(out.join(of_host, "host").drop("host"), "page_counts"), total
+
 
-    own = Counter(k for _, lines, _ in labelled() for k in {k for x in lines if x.strip() for k in keys(x)})
-    total = pages.count() + len(labelled())
-    counts = map_texts(pages.select("snapshot_text"), "snapshot_text", "key bigint", run).groupBy("key").agg(F.count("*").alias("n"))
-    least = max(2, SHARE * total)
-    found = {r.key: r.n for r in counts.where(F.col("n") >= least).collect()}
-    return {k: (found.get(k, 0) + own.get(k, 0)) / total for k in found.keys() | {k for k, n in own.items() if n >= least}}
+def of_page(odds: dict[str, float], total: int, of_host: int, ks: list | None, alls: list | None, hosts: list | None) -> Corpus:
+    return Corpus({k: (n, h) for k, n, h in zip(ks or (), alls or (), hosts or ())}, odds, total, of_host)
 
 
-def train(spark: SparkSession, corpus: Corpus) -> DecisionTreeClassificationModel:
-    rows = [(f, float(label[i])) for url, lines, label in labelled() for i, f in features(url, lines, corpus)]
+def train(spark: SparkSession, corpora: dict[int, Corpus]) -> DecisionTreeClassificationModel:
+    """The tree of the labelled pages, each described by its own counts."""
+    rows = [(f, float(label[i])) for n, (url, lines, label) in enumerate(labelled()) for i, f in features(url, lines, corpora[n])]
     table = spark.createDataFrame(rows, "f array<double>, label double").select(array_to_vector("f").alias("features"), "label").coalesce(1)
     return DecisionTreeClassifier(maxDepth=DEPTH, minInstancesPerNode=LEAST_ROWS, maxBins=64, seed=7).fit(table)
 
 
 def boilerplate_lines(pages: DataFrame) -> DataFrame:
     """pages(source_id, resolved_url, snapshot_text), one row for each source -> source_id, line_no of what is not article."""
-    corpus = Corpus(shares(pages), word_odds())
-    model = train(pages.sparkSession, corpus)
+    odds, (counts, total) = word_odds(), counted(pages)
+    columns = ("of_host", "keys", "alls", "hosts")
+    model = train(pages.sparkSession, {r.label: of_page(odds, total, *(r[c] for c in columns)) for r in counts.where("label is not null").collect()})
     schema = pa.schema([("source_id", pa.string()), ("line_no", pa.int32()), ("f", pa.list_(pa.float64()))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [(s, i, f) for s, u, t in zip(*(batch.column(c).to_pylist() for c in ("source_id", "resolved_url", "snapshot_text"))) for i, f in features(u, t.split("\n"), corpus)]
+        given = zip(*(batch.column(c).to_pylist() for c in ("source_id", "resolved_url", "snapshot_text", *columns)))
+        rows = [(s, i, f) for s, u, t, *c in given for i, f in features(u, t.split("\n"), of_page(odds, total, *c))]
         return pa.record_batch([pa.array([r[k] for r in rows], x.type) for k, x in enumerate(schema)], schema=schema)
 
-    described = map_texts(pages.select("source_id", "resolved_url", "snapshot_text"), "snapshot_text", "source_id string, line_no int, f array<double>", run)
+    own = pages.select("source_id", "resolved_url", "snapshot_text").join(counts.where("label is null").drop("label"), "source_id")
+    described = map_texts(own, "snapshot_text", "source_id string, line_no int, f array<double>", run)
     return model.transform(described.withColumn("features", array_to_vector("f"))).where("prediction = 1").select("source_id", "line_no")
 
 

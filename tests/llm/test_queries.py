@@ -222,3 +222,17 @@ def test_sentence_model_is_bounded_by_full_counts(spark, monkeypatch):
     monkeypatch.setattr(sentences, "MOST_GRAMS", 12)
     made = sentences.fit_all(spark.createDataFrame([(t,) for t in texts], "_text string"))
     assert 0 < sum(len(h) > 0 for h, _ in made.follow) <= 12 and all(n >= 20 for (h, _), n in made.follow.items() if h)
+
+
+def test_boilerplate_counts_small_hosts_at_any_size(spark):
+    """A part on three of 4,000 pages, all of one host, is a link there, as it is among few pages; a part of one page is none."""
+    pages = [(f"s{i}", f"https://h{i}.example/a", f"Own line {chr(97 + i % 26)}{i}x\nUnlike words {'abcdefghij'[i % 10] * (i // 10 + 1)} here") for i in range(3_997)]
+    pages += [(f"t{i}", "https://small.example/a", f"Small host partners\nOnly {'xyz'[i]} says this") for i in range(3)]
+    rows = spark.createDataFrame(pages, "source_id string, resolved_url string, snapshot_text string")
+    counts, total = boilerplate.counted(rows)
+    assert total >= 4_000
+    for r in counts.where("source_id like 't%'").collect():
+        corpus = boilerplate.of_page({}, total, r.of_host, r["keys"], r.alls, r.hosts)
+        place = boilerplate.NAMES.index("link")
+        lines = dict(boilerplate.features("https://small.example/a", ["Small host partners", f"Only {'xyz'[int(r.source_id[1])]} says this"], corpus))
+        assert lines[0][place] == 1.0 and lines[1][place] == 0.0 and lines[0][boilerplate.NAMES.index("host")] == 1.0
