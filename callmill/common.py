@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, DatetimeType, NumericType, StringType
 
 #: Rows up to which a table may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 100_000
+#: Bytes of its values up to which a table may be broadcast.
+BROADCAST_BYTES = 16_000_000
+#: Spark's setting by which a finished write drops its shuffle files.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,25 +23,52 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a local session gets a new one and a cluster an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = tempfile.mkdtemp(prefix="callmill-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="callmill-"))
+        found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
+#: Folders that stored() has written in this process and release() has not removed.
+_WRITTEN: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once to the shared folder and read again: cuts lineage and survives lost executors."""
+    """df written once to the shared folder and read again: cuts lineage and survives lost executors.
+
+    The shuffle files of the write go with it, since nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True where df has at most limit rows; reads no more than limit + 1 of them."""
-    return df.limit(limit + 1).count() <= limit
+def release(spark: SparkSession) -> int:
+    """Removes what stored() has written in this process; for a caller that has read all results made of it. Gives the number of folders."""
+    done = 0
+    while _WRITTEN:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        done += bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True))
+    return done
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """True where df has at most limit rows and its texts and arrays at most most_bytes; reads no more than limit + 1 rows."""
+    wide = [F.octet_length(F.to_json(F.struct(c))) if not isinstance(t, (StringType, BinaryType)) else F.octet_length(c) for c, t in ((f.name, f.dataType) for f in df.schema) if not isinstance(t, (NumericType, BooleanType, DatetimeType))]
+    size = sum((F.coalesce(w, F.lit(0)).cast("bigint") for w in wide), F.lit(16 * len(df.columns)).cast("bigint"))
+    found = df.limit(limit + 1).select(size.alias("_size")).agg(F.count("*").alias("n"), F.coalesce(F.sum("_size"), F.lit(0)).alias("b")).first()
+    return found.n <= limit and found.b <= most_bytes
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
