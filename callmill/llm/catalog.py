@@ -9,6 +9,7 @@ MODULES: dict[str, str] = {
     "p9_found": "sentences",
     "p1_found": "boilerplate",
     "p6_found": "neardup",
+    "p6_classes": "neardup",
     "p3_found": "names",
     "p4_found": "canonical",
     "p2_found": "splitting",

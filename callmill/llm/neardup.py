@@ -5,13 +5,16 @@ of a permuted hash over its set, so that two texts agree in a coordinate as ofte
 locality-sensitive hashing joins them: the coordinates form eight planes of 4 x 4 points and every line of a plane (20 of
 4 points, no two points on fewer or more than one line) is a mask. Whatever six points of a plane two fingerprints
 differ in, some line misses them all (a set that meets every line needs 2 * 4 - 1 = 7 points), so every pair within six
-differences in some plane collides in some table. A pair at a similarity of 0.6 misses one plane with a probability of
-0.171 and all eight with 7e-7. Pairs that collide are compared exactly, after those have been left
-out whose fingerprints agree in fewer points altogether than a pair within the radius does in one plane.
+differences in some plane collides in some table, and so does every pair within 55 of all 128. A pair at a similarity of
+0.6 misses one plane with a probability of 0.171 and all eight with 7e-7. Of the pairs that collide, those go on whose
+sketches (four bits of each coordinate) agree as often as a similar pair's do but for a chance of 1e-9, and these are
+compared exactly.
 
-Texts with equal sets are one class, named by a 64-bit digest; it is compared once and its rows are joined in at the end. Keys travel in blocks
-of columns, one block for each bucket, so that a shuffle moves few rows. A key that many classes share is cut into
-stretches of members that are paired in separate tasks; no key is capped.
+Texts with equal sets are one class, named by a 64-bit digest and represented by its least id; it is compared once and
+its rows are joined in at the end. Keys travel in blocks, one for each batch and bucket, with their owners' differences
+packed. A bucket's blocks are read as a stream. A key that more than STRETCH classes share is taken out of it: its
+members get their sketches, are cut into slices, and pairs of slices are compared by sketch in separate tasks, so that
+no key is capped and none is gathered in one place.
 
 Defined results: null texts and texts of fewer than 12 words are left out; repeated rows of an id count once; equal
 texts have similarity 1; ties play no part. Empty tables give no rows.
@@ -20,23 +23,27 @@ texts have similarity 1; ties play no part. Empty tables give no rows.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmill.common import read, stored
 from callmill.llm.common import in_slices
 
 WORDS, LEAST_WORDS, LEAST_SIMILARITY = 3, 12, 0.6
-#: Points of a plane's side, a prime power of 2; planes; classes for one bucket of keys; members of a key paired in one go.
-SIDE, PLANES, CLASSES_A_BUCKET, STRETCH = 4, 8, 8_000, 1_000
-#: Bits of the filter that spares texts from a shuffle: 1 MB at any size of the data.
-SLOTS = 1 << 23
+#: Points of a plane's side, a prime power of 2, and planes.
+SIDE, PLANES = 4, 8
+#: Keys for one bucket in the mean, keys of a bucket that are held before its common ones are taken out, classes of a key that are paired in one go, pairs made at once.
+KEYS_A_BUCKET, HELD, STRETCH, PAIRS_AT_ONCE = 1_000_000, 4_000_000, 1_000, 2_000_000
+#: Chance that a pair of just the least similarity is lost by its sketches.
+SKETCH_LOSS = 1e-9
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -49,9 +56,16 @@ def lines() -> np.ndarray:
     return np.array(sloped + upright)
 
 
-@lru_cache(maxsize=500_000)
-def _word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+@lru_cache
+def least_agreement(least: float, planes: int = PLANES) -> int:
+    """Sketch values that must agree: fewer do in a pair of similarity `least` with a chance under SKETCH_LOSS."""
+    n, p, term, total = planes * SIDE * SIDE, least + (1 - least) / 16, 0.0, 0.0
+    for k in range(n + 1):
+        term = (1 - p) ** n if k == 0 else term * (n - k + 1) / k * p / (1 - p)
+        total += term
+        if total > SKETCH_LOSS:
+            return k
+    return n
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -62,22 +76,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str | None) -> np.ndarray | None:
     """The sorted distinct hashes of three words in a row, or None for a text of too few words."""
-    words = _WORD.findall(text.lower()) if text else ()
-    if len(words) < LEAST_WORDS:
-        return None
-    h = np.fromiter(map(_word_hash, words), np.uint64, len(words))
-    return np.unique(_mix(_mix(_mix(h[:-2]) + h[1:-1]) + h[2:]))
+    at, g, _ = _sets([text])
+    return g if len(at) else None
 
 
 def _sets(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the texts that have enough words: their places in the list, all hashes in a row, and where each set begins."""
-    words = [_WORD.findall(t.lower()) if t else () for t in texts]
-    at = np.array([i for i, w in enumerate(words) if len(w) >= LEAST_WORDS], np.int64)
+    split = pc.split_pattern_regex(pa.array([t.lower() if t else "" for t in texts], pa.large_string()), pattern=r"[^\p{L}\p{N}]+")
+    words = split.values.dictionary_encode()
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else 0 for w in words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+    real = pc.not_equal(words.dictionary, "").to_numpy(zero_copy_only=False)[words.indices.to_numpy()] if len(words) else np.empty(0, bool)
+    own = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))[real]
+    h = hashes[words.indices.to_numpy()[real]] if len(words) else np.empty(0, np.uint64)
+    sizes = np.bincount(own, minlength=len(texts))
+    at = np.flatnonzero(sizes >= LEAST_WORDS)
     if not len(at):
         return at, np.empty(0, np.uint64), np.empty(0, np.int64)
-    sizes = np.array([len(words[i]) for i in at])
-    h = np.fromiter((_word_hash(w) for i in at for w in words[i]), np.uint64, sizes.sum())
-    own = np.repeat(np.arange(len(at)), sizes)
+    enough = (sizes >= LEAST_WORDS)[own]
+    own, h = (np.cumsum(sizes >= LEAST_WORDS) - 1)[own[enough]], h[enough]
     g = _mix(_mix(_mix(h[:-2]) + h[1:-1]) + h[2:])
     inside = own[:-2] == own[2:]
     g, own = g[inside], own[:-2][inside]
@@ -97,13 +113,12 @@ def _each_set(source: DataFrame, schema: str, f) -> DataFrame:
     """f(ids, hashes, starts) -> record batch, over slices of the texts that have enough words."""
 
     def run(batches):
-        for b in batches:
-            for part in in_slices([b], "_text"):
-                at, g, starts = _sets(part.column("_text").to_pylist())
-                if len(at):
-                    yield f(part.column("id").to_numpy(zero_copy_only=False)[at], g, starts)
+        for part in in_slices(batches, "_text"):
+            at, g, starts = _sets(part.column("_text").to_pylist())
+            if len(at):
+                yield f(part.column("id").to_numpy(zero_copy_only=False)[at], g, starts)
 
-    return source.mapInArrow(run, schema)
+    return source.select("id", "_text").mapInArrow(run, schema)
 
 
 def digests(g: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -111,172 +126,236 @@ def digests(g: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return _mix(np.add.reduceat(_mix(g), starts)).view(np.int64)
 
 
+def _rows(x: np.ndarray) -> pa.Array:
+    """The rows of an array of bytes as binary values."""
+    return pa.array([r.tobytes() for r in np.ascontiguousarray(x)], pa.binary())
+
+
 def classes(source: DataFrame, planes: int = PLANES) -> DataFrame:
-    """id, class, sketch for each row with enough words; equal sets have one class. The sketch has a byte of each coordinate."""
+    """id, class, sketch for each row with enough words; equal sets have one class. The sketch has four bits of each coordinate."""
 
     def run(ids, g, starts):
-        sketch = np.ascontiguousarray((coordinates(g, starts, planes) & np.uint64(0xFF)).astype(np.uint8).T)
-        return pa.record_batch([pa.array(ids), pa.array(digests(g, starts)), pa.array([x.tobytes() for x in sketch], pa.binary())], names=["id", "class", "sketch"])
+        low = (coordinates(g, starts, planes) & np.uint32(15)).astype(np.uint8)
+        return pa.record_batch([pa.array(ids), pa.array(digests(g, starts)), _rows((low[::2] << 4 | low[1::2]).T)], names=["id", "class", "sketch"])
 
     return _each_set(source, "id bigint, class bigint, sketch binary", run).dropDuplicates(["id"])
 
 
 def coordinates(g: np.ndarray, starts: np.ndarray, planes: int = PLANES) -> np.ndarray:
-    """The fingerprints: a row for each coordinate, a column for each set."""
-    points = np.empty((planes * SIDE * SIDE, len(starts)), np.uint64)
-    for i in range(len(points)):
-        x = g ^ np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-        points[i] = np.minimum.reduceat(x * np.uint64(0xD6E8FEB86659FD93) ^ (x >> np.uint64(32)), starts)
-    return _mix(points)
+    """The fingerprints: a row for each coordinate, a column for each set.
+
+    Sets of like size stand side by side, the shorter ones filled up with a member, so that the least of each is found for all at once.
+    """
+    short, sizes = (g >> np.uint64(32)).astype(np.uint32), np.diff(np.append(starts, len(g)))
+    order = np.argsort(sizes, kind="stable")
+    turns = _mix(np.arange(1, 2 * planes * SIDE * SIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32).reshape(2, -1)
+    points = np.empty((planes * SIDE * SIDE, len(starts)), np.uint32)
+    done = 0
+    while done < len(order):
+        count = max(1, min(512, 200_000 // int(sizes[order[done]])))
+        some = order[done : done + count]
+        z = sizes[some]
+        x = short[starts[some] + np.minimum(np.arange(z.max())[:, None], z - 1)]
+        for i, (a, b) in enumerate(zip(*turns)):
+            h = (x ^ b) * (a | np.uint32(1))
+            h ^= h >> np.uint32(15)
+            h *= np.uint32(0x85EBCA6B)
+            points[i, some] = h.min(axis=0)
+        done += count
+    points ^= points >> np.uint32(13)  # the least hashes have few high bits; spread what tells them apart
+    points *= np.uint32(0xC2B2AE35)
+    return points ^ (points >> np.uint32(16))
 
 
 def keys_of(g: np.ndarray, starts: np.ndarray, planes: int = PLANES) -> np.ndarray:
     """The keys of each set, a row for each mask."""
-    points, rows = coordinates(g, starts, planes), []
+    points, rows = coordinates(g, starts, planes).astype(np.uint64), []
     for plane in range(planes):
         for j, line in enumerate(lines()):
-            key = np.full(len(starts), plane * 100 + j + 1, np.uint64)
-            for p in line:
-                key = _mix(key + points[plane * SIDE * SIDE + p])
-            rows.append(key)
+            p = points[plane * SIDE * SIDE + line]
+            rows.append(_mix(_mix((p[0] << np.uint64(32) | p[1]) + np.uint64(plane * 100 + j + 1)) + (p[2] << np.uint64(32) | p[3])))
     return np.array(rows)
 
 
+def pack_owners(ids: np.ndarray) -> bytes:
+    """Ascending numbers as compressed differences, all their lowest bytes first."""
+    steps = np.diff(ids, prepend=np.int64(0)).astype(np.int64)
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_owners(packed: bytes, n: int) -> np.ndarray:
+    steps = np.frombuffer(pa.decompress(packed, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(steps.T).view(np.int64).ravel())
+
+
 def _packed_keys(source: DataFrame, buckets: int, planes: int) -> DataFrame:
-    """bucket, keys, owners: blocks of columns. A class that a batch holds several times sends its keys once."""
-
-    def run(_, g, starts):
-        owner = digests(g, starts)
-        own, first = np.unique(owner, return_index=True)
-        keys = keys_of(g, starts, planes)[:, first]
-        flat, owner = keys.ravel(), np.tile(own, len(keys))
-        bucket = (flat % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    """bucket, keys, owners: blocks of columns, an owner being a row's id."""
+
+    def run(ids, g, starts):
+        keys = keys_of(g, starts, planes)
+        flat, owner = keys.ravel(), np.tile(ids, len(keys))
+        bucket = (flat % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((owner, bucket))
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1)) if buckets < len(order) else np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
         filled = np.flatnonzero(np.diff(edges))
         # what the bucket leaves of a key is kept to 32 bits: a chance agreement is a candidate more, no error
-        flat = ((flat // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        cut = lambda x, k: x[order[edges[k] : edges[k + 1]]].tobytes()
-        return pa.record_batch([pa.array(filled, pa.int32()), pa.array([cut(flat, k) for k in filled], pa.binary()), pa.array([cut(owner, k) for k in filled], pa.binary())], names=["bucket", "keys", "owners"])
+        flat, owner, bucket = ((flat // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order], owner[order], bucket[order]
+        cuts = [(edges[k], edges[k + 1]) for k in filled]
+        return pa.record_batch([pa.array([bucket[a] for a, _ in cuts], pa.int32()), pa.array([flat[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([pack_owners(owner[a:b]) for a, b in cuts], pa.binary())], names=["bucket", "keys", "owners"])
 
     return _each_set(source, "bucket int, keys binary, owners binary", run)
 
 
-def _paired(lefts, rights) -> pa.RecordBatch:
-    a, b = np.concatenate(lefts), np.concatenate(rights)
-    return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-
-def _collisions(packed: DataFrame) -> DataFrame:
-    """The different pairs of classes that share a key."""
-
-    def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint32)
-        ids = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
-        order = np.lexsort((ids, keys))
-        keys, ids = keys[order], ids[order]
-        new = np.r_[True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])]
-        keys, ids = keys[new], ids[new]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        sizes = np.diff(np.r_[first, len(keys)])
-        some = sizes > 1
-        first, sizes = first[some], sizes[some]
-        kinds: list = []
-        # pairs at a distance of d within a key's run, for all runs at once
-        near = sizes <= STRETCH
-        f, z = first[near], sizes[near]
+def _runs(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and owners in order without repeats, and where each key's run begins and how long it is."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    new = np.r_[True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])] if len(keys) else np.empty(0, bool)
+    keys, ids = keys[new], ids[new]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+    return keys, ids, first, np.diff(np.r_[first, len(keys)])
+
+
+def run_pairs(ids: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs within the runs, each less < greater, for as many runs at once as make PAIRS_AT_ONCE pairs."""
+    first, sizes = first[sizes > 1], sizes[sizes > 1]
+    made = np.cumsum(sizes * (sizes - 1) // 2)
+    cuts = np.searchsorted(made, np.arange(0, (made[-1] if len(made) else 0) + PAIRS_AT_ONCE, PAIRS_AT_ONCE), side="right")
+    for low, high in zip(cuts, cuts[1:]):
+        f, z, found = first[low:high], sizes[low:high], []
         for d in range(1, int(z.max(initial=0))):
             f, z = f[z > d], z[z > d]
             at = np.repeat(f, z - d) + np.arange((z - d).sum()) - np.repeat(np.cumsum(z - d) - (z - d), z - d)
-            kinds.append((ids[at], ids[at + d]))
-        a = np.concatenate([k[0] for k in kinds]) if kinds else np.empty(0, np.int64)
-        b = np.concatenate([k[1] for k in kinds]) if kinds else np.empty(0, np.int64)
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.empty((2, 0), np.int64)
-        big = [(f"{bucket}-{keys[s]}", ids[s : s + n]) for s, n in zip(first[~near], sizes[~near])]
-        stretches = [(k, n, x[i : i + STRETCH].tobytes()) for k, x in big for n, i in enumerate(range(0, len(x), STRETCH))]
-        return pa.table(
-            {
-                "a": pa.array([*pairs[0], *[None] * len(stretches)], pa.int64()), "b": pa.array([*pairs[1], *[None] * len(stretches)], pa.int64()),
-                "key": pa.array([None] * len(pairs[0]) + [k for k, _, _ in stretches], pa.string()), "no": pa.array([None] * len(pairs[0]) + [n for _, n, _ in stretches], pa.int32()),
-                "members": pa.array([None] * len(pairs[0]) + [x for _, _, x in stretches], pa.binary()),
-            }
-        )
-
-    found = stored(packed.groupBy("bucket").applyInArrow(run, "a bigint, b bigint, key string, no int, members binary"), "collisions")
-    direct = found.where("key is null").select("a", "b")
-    long = found.where("key is not null")
-    if long.isEmpty():
-        return direct.distinct()
-    left, right = long.select("key", F.col("no").alias("i"), F.col("members").alias("x")), long.select("key", F.col("no").alias("j"), F.col("members").alias("y"))
+            found.append((ids[at], ids[at + d]))
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+            yield a[new], b[new]
 
-    def across(batches):
-        for batch in batches:
-            for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "x", "y"))):
-                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
-                a, b = np.repeat(x, len(y)), np.tile(y, len(x))
-                keep = a != b if i != j else a < b
-                yield _paired([a[keep]], [b[keep]])
-
-    blocks = left.join(right, "key").where("i <= j").repartition(4 * long.sparkSession.sparkContext.defaultParallelism, "key", "i", "j")
-    return direct.union(blocks.mapInArrow(across, "a bigint, b bigint")).distinct()
 
+def bucket_pairs(blocks: Iterator[tuple[int, np.ndarray, np.ndarray]], held: int = HELD, stretch: int = STRETCH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(a, b, None) of the pairs that share a key, and (bucket and key, owner, ...) of the keys that more than `stretch` share.
 
-def _slot(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int")
+    blocks(bucket, keys, owners) come bucket by bucket. Where a bucket grows beyond `held`, its common keys are taken out at once
+    and what comes of them later passes by, so that what is held stays in proportion to the other keys.
+    """
+    now, common = None, np.empty(0, np.uint32)
+    kept: list = []
+    most = held
+
+    def sifted() -> tuple:
+        """The buffer's runs, and the rows of its common keys."""
+        keys, ids, first, sizes = _runs(np.concatenate([k for k, _ in kept]), np.concatenate([i for _, i in kept]))
+        big = sizes > stretch
+        rare = np.repeat(~big, sizes)
+        return keys, ids, first, sizes, big, rare
+
+    def close():
+        if kept:
+            keys, ids, first, sizes, big, rare = sifted()
+            if big.any():
+                yield (np.int64(now) << np.int64(32)) + keys[~rare].astype(np.int64), ids[~rare], np.ones(0)
+            for a, b in run_pairs(ids, first[~big], sizes[~big]):
+                yield a, b, None
+
+    for bucket, keys, owners in blocks:
+        if bucket != now:
+            yield from close()
+            now, common, most = bucket, np.empty(0, np.uint32), held
+            kept = []
+        if len(common):
+            hit = np.isin(keys, common)
+            if hit.any():
+                yield (np.int64(now) << np.int64(32)) + keys[hit].astype(np.int64), owners[hit], np.ones(0)
+                keys, owners = keys[~hit], owners[~hit]
+        kept.append((keys, owners))
+        if sum(len(k) for k, _ in kept) > most:
+            keys, ids, first, sizes, big, rare = sifted()
+            if big.any():
+                yield (np.int64(now) << np.int64(32)) + keys[~rare].astype(np.int64), ids[~rare], np.ones(0)
+                common = np.union1d(common, keys[first[big]])
+            kept = [(keys[rare], ids[rare])]
+            most = max(held, 2 * int(rare.sum()))
+    yield from close()
+
+
+def _collisions(packed: DataFrame, buckets: int) -> DataFrame:
+    """a, b of the different pairs of owners that share a key, and key, a of the owners of common keys; stored."""
+    held, stretch = HELD, STRETCH
 
+    def run(batches):
+        blocks = (
+            (bucket, np.frombuffer(k, np.uint32), unpack_owners(o, len(k) // 4))
+            for batch in batches
+            for bucket, k, o in zip(batch.column("bucket").to_pylist(), batch.column("keys"), batch.column("owners"))
+            for k, o in [(k.as_py(), o.as_py())]
+        )
+        for x, y, common in bucket_pairs(blocks, held, stretch):
+            none = pa.nulls(len(x), pa.int64())
+            yield pa.record_batch([none if common is None else pa.array(x), pa.array(x if common is None else y), pa.array(y) if common is None else none], names=["key", "a", "b"])
 
-def _marked(ids: DataFrame) -> np.ndarray:
-    """A filter of fixed size, SLOTS bits, with the slots of the ids set. When full it lets all pass and saves nothing."""
-    words = ids.select(_slot("id").alias("s")).selectExpr("shiftright(s, 5) AS w", "shiftleft(1L, s & 31) AS b")
-    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    filled = np.zeros(SLOTS // 32, np.uint32)
-    filled[[r.w for r in found]] = [r.b for r in found]
-    return filled
+    # as many reducers as there are buckets, up to what one task may hold of them
+    dealt = packed.repartition(max(1, min(buckets, 20_000)), "bucket").sortWithinPartitions("bucket")
+    return stored(dealt.mapInArrow(run, "key bigint, a bigint, b bigint"), "collisions")
 
 
-def _grams(source: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """class, grams for the classes of some pair, from one row of each class.
+def _nibbles(packed: list) -> np.ndarray:
+    x = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+    return np.concatenate([x >> 4, x & 15], axis=1)
 
-    Texts are not shuffled: the scan passes a filter of the wanted ids, and only grams go on to the exact join.
-    """
-    ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    rows = stored(members.join(ends, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id")), "wanted")
-    wanted = source.sparkSession.sparkContext.broadcast(_marked(rows))
 
-    def run(batches):
-        for b in batches:
-            slot = b.column("_slot").to_numpy(zero_copy_only=False)
-            b = b.filter(pa.array((wanted.value[slot >> 5] >> (slot & 31).astype(np.uint32) & 1).astype(bool)))
-            for part in in_slices([b], "_text") if b.num_rows else ():
-                at, g, starts = _sets(part.column("_text").to_pylist())
-                if len(at):
-                    bounds = np.append(starts, len(g))
-                    ids = part.column("id").to_numpy(zero_copy_only=False)[at]
-                    yield pa.record_batch([pa.array(ids), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["id", "grams"])
-
-    grams = source.withColumn("_slot", _slot("id")).mapInArrow(run, "id bigint, grams binary").dropDuplicates(["id"])
-    return grams.join(rows, "id").select("class", "grams")
-
-
-def _promising(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sketches agree in as many coordinates as any pair within the radius does in a plane."""
-    sketches = members.groupBy("class").agg(F.first("sketch").alias("sketch"))
-    sided = pairs.join(sketches.withColumnsRenamed({"class": "a", "sketch": "x"}), "a").join(sketches.withColumnsRenamed({"class": "b", "sketch": "y"}), "b")
-    least = SIDE * SIDE - (2 * SIDE - 2)
+def _promising(collisions: DataFrame, reps: DataFrame, agree: int) -> DataFrame:
+    """a, b of the collisions whose sketches agree in at least `agree` values."""
+    sketches = reps.select("rep", "sketch")
+    pairs = collisions.where("key is null").select("a", "b").distinct()
+    sided = pairs.join(sketches.withColumnsRenamed({"rep": "a", "sketch": "x"}), "a").join(sketches.withColumnsRenamed({"rep": "b", "sketch": "y"}), "b")
 
     def compare(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in "xy")
-                yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
+                x, y = (_nibbles(batch.column(c).to_pylist()) for c in "xy")
+                yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= agree))
 
-    return sided.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+    direct = sided.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+    common = collisions.where("key is not null").select("key", F.col("a").alias("rep")).distinct()
+    if common.isEmpty():
+        return direct
+    sizes = common.groupBy("key").agg(F.ceil(F.count("*") / STRETCH).cast("int").alias("slices"))
+    sliced = common.join(sizes, "key").withColumn("slice", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int")).join(sketches, "rep")
+    held = stored(sliced.groupBy("key", "slice").agg(F.collect_list(F.struct("rep", "sketch")).alias("m")), "slices")
 
+    def across(batches):
+        for batch in batches:
+            for i, j, m, n in zip(*(batch.column(c) for c in ("i", "j", "m", "n"))):
+                left, right = m.as_py(), n.as_py()
+                x, y = _nibbles([r["sketch"] for r in left]), _nibbles([r["sketch"] for r in right])
+                a, b = np.array([r["rep"] for r in left]), np.array([r["rep"] for r in right])
+                for s in range(0, len(a), 64):
+                    p, q = np.nonzero((x[s : s + 64, None, :] == y[None]).sum(axis=2) >= agree)
+                    u, v = a[s + p], b[q]
+                    keep = u < v if i.as_py() == j.as_py() else u != v
+                    u, v = u[keep], v[keep]
+                    yield pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+
+    left, right = held.select("key", F.col("slice").alias("i"), "m"), held.select("key", F.col("slice").alias("j"), F.col("m").alias("n"))
+    spread = max(200, 4 * common.sparkSession.sparkContext.defaultParallelism)
+    blocks = left.join(right, "key").where("i <= j").repartition(spread, "key", "i", "j")
+    return direct.union(blocks.mapInArrow(across, "a bigint, b bigint")).distinct()
 
-def _verified(pairs: DataFrame, grams: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar enough."""
-    sided = pairs.join(grams.withColumnsRenamed({"class": "a", "grams": "x"}), "a").join(grams.withColumnsRenamed({"class": "b", "grams": "y"}), "b")
+
+def _verified(pairs: DataFrame, source: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (a, b) of ids whose sets are similar enough. Only their texts are taken apart again."""
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+
+    def run(ids, g, starts):
+        bounds = np.append(starts, len(g))
+        return pa.record_batch([pa.array(ids), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["id", "grams"])
+
+    wanted = source.join(ends, "id", "left_semi")
+    grams = stored(_each_set(wanted, "id bigint, grams binary", run).dropDuplicates(["id"]), "grams")
+    sided = pairs.join(grams.withColumnsRenamed({"id": "a", "grams": "x"}), "a").join(grams.withColumnsRenamed({"id": "b", "grams": "y"}), "b")
 
     def compare(batches):
         for batch in batches:
@@ -293,21 +372,16 @@ def _verified(pairs: DataFrame, grams: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, least: float = LEAST_SIMILARITY, planes: int = PLANES) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): members(id, class) gives each row's class of equal sets, pairs(a, b) the similar classes, a < b.
-
-    Pairs beyond the guaranteed radius may collide nowhere. Of those, the ones with a common partner are found by
-    comparing the partners of each class with one another.
-    """
+    """(members, pairs): members(id, class) gives each row's class of equal sets, named by the class's least id, pairs(a, b) the similar classes, a < b."""
     source = _source(df, key, text)
-    members = stored(classes(source, planes), "members")
-    buckets = max(1, -(-members.count() * planes // CLASSES_A_BUCKET))
-    candidates = stored(_promising(_collisions(_packed_keys(source, buckets, planes)), members), "candidates")
-    grams = stored(_grams(source, members, candidates), "grams")
-    near = stored(_verified(candidates, grams, least), "near")
-    both = near.union(near.select("b", "a"))
-    partners = both.select(F.col("b").alias("m"), "a").join(both.select(F.col("a").alias("m"), "b"), "m").where("a < b").select("a", "b").distinct()
-    more = _verified(partners.join(candidates, ["a", "b"], "left_anti"), grams, least)
-    return members.select("id", "class"), near.union(more)
+    found = stored(classes(source, planes), "classes")
+    reps = stored(found.groupBy("class").agg(F.min("id").alias("rep"), F.min_by("sketch", "id").alias("sketch")), "representatives")
+    members = found.select("id", F.col("class").alias("digest")).join(reps.select(F.col("class").alias("digest"), F.col("rep").alias("class")), "digest").select("id", "class")
+    buckets = max(1, -(-reps.count() * planes * len(lines()) // KEYS_A_BUCKET))
+    texts = source.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
+    collisions = _collisions(_packed_keys(texts, buckets, planes), buckets)
+    candidates = stored(_promising(collisions, reps, least_agreement(least, planes)), "candidates")
+    return stored(members, "members"), stored(_verified(candidates, source, least), "similar")
 
 
 def all_pairs(members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -318,9 +392,20 @@ def all_pairs(members: DataFrame, pairs: DataFrame) -> DataFrame:
     return across.union(within).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
 
+_TABLES = (("failures", "failure_id", "evidence_quote"), ("output_calls", "call_id", "full_commentary"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of rows with similarity of at least 0.6 within failures and within output_calls."""
-    found = []
-    for table, key, text in (("failures", "failure_id", "evidence_quote"), ("output_calls", "call_id", "full_commentary")):
-        found.append(all_pairs(*near_duplicates(read(spark, sf_dir, table), key, text)).select(F.lit(table).alias("table_name"), "id_a", "id_b"))
+    found = [all_pairs(*near_duplicates(read(spark, sf_dir, t), key, text)).select(F.lit(t).alias("table_name"), "id_a", "id_b") for t, key, text in _TABLES]
     return found[0].unionByName(found[1])
+
+
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in its compact form: each row's class (kind member: id, class) and the similar classes (kind link: class, class)."""
+    parts = []
+    for t, key, text in _TABLES:
+        members, pairs = near_duplicates(read(spark, sf_dir, t), key, text)
+        parts.append(members.select(F.lit(t).alias("table_name"), F.lit("member").alias("kind"), F.col("id").alias("x"), F.col("class").alias("y")))
+        parts.append(pairs.select(F.lit(t).alias("table_name"), F.lit("link").alias("kind"), F.col("a").alias("x"), F.col("b").alias("y")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])

@@ -150,16 +150,30 @@ def test_neardup_against_brute_force(spark):
     assert found == expected and expected
 
 
-def test_neardup_long_buckets(spark, monkeypatch):
-    """A key that many classes share is paired in stretches, with the same result."""
+def test_neardup_common_keys(spark, monkeypatch):
+    """Keys that many classes share go through slices, whatever a bucket may hold, with the same result."""
     common = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
     rows = spark.createDataFrame([(i, f"{common} tail{i}") for i in range(60)], "k int, t string")
-    monkeypatch.setattr(neardup, "STRETCH", 7)
-    source = neardup._source(rows, "k", "t")
-    g = {r["class"] for r in neardup.classes(source).collect()}
-    packed = neardup._packed_keys(source, 2, 1)
-    pairs = {tuple(r) for r in neardup._collisions(packed).collect()}
-    assert len(g) == 60 and pairs <= {(a, b) for a in g for b in g if a < b} and len(pairs) > 1000
+    plain = sorted(tuple(r) for r in neardup.near_duplicates(rows, "k", "t")[1].collect())
+    assert len(plain) == 60 * 59 // 2
+    for held in (1_000_000, 50):
+        monkeypatch.setattr(neardup, "STRETCH", 7)
+        monkeypatch.setattr(neardup, "HELD", held)
+        assert sorted(tuple(r) for r in neardup.near_duplicates(rows, "k", "t")[1].collect()) == plain
+
+
+def test_neardup_compact(spark, tables):
+    """Classes and links give back all pairs."""
+    d = "/root/testdata/sf0.001"
+    rows = rows_of(neardup.p6_classes(spark, d))
+    pairs = set()
+    for table in ("failures", "output_calls"):
+        of, links = {}, {(x, y) for t, kind, x, y in rows if t == table and kind == "link"}
+        for t, kind, x, y in rows:
+            if t == table and kind == "member":
+                of[x] = y
+        pairs |= {(table, a, b) for a in of for b in of if a < b and (of[a] == of[b] or (min(of[a], of[b]), max(of[a], of[b])) in links)}
+    assert pairs == set(rows_of(neardup.p6_found(spark, d)))
 
 
 def test_components(spark):

@@ -189,3 +189,36 @@ def test_planes_miss_next_to_nothing():
     agree = np.random.default_rng(5).random((200_000, 16)) < neardup.LEAST_SIMILARITY
     missed = 1 - agree[:, neardup.lines()].all(axis=2).any(axis=1).mean()
     assert 0.16 < missed < 0.18 and missed**neardup.PLANES < 1e-5
+
+
+def test_owners_round_trip():
+    for ids in ([], [5], [-9, -9, 0, 7, 2**62], list(range(1000))):
+        x = np.array(ids, np.int64)
+        assert (neardup.unpack_owners(neardup.pack_owners(x), len(x)) == x).all()
+
+
+def test_bucket_pairs_all_in_any_cut():
+    """Every pair that shares a key comes out, as a pair or by its key, however little is held and paired at once."""
+    r = np.random.default_rng(3)
+    keys, ids = r.integers(0, 40, 600).astype(np.uint32), r.integers(0, 90, 600)
+    expected = {(min(a, b), max(a, b)) for k in range(40) for a in ids[keys == k] for b in ids[keys == k] if a != b}
+    for held, stretch, at_once in ((10**6, 10**6, 10**6), (10**6, 10**6, 50), (30, 4, 50), (100, 12, 10**6)):
+        neardup.PAIRS_AT_ONCE, before = at_once, neardup.PAIRS_AT_ONCE
+        try:
+            blocks = [(n % 2, keys[s : s + 60][keys[s : s + 60] % 2 == n % 2], ids[s : s + 60][keys[s : s + 60] % 2 == n % 2]) for n in (0, 1) for s in range(0, 600, 60)]
+            found, common = set(), {}
+            for x, y, big in neardup.bucket_pairs(iter(blocks), held, stretch):
+                if big is None:
+                    found |= set(zip(x.tolist(), y.tolist()))
+                else:
+                    for k, i in zip(x.tolist(), y.tolist()):
+                        common.setdefault(k, set()).add(i)
+        finally:
+            neardup.PAIRS_AT_ONCE = before
+        assert found | {(a, b) for m in common.values() for a in m for b in m if a < b} == expected
+
+
+def test_sketches_lose_next_to_nothing():
+    least = neardup.least_agreement(0.6)
+    agree = (np.random.default_rng(1).random((200_000, 128)) < 0.625).sum(axis=1)
+    assert 45 < least < 60 and (agree < least).mean() == 0
