@@ -7,7 +7,7 @@ locality-sensitive hashing joins them: the coordinates form eight planes of 4 x
 differ in, some line misses them all (a set that meets every line needs 2 * 4 - 1 = 7 points), so every pair within six
 differences in some plane collides in some table, and so does every pair within 55 of all 128. A pair at a similarity of
 0.6 misses one plane with a probability of 0.171 and all eight with 7e-7. Of the pairs that collide, those go on whose
-sketches (four bits of each coordinate) agree as often as a similar pair's do but for a chance of 1e-9, and these are
+sketches (two bits of each coordinate) agree as often as a similar pair's do but for a chance of 1e-9, and these are
 compared exactly.
 
 Texts with equal sets are one class, named by a 64-bit digest and represented by its least id; it is compared once and
@@ -59,7 +59,7 @@ def lines() -> np.ndarray:
 @lru_cache
 def least_agreement(least: float, planes: int = PLANES) -> int:
     """Sketch values that must agree: fewer do in a pair of similarity `least` with a chance under SKETCH_LOSS."""
-    n, p, term, total = planes * SIDE * SIDE, least + (1 - least) / 16, 0.0, 0.0
+    n, p, term, total = planes * SIDE * SIDE, least + (1 - least) / 4, 0.0, 0.0
     for k in range(n + 1):
         term = (1 - p) ** n if k == 0 else term * (n - k + 1) / k * p / (1 - p)
         total += term
@@ -132,11 +132,11 @@ def _rows(x: np.ndarray) -> pa.Array:
 
 
 def classes(source: DataFrame, planes: int = PLANES) -> DataFrame:
-    """id, class, sketch for each row with enough words; equal sets have one class. The sketch has four bits of each coordinate."""
+    """id, class, sketch for each row with enough words; equal sets have one class. The sketch has two bits of each coordinate."""
 
     def run(ids, g, starts):
-        low = (coordinates(g, starts, planes) & np.uint32(15)).astype(np.uint8)
-        return pa.record_batch([pa.array(ids), pa.array(digests(g, starts)), _rows((low[::2] << 4 | low[1::2]).T)], names=["id", "class", "sketch"])
+        low = (coordinates(g, starts, planes) & np.uint32(3)).astype(np.uint8)
+        return pa.record_batch([pa.array(ids), pa.array(digests(g, starts)), _rows((low[::4] << 6 | low[1::4] << 4 | low[2::4] << 2 | low[3::4]).T)], names=["id", "class", "sketch"])
 
     return _each_set(source, "id bigint, class bigint, sketch binary", run).dropDuplicates(["id"])
 
@@ -301,22 +301,29 @@ def _collisions(packed: DataFrame, buckets: int) -> DataFrame:
     return stored(dealt.mapInArrow(run, "key bigint, a bigint, b bigint"), "collisions")
 
 
-def _nibbles(packed: list) -> np.ndarray:
-    x = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
-    return np.concatenate([x >> 4, x & 15], axis=1)
+def _sketches(packed: list) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), np.uint64).reshape(len(packed), -1)
+
+
+def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of the sketches' values are equal, over the last axis."""
+    differ = x ^ y
+    differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    return 32 * x.shape[-1] - np.bitwise_count(differ).sum(axis=-1, dtype=np.int64)
 
 
 def _promising(collisions: DataFrame, reps: DataFrame, agree: int) -> DataFrame:
     """a, b of the collisions whose sketches agree in at least `agree` values."""
     sketches = reps.select("rep", "sketch")
-    pairs = collisions.where("key is null").select("a", "b").distinct()
+    # one shuffle serves to find the different pairs and to join them
+    pairs = collisions.where("key is null").select("a", "b").repartition("a").dropDuplicates(["a", "b"])
     sided = pairs.join(sketches.withColumnsRenamed({"rep": "a", "sketch": "x"}), "a").join(sketches.withColumnsRenamed({"rep": "b", "sketch": "y"}), "b")
 
     def compare(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (_nibbles(batch.column(c).to_pylist()) for c in "xy")
-                yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= agree))
+                x, y = (_sketches(batch.column(c).to_pylist()) for c in "xy")
+                yield batch.select(["a", "b"]).filter(pa.array(agreement(x, y) >= agree))
 
     direct = sided.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
     common = collisions.where("key is not null").select("key", F.col("a").alias("rep")).distinct()
@@ -330,10 +337,10 @@ def _promising(collisions: DataFrame, reps: DataFrame, agree: int) -> DataFrame:
         for batch in batches:
             for i, j, m, n in zip(*(batch.column(c) for c in ("i", "j", "m", "n"))):
                 left, right = m.as_py(), n.as_py()
-                x, y = _nibbles([r["sketch"] for r in left]), _nibbles([r["sketch"] for r in right])
+                x, y = _sketches([r["sketch"] for r in left]), _sketches([r["sketch"] for r in right])
                 a, b = np.array([r["rep"] for r in left]), np.array([r["rep"] for r in right])
                 for s in range(0, len(a), 64):
-                    p, q = np.nonzero((x[s : s + 64, None, :] == y[None]).sum(axis=2) >= agree)
+                    p, q = np.nonzero(agreement(x[s : s + 64, None, :], y[None]) >= agree)
                     u, v = a[s + p], b[q]
                     keep = u < v if i.as_py() == j.as_py() else u != v
                     u, v = u[keep], v[keep]
