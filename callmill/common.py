@@ -80,6 +80,13 @@ def once(df: DataFrame, *keys: str) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """left with right's other columns where the keys are equal or both null."""
+    side = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    match = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
+    return left.join(side, match, how).drop(*[f"_same_{k}" for k in keys])
+
+
 def salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, by: Column, salts: int = 16, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join to a lookup that is unique by key; rows of a hot key are spread over salts by their own value `by`.
 

@@ -1,4 +1,4 @@
-"""Text expressions. All but NFKC are built-in expressions; null in, null out."""
+"""Text expressions. All but NFKC of texts beyond ASCII are built-in expressions; null in, null out."""
 
 from __future__ import annotations
 
@@ -7,33 +7,56 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 #: White space as Unicode has it, which Java's \\s does not cover.
 WS = r"[\t-\r\x{1c}-\x20\x{85}\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
 # Words that carry no meaning in evidence, and in leaf names.
-STOPWORDS = "the and for with from that this are was has".split()
+STOPWORDS = "the and for from with that this are was were".split()
 LEAF_STOPWORDS = "of and the inc for vs".split()
 # What makes a locator of a table or picture specific.
 VISUAL_WORDS = "table figure fig. grid chart dashboard matrix caption heading panel view".split()
 
 
+def _composed(text: str | None) -> str | None:
+    return text if text is None or text.isascii() else unicodedata.normalize("NFKC", text)
+
+
 @F.pandas_udf(StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    """Compatibility composition, the one step that Spark has no expression for."""
-    return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
+def _nfkc(text: pd.Series) -> pd.Series:
+    return text.map(_composed)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _nfkc_all(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda ts: ts if ts is None else [_composed(t) for t in ts])
+
+
+def _plain(text: Column) -> Column:
+    """All characters are ASCII, which composition leaves as they are."""
+    return F.octet_length(text) == F.length(text)
+
+
+def nfkc(text: Column) -> Column:
+    """Compatibility composition, the one step that Spark has no expression for. ASCII texts are not sent to Python."""
+    return F.when(_plain(text), text).otherwise(_nfkc(F.when(~_plain(text), text)))
+
+
+def nfkc_all(texts: Column) -> Column:
+    """The same of each text of an array."""
+    plain = _plain(F.array_join(texts, "", ""))
+    return F.when(plain, texts).otherwise(_nfkc_all(F.when(~plain, texts)))
 
 
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{WS}+|{WS}+$", "")
 
 
-def normalize_quote(text: Column, compose: bool = False) -> Column:
-    """A quote as it is compared: plain quotes and dashes, joined line breaks, single spaces, no hyphens inside words."""
-    x = nfkc(text) if compose else text
+def normalize_composed(text: Column) -> Column:
+    """normalize_quote of a text that is composed already."""
     # Curly quotes, the soft hyphen (deleted) and dashes.
-    x = F.translate(x, "‘’“”‐‑‒–—―−­", "''\"\"-------")
+    x = F.translate(text, "‘’“”‐‑‒–—―−­", "''\"\"-------")
     x = F.regexp_replace(x, rf"({WORD}-){WS}*\n{WS}*({WORD})", "$1$2")
     x = F.regexp_replace(x, rf"{WS}+", " ")
     for _ in range(2):  # a letter between two hyphens belongs to both
@@ -41,9 +64,19 @@ def normalize_quote(text: Column, compose: bool = False) -> Column:
     return F.trim(x)  # only single spaces are left
 
 
-def meaningful_tokens(text: Column, compose: bool = False) -> Column:
+def normalize_quote(text: Column) -> Column:
+    """A quote as it is compared: composed, plain quotes and dashes, joined line breaks, single spaces, no hyphens inside words."""
+    return normalize_composed(nfkc(text))
+
+
+def normalize_spans(spans: Column) -> Column:
+    """normalize_quote of each span."""
+    return F.transform(nfkc_all(spans), normalize_composed)
+
+
+def meaningful_tokens(text: Column) -> Column:
     """Tokens of at least three characters that are no stopwords, repeats kept. Null text gives an empty array."""
-    return tokens_of(normalize_quote(text, compose))
+    return tokens_of(normalize_quote(text))
 
 
 def tokens_of(normalized: Column) -> Column:
@@ -87,8 +120,16 @@ def visual_locator(locator: Column) -> Column:
 
 
 def format_number(x: Column) -> Column:
-    """A number as short as it can be written with six digits: 25.0 is 25."""
-    return F.regexp_replace(F.round(x, 6).cast("string"), r"\.0+$", "")
+    """A number in six significant digits without trailing zeros, in powers of ten below 0.0001 and from a million on."""
+    x = x.cast("double")
+    power = F.format_string("%.5e", x)
+    exponent = F.regexp_extract(power, r"e([+-]\d+)$", 1).try_cast("int")
+    fixed = F.lit(None).cast("string")
+    for e in range(-4, 6):
+        fixed = F.when(exponent == e, F.format_string(f"%.{5 - e}f", x)).otherwise(fixed)
+    bare = lambda t: F.when(F.contains(t, F.lit(".")), F.regexp_replace(t, r"\.?0+$", "")).otherwise(t)
+    apart = F.concat(bare(F.regexp_extract(power, "^[^e]*", 0)), F.regexp_extract(power, "e.*$", 0))
+    return F.when(x == 0, "0").when(x.isNotNull(), F.coalesce(bare(fixed), apart))
 
 
 def leaf_tokens(name: Column) -> Column:
@@ -97,7 +138,7 @@ def leaf_tokens(name: Column) -> Column:
 
 
 def leaf_overlap(leaf: Column, evidence: Column) -> Column:
-    """How many tokens of the leaf's name some word of the evidence equals or, from four letters on, extends or begins."""
+    """How many tokens of the leaf's name some word of the normalised evidence equals or, from four letters on, extends or begins."""
     words = F.array_distinct(F.coalesce(F.regexp_extract_all(F.lower(evidence), F.lit("[a-z0-9]+"), F.lit(0)), F.array().cast("array<string>")))
 
     def hit(t: Column) -> Column:

@@ -14,7 +14,8 @@ def _tracking(key: Column) -> Column:
 
 
 def _decoded(part: Column) -> Column:
-    return F.try_url_decode(part)
+    """The decoded part; a percent sign that begins no escape stands for itself."""
+    return F.coalesce(F.try_url_decode(F.regexp_replace(part, "%(?![0-9A-Fa-f]{2})", "%25")), part)
 
 
 def _encoded(part: Column) -> Column:

@@ -73,6 +73,14 @@ def char_slice(text: Column, chunk_id: Column) -> Column:
     return F.when(chunk_id.rlike(pattern), F.substring(text, a + 1, F.greatest(b - a, F.lit(0)))).otherwise(text)
 
 
+def chunk_slice(text: Column, chunk_id: Column) -> Column:
+    """The part of the text that the id names: characters, or pages between form feeds, which stay between pages."""
+    pattern = r"^p(\d{1,9})-(\d{1,9})$"
+    a, b = (F.regexp_extract(chunk_id, pattern, i).try_cast("int") for i in (1, 2))
+    pages = F.slice(F.split(text, "\f"), F.greatest(a, F.lit(1)), F.greatest(b - a + 1, F.lit(0)))
+    return F.when(chunk_id.rlike(pattern), F.array_join(pages, "\f")).otherwise(char_slice(text, chunk_id))
+
+
 def read_quality(text: Column, page_count: Column, chars_a_page: int = 200, chars: int = 1000) -> Column:
     """Enough text was read: per page where pages are known, else altogether."""
     n = F.length(strip(F.coalesce(text, F.lit(""))))

@@ -26,10 +26,10 @@ def failed_question() -> Column:
     return F.coalesce(*[F.when(F.col(q) == "fail", code) for q, code in QUESTIONS.items()])
 
 
-def hard_failure(known_leaf: Column, evidence: Column, delta: Column, unit: Column, basis: Column, checked: bool) -> Column:
-    """The first gate that stops a call: label, evidence, materiality, checker; null where none does."""
+def hard_failure(known_leaf: Column, match: Column, evidence: Column, delta: Column, unit: Column, basis: Column, checked: bool) -> Column:
+    """The first gate that stops a call: label (no leaf, or matched to none), evidence, materiality, checker; null where none does."""
     return F.coalesce(
-        F.when(~F.coalesce(known_leaf, F.lit(False)), "taxonomy_no_match"), evidence,
+        F.when(~F.coalesce(known_leaf, F.lit(False)) | F.coalesce(match == "none", F.lit(False)), "taxonomy_no_match"), evidence,
         F.when((basis == "forecast_delta") & below_materiality(delta, unit), "delta_below_materiality"), failed_question() if checked else F.lit(None).cast("string"),
     )
 

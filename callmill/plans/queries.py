@@ -37,7 +37,7 @@ def source_urls(spark: SparkSession, d: str) -> DataFrame:
 
 
 def firm_keys(spark, d):
-    rows = _targets(spark, d).where("firm is not null")
+    rows = _targets(spark, d)
     return rows.groupBy(T.lookup_key(F.col("firm")).alias("firm_key")).agg(F.count("*").alias("n"))
 
 
@@ -51,9 +51,8 @@ def made_chunks(spark, d):
 
 
 def chunk_lengths(spark, d):
-    ids = _chunks(spark, d).where("chunk_id like 'char:%'")
     texts = _snapshots(spark, d, "snapshot_text")
-    sliced = ids.join(texts, "source_id").withColumn("t", ingest.char_slice(F.col("snapshot_text"), F.col("chunk_id")))
+    sliced = _chunks(spark, d).join(texts, "source_id").withColumn("t", ingest.chunk_slice(F.col("snapshot_text"), F.col("chunk_id")))
     return sliced.select("source_id", "chunk_id", F.length("t").alias("n_chars"), F.md5("t").alias("digest"))
 
 
@@ -70,8 +69,10 @@ def normalized_quotes(spark, d):
     return _failures(spark, d, "evidence_quote").select("failure_id", T.normalize_quote(F.col("evidence_quote")).alias("quote"))
 
 
-def nfkc_quotes(spark, d):
-    return _failures(spark, d, "evidence_quote").select("failure_id", T.normalize_quote(F.col("evidence_quote"), compose=True).alias("quote"))
+def nfkc_texts(spark, d):
+    """Snapshot texts normalised: they hold characters that composition changes."""
+    rows = _snapshots(spark, d, "snapshot_text")
+    return rows.select("source_id", F.md5(T.normalize_quote(F.coalesce("snapshot_text", F.lit("")))).alias("digest"))
 
 
 def quote_tokens(spark, d):
@@ -81,7 +82,7 @@ def quote_tokens(spark, d):
 
 def verbatim_evidence(spark, d):
     sources = evidence.prepared(_snapshots(spark, d, "snapshot_text", "scrambled_pages"), "snapshot_text").select("source_id", "norm_text")
-    rows = _failures(spark, d, "source_id", "evidence_quote").where("source_id is not null and evidence_quote is not null")
+    rows = _failures(spark, d, "source_id", "evidence_quote")
     ready = evidence.with_spans(rows, evidence.spans_of(F.col("evidence_quote")))
     joined = evidence.salted_lookup(ready, sources, "source_id", F.col("failure_id"), salts=1, broadcast_rows=0)
     reason = evidence.verbatim(F.coalesce("norm_text", F.lit("")))
@@ -90,8 +91,9 @@ def verbatim_evidence(spark, d):
 
 def evidence_check(spark, d):
     sources = evidence.prepared(_snapshots(spark, d, "snapshot_text", "scrambled_pages"), "snapshot_text")
-    rows = _failures(spark, d, "source_id", "evidence_quote", "evidence_kind", "locator")
-    return evidence.check(rows, sources, "failure_id").select("failure_id", "ev_passed", F.coalesce("ev_reason", F.lit("")).alias("ev_reason"), "degraded")
+    rows = _failures(spark, d, "source_id", "chunk_id", "evidence_quote", "evidence_kind", "locator")
+    found = evidence.check(rows, sources, "failure_id", _chunks(spark, d))
+    return found.select("failure_id", "ev_passed", F.coalesce("ev_reason", F.lit("")).alias("ev_reason"), F.coalesce("ev_message", F.lit("")).alias("ev_message"), "degraded")
 
 
 def locator_parse(spark, d):
@@ -153,7 +155,7 @@ def same_view_dedup(spark, d):
 def arbitration(spark, d):
     """Decisions for the check: a group's first decisive member, none where it has none."""
     keys = ["firm", "sub_asset_class"]
-    rows = _calls(spark, d, *keys, "call_view", "checker_strength").where("firm is not null and sub_asset_class is not null")
+    rows = _calls(spark, d, *keys, "call_view", "checker_strength")
     placed = assemble.group_index(rows, keys, "call_id")
     decisions = placed.groupBy(*keys).agg(F.min(F.when(F.col("checker_strength") == "decisive", F.col("group_idx"))).alias("winning_index"), F.lit("first decisive").alias("reasoning"))
     x = assemble.arbitrate(rows, keys, decisions, "call_id")
@@ -162,16 +164,16 @@ def arbitration(spark, d):
 
 def corroboration(spark, d):
     keys = ["sub_asset_class", "call_view", "out_date"]
-    rows = _calls(spark, d, *keys, "confidence", "firm", "source", "band").where("sub_asset_class is not null and call_view is not null and out_date is not null")
+    rows = _calls(spark, d, *keys, "confidence", "firm", "source", "band")
     x = assemble.corroboration(rows, keys, "confidence", "call_id", "firm", "source", "band")
     return x.select("winner_idx", "corroboration")
 
 
 def cross_leaf_dedup(spark, d):
     rows = taxonomy.lookup(_failures(spark, d, "source_id", "call_view", "evidence_quote", "sub_asset_class"), read(spark, d, "taxonomy"), "sub_asset_class")
-    rows = rows.where("source_id is not null and evidence_quote is not null").withColumn("spans", evidence.spans_of(F.col("evidence_quote")))
+    rows = rows.withColumn("spans", evidence.spans_of(F.coalesce("evidence_quote", F.lit(""))))
     x = assemble.cross_leaf_duplicates(rows, "source_id", "call_view", "spans", "sub_asset_class", "leaf_no", "failure_id")
-    return x.select("failure_id", F.coalesce("reason", F.lit("")).alias("reason"))
+    return x.select("failure_id", F.coalesce("reason", F.lit("")).alias("reason"), F.coalesce("message", F.lit("")).alias("message"))
 
 
 def rolling_memory(spark, d):
@@ -184,23 +186,27 @@ def displayed_chunks(spark, d):
 
 
 def contract_candidates(spark, d):
-    rows = _failures(spark, d, "sub_asset_raw", "sub_asset_class", "taxonomy_match", "call_view", "evidence_kind", "evidence_quote", "locator", "reasoning", "chunk_id", "basis")
+    rows = _failures(spark, d, "source_id", "sub_asset_raw", "sub_asset_class", "taxonomy_match", "call_view", "evidence_kind", "evidence_quote", "locator", "reasoning", "chunk_id", "basis")
     spoken = F.element_at(F.array(*[F.lit(x) for x in (*LANGUAGES, "explicit", "loud")]), (F.col("failure_id") % 7 + 1).cast("int"))
     delta = F.when(F.col("failure_id") % 3 == 0, F.lit("30")).otherwise(F.lit(None))
-    body = F.struct("sub_asset_raw", "sub_asset_class", "taxonomy_match", F.col("call_view").alias("view"), spoken.alias("call_language"), "evidence_kind", "evidence_quote", "locator", "reasoning", (F.col("call_view") == "UNCERTAIN").alias("conflict"), "chunk_id", "basis", (F.col("failure_id") % 60).alias("delta_value"), F.lit("bp").alias("delta_unit"))
-    odd = F.struct(*[F.col("b")[f] for f in ("sub_asset_class", "taxonomy_match", "view", "call_language", "evidence_kind", "evidence_quote", "locator", "reasoning", "conflict", "chunk_id")], F.lit("forecast_delta").alias("basis"), delta.alias("delta_value"), F.lit("bp").alias("delta_unit"))
+    ids = ("source_id", "chunk_id")
+    body = F.struct(*ids, "sub_asset_raw", "sub_asset_class", "taxonomy_match", F.col("call_view").alias("view"), spoken.alias("call_language"), "evidence_kind", "evidence_quote", "locator", "reasoning", (F.col("call_view") == "UNCERTAIN").alias("conflict"), "basis", (F.col("failure_id") % 60).alias("delta_value"), F.lit("bp").alias("delta_unit"))
+    # every fifth is a forecast whose delta is a text or missing, and says nothing of a conflict
+    odd = F.struct(*ids, *[F.col("b")[f] for f in ("sub_asset_class", "taxonomy_match", "view", "call_language", "evidence_kind", "evidence_quote", "locator", "reasoning")], F.lit("forecast_delta").alias("basis"), delta.alias("delta_value"), F.lit("bp").alias("delta_unit"))
     made = rows.withColumn("b", body).select("failure_id", F.when(F.col("failure_id") % 5 == 0, F.to_json(odd)).otherwise(F.to_json("b")).alias("json"))
     x = contracts.candidates(made, "json")
-    return x.select("failure_id", F.coalesce(F.try_element_at("errors", F.lit(1)), F.lit("")).alias("error"), F.size("errors").alias("n_errors"))
+    return x.select("failure_id", F.coalesce(F.try_element_at("errors", F.lit(1)), F.lit("")).alias("error"), F.size("errors").alias("n_errors"), F.coalesce("message", F.lit("")).alias("message"))
 
 
 def contract_verdicts(spark, d):
+    """Events as verdicts; the strength is that of an event's kind, at times null and at times not given."""
     rows = read(spark, d, "events").select("event_id", "event_type", "props")
     k = F.get_json_object("props", "$.k").try_cast("int")
     answer = lambda n: F.element_at(F.array(*[F.lit(x) for x in ("pass", "unclear", "fail", "maybe")]), (k % n + 1).cast("int"))
-    made = rows.select("event_id", F.to_json(F.struct((k - 3).alias("index"), answer(4).alias("supports_view"), answer(3).alias("forward_looking"), answer(2).alias("asset_match"), F.when(k % 5 > 0, F.col("event_type")).alias("evidence_strength"))).alias("json"))
+    body = F.to_json(F.struct((k - 3).alias("index"), answer(4).alias("supports_view"), answer(3).alias("forward_looking"), answer(2).alias("asset_match"), F.when(k % 5 > 1, F.col("event_type")).alias("evidence_strength")))
+    made = rows.select("event_id", F.when(k % 5 == 1, F.regexp_replace(body, r"\}$", ',"evidence_strength":null}')).otherwise(body).alias("json"))
     x = contracts.verdicts(made, "json")
-    return x.select("event_id", F.coalesce(F.try_element_at("errors", F.lit(1)), F.lit("")).alias("error"))
+    return x.select("event_id", F.coalesce(F.try_element_at("errors", F.lit(1)), F.lit("")).alias("error"), F.coalesce("message", F.lit("")).alias("message"))
 
 
 def _observed(spark, d):
@@ -222,7 +228,7 @@ def call_scores(spark, d):
 
 
 def hard_failures(spark, d):
-    reason = scoring.hard_failure(F.col("leaf_no").isNotNull(), F.when(F.col("degraded"), "quote_not_found"), F.col("delta"), F.col("unit"), F.col("basis"), True)
+    reason = scoring.hard_failure(F.col("leaf_no").isNotNull(), F.col("taxonomy_match"), F.when(F.col("degraded"), "quote_not_found"), F.col("delta"), F.col("unit"), F.col("basis"), True)
     return _observed(spark, d).select("failure_id", F.coalesce(reason, F.lit("")).alias("reason"))
 
 
@@ -239,7 +245,7 @@ def scrambled_pages(spark, d):
     two, even = F.col("page_id") % 2 == 0, F.col("rn") % 2 == 0
     x0 = F.when(two, F.when(even, F.col("xr") * 0.9).otherwise(F.col("xr") * 0.8 + 60)).otherwise(F.col("xr"))
     words = boxed.withColumn("x0", x0).withColumn("x1", F.col("x0") + F.when(two, 3.0).otherwise(50.0)).withColumn("top", 15.0 * F.col("rn"))
-    words = words.withColumn("page_width", F.lit(100.0)).withColumn("page_height", F.lit(700.0))
+    words = words.withColumn("bottom", F.col("top") + 12.0 + F.col("xr") % 5).withColumn("page_width", F.lit(100.0)).withColumn("page_height", F.lit(700.0))
     return layout.scrambled_pages(words)
 
 
@@ -251,7 +257,7 @@ def layout_window():
 
 def eval_agreement(spark, d):
     keys = ["firm", "sub_asset_class"]
-    rows = _calls(spark, d, *keys, "call_view").where("firm is not null and sub_asset_class is not null")
+    rows = _calls(spark, d, *keys, "call_view")
     first = rows.where("call_id % 2 = 0").groupBy(*keys).agg(F.min_by("call_view", "call_id").alias("call_view"))
     last = rows.where("call_id % 2 = 1").groupBy(*keys).agg(F.min_by("call_view", "call_id").alias("call_view"))
     return evaluate.agreement(first, last, keys)
@@ -273,7 +279,7 @@ def all_failures(spark, d):
 
 
 NAMES = (
-    "source_urls firm_keys visual_pages made_chunks chunk_lengths source_batches read_quality normalized_quotes nfkc_quotes quote_tokens verbatim_evidence evidence_check locator_parse "
+    "source_urls firm_keys visual_pages made_chunks chunk_lengths source_batches read_quality normalized_quotes nfkc_texts quote_tokens verbatim_evidence evidence_check locator_parse "
     "taxonomy_lookup unknown_labels taxonomy_integrity taxonomy_outline failure_reason_counts basis_counts strength_counts reconciliation source_summary view_conflicts same_view_dedup arbitration "
     "corroboration cross_leaf_dedup rolling_memory displayed_chunks contract_candidates contract_verdicts call_scores hard_failures band_counts scrambled_pages eval_agreement one_hot_views conflict_ledger all_failures"
 ).split()

@@ -87,7 +87,7 @@ def test_score(spark, change, score, band, flag):
 def test_gates(spark):
     rows = [(1, True, None, 25.0, "bp", "forecast_delta", "pass"), (2, True, None, -24.0, "bp", "forecast_delta", "pass"), (3, True, None, 0.86, "pct", "forecast_delta", "fail"), (4, False, "x", 1.0, "bp", "forecast_delta", "fail"), (5, True, "quote_not_found", 1.0, "bp", "forecast_delta", "fail"), (6, True, None, None, None, "stated", "fail"), (7, None, None, None, None, None, None)]
     df = spark.createDataFrame([(*r, None, None) for r in rows], "k int, known boolean, ev string, d double, u string, b string, supports_view string, forward_looking string, asset_match string")
-    reason = scoring.hard_failure(F.col("known"), F.col("ev"), F.col("d"), F.col("u"), F.col("b"), True)
+    reason = scoring.hard_failure(F.col("known"), F.lit("exact"), F.col("ev"), F.col("d"), F.col("u"), F.col("b"), True)
     assert dict(rows_of(df.select("k", reason.alias("r")))) == {1: None, 2: "delta_below_materiality", 3: "delta_below_materiality", 4: "taxonomy_no_match", 5: "quote_not_found", 6: "checker_sign_mismatch", 7: "taxonomy_no_match"}
 
 
@@ -122,14 +122,14 @@ def test_memory(spark):
     assert block == "s p1-5: Gold=O[p.1]\n"
 
 
-GOOD = {"sub_asset_class": "Gold", "taxonomy_match": "exact", "view": "O", "call_language": "explicit", "evidence_kind": "prose", "evidence_quote": ["a", "b ... c"], "locator": "p.1", "reasoning": "r", "conflict": False, "chunk_id": "p1-1"}
+GOOD = {"source_id": "s", "sub_asset_class": "Gold", "taxonomy_match": "exact", "view": "O", "call_language": "explicit", "evidence_kind": "prose", "evidence_quote": ["a", "b ... c"], "locator": "p.1", "reasoning": "r", "conflict": False, "chunk_id": "p1-1"}
 
 
 @pytest.mark.parametrize(
     ("text", "error"),
     [
         (json.dumps(GOOD), ""), ("```json\n" + json.dumps(GOOD) + "\n```", ""), (json.dumps(GOOD | {"evidence_quote": "one"}), ""), (json.dumps({k: v for k, v in GOOD.items() if k != "view"}), "missing_fields"), (json.dumps(GOOD | {"view": "X"}), "view"),
-        (json.dumps(GOOD | {"call_language": "loud"}), "call_language"), (json.dumps(GOOD | {"basis": "guessed"}), "basis"), (json.dumps(GOOD | {"basis": "forecast_delta"}), "delta_value"), (json.dumps(GOOD | {"basis": "forecast_delta", "delta_value": "30", "delta_unit": "bp"}), "delta_value"),
+        (json.dumps(GOOD | {"call_language": "loud"}), "call_language"), (json.dumps(GOOD | {"basis": "guessed"}), "basis"), (json.dumps(GOOD | {"basis": "forecast_delta"}), "delta_fields"), (json.dumps(GOOD | {"basis": "forecast_delta", "delta_value": "30", "delta_unit": "bp"}), "delta_value"),
         (json.dumps(GOOD | {"basis": "forecast_delta", "delta_value": True, "delta_unit": "bp"}), "delta_value"), (json.dumps(GOOD | {"basis": "forecast_delta", "delta_value": 30, "delta_unit": "percent"}), "delta_unit"), (json.dumps(GOOD | {"basis": "forecast_delta", "delta_value": -0.5, "delta_unit": "pct"}), ""),
         (json.dumps(GOOD | {"conflict": 1}), "conflict"), (json.dumps(GOOD | {"evidence_quote": []}), "evidence_quote"), (json.dumps(GOOD | {"evidence_quote": ["a", " "]}), "evidence_quote"), (json.dumps(GOOD | {"locator": " "}), "locator"), ("[1]", "not_an_object"), ("{", "not_an_object"), ("", "not_an_object"), (None, "not_an_object"),
     ],
@@ -191,7 +191,7 @@ def test_layout(spark):
     one = [("one", 50.0, 500.0, 100.0 + 20 * i) for i in range(30)]
     two = [("two", x0, x1, 100.0 + 20 * i) for i in range(30) for x0, x1 in ((50.0, 250.0), (330.0, 530.0))]
     few = [("few", 50.0, 100.0, 100.0 + i) for i in range(10)] + [("none", None, None, None)]
-    words = spark.createDataFrame([(*r, 595.0, 842.0) for r in one + two + few], "page_id string, x0 double, x1 double, top double, page_width double, page_height double")
+    words = spark.createDataFrame([(*r, r[3] and r[3] + 10, 595.0, 842.0) for r in one + two + few], "page_id string, x0 double, x1 double, top double, bottom double, page_width double, page_height double")
     assert dict(rows_of(layout.scrambled_pages(words))) == {"one": False, "two": True, "few": False, "none": False}
     assert layout.scrambled_pages(words.limit(0)).count() == 0
 
@@ -251,7 +251,7 @@ def test_stream(spark, tmp_path):
 
 
 def test_salted_lookup(spark, monkeypatch):
-    monkeypatch.setattr(common, "small", lambda df, limit=0: False)
+    monkeypatch.setattr(common, "small", lambda df, limit=0, most_bytes=0: False)
     rows = spark.createDataFrame([(i, "hot" if i % 3 else None) for i in range(90)], "i int, k string")
     look = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
     found = common.salted_lookup(rows, look, "k", F.col("i"), 4)
