@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmill.common import read, stored
+from callmill.common import broadcast_if_small, read, stored
 from callmill.llm.common import in_slices
 
 WORDS, LEAST_WORDS, LEAST_SIMILARITY = 3, 12, 0.6
@@ -44,6 +44,8 @@ SIDE, PLANES = 4, 8
 KEYS_A_BUCKET, HELD, STRETCH, PAIRS_AT_ONCE = 1_000_000, 4_000_000, 1_000, 2_000_000
 #: Chance that a pair of just the least similarity is lost by its sketches.
 SKETCH_LOSS = 1e-9
+#: Ids up to which a list of them is broadcast to the texts; a longer one is joined by shuffling them.
+IDS_SENT = 1_000_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -360,7 +362,7 @@ def _verified(pairs: DataFrame, source: DataFrame, least: float) -> DataFrame:
         bounds = np.append(starts, len(g))
         return pa.record_batch([pa.array(ids), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["id", "grams"])
 
-    wanted = source.join(ends, "id", "left_semi")
+    wanted = source.join(broadcast_if_small(stored(ends, "ends"), IDS_SENT), "id", "left_semi")
     grams = stored(_each_set(wanted, "id bigint, grams binary", run).dropDuplicates(["id"]), "grams")
     sided = pairs.join(grams.withColumnsRenamed({"id": "a", "grams": "x"}), "a").join(grams.withColumnsRenamed({"id": "b", "grams": "y"}), "b")
 
@@ -383,12 +385,13 @@ def near_duplicates(df: DataFrame, key: str, text: str, least: float = LEAST_SIM
     source = _source(df, key, text)
     found = stored(classes(source, planes), "classes")
     reps = stored(found.groupBy("class").agg(F.min("id").alias("rep"), F.min_by("sketch", "id").alias("sketch")), "representatives")
-    members = found.select("id", F.col("class").alias("digest")).join(reps.select(F.col("class").alias("digest"), F.col("rep").alias("class")), "digest").select("id", "class")
+    members = stored(found.select("id", F.col("class").alias("digest")).join(reps.select(F.col("class").alias("digest"), F.col("rep").alias("class")), "digest").select("id", "class"), "members")
     buckets = max(1, -(-reps.count() * planes * len(lines()) // KEYS_A_BUCKET))
-    texts = source.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
+    copies = stored(members.where("id <> class").select("id"), "copies")
+    texts = source.join(broadcast_if_small(copies, IDS_SENT), "id", "left_anti")
     collisions = _collisions(_packed_keys(texts, buckets, planes), buckets)
     candidates = stored(_promising(collisions, reps, least_agreement(least, planes)), "candidates")
-    return stored(members, "members"), stored(_verified(candidates, source, least), "similar")
+    return members, stored(_verified(candidates, source, least), "similar")
 
 
 def all_pairs(members: DataFrame, pairs: DataFrame) -> DataFrame:
