@@ -122,14 +122,14 @@ def visual_locator(locator: Column) -> Column:
 def format_number(x: Column) -> Column:
     """A number in six significant digits without trailing zeros, in powers of ten below 0.0001 and from a million on."""
     x = x.cast("double")
-    power = F.format_string("%.5e", x)
-    exponent = F.regexp_extract(power, r"e([+-]\d+)$", 1).try_cast("int")
-    fixed = F.lit(None).cast("string")
-    for e in range(-4, 6):
-        fixed = F.when(exponent == e, F.format_string(f"%.{5 - e}f", x)).otherwise(fixed)
-    bare = lambda t: F.when(F.contains(t, F.lit(".")), F.regexp_replace(t, r"\.?0+$", "")).otherwise(t)
-    apart = F.concat(bare(F.regexp_extract(power, "^[^e]*", 0)), F.regexp_extract(power, "e.*$", 0))
-    return F.when(x == 0, "0").when(x.isNotNull(), F.coalesce(bare(fixed), apart))
+    power = F.format_string("%.5e", F.abs(x))
+    digits, exponent = F.concat(F.substring(power, 1, 1), F.substring(power, 3, 5)), F.regexp_extract(power, r"e([+-]\d+)$", 1).try_cast("int")
+    placed = (
+        F.when(exponent.between(0, 5), F.concat(F.left(digits, exponent + 1), F.lit("."), F.substring(digits, exponent + 2, F.lit(6))))
+        .when(exponent.between(-4, -1), F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)).otherwise(F.substring(power, 1, 7))
+    )
+    bare = F.concat(F.when(x < 0, "-").otherwise(""), F.regexp_replace(placed, r"\.?0*$", ""))
+    return F.when(x == 0, "0").when(x.isNotNull(), F.when(exponent.between(-4, 5), bare).otherwise(F.concat(bare, F.regexp_extract(power, "e.*$", 0))))
 
 
 def leaf_tokens(name: Column) -> Column:

@@ -44,20 +44,57 @@ def source_summary(sources: DataFrame, chunks: DataFrame, candidates: DataFrame)
     return x.select("source_id", "candidates", "chunk_count", "page_count", F.when(paged, F.concat(F.col("page_count").cast("string"), F.lit("p / "), count)).otherwise(count).alias("pages_text"), F.array_join(tags, ", ").alias("flags"))
 
 
-def commentary(reasoning, quote, locator, corroboration, degraded, cap, language, checker, arbiter):
-    """The clauses of a kept row's commentary, in order; a null or empty clause is left out."""
-    clause = lambda x, before="", after="": F.when(F.coalesce(x, F.lit("")) != "", F.concat(F.lit(before), x, F.lit(after)))
-    parts = (clause(reasoning), clause(quote, "Evidence: ", "."), clause(locator, "Locator: ", "."), clause(corroboration, "Corroborated by: ", "."), clause(degraded), clause(cap), clause(language), clause(checker, "Checker: ", "."), clause(arbiter, "Arbiter: "))
+# Fixed value: what a call says whose quote was only checked by its tokens.
+DEGRADED = "Evidence check: cited page detected as scrambled two-column text; verbatim quote match degraded to key-token overlap (confidence capped, review required)."
+
+
+def commentary(reasoning, quote, locator, corroboration, degraded, cap, language, status, note, arbiter):
+    """The clauses of a kept row's commentary, in order; an empty clause is left out."""
+    some = lambda x: F.when(F.coalesce(x, F.lit("")) != "", x)
+    text = lambda x: F.coalesce(x, F.lit(""))
+    head = F.concat(text(reasoning), F.lit(" Evidence: "), text(quote), F.lit(". Locator: "), text(locator), F.lit("."))
+    unclear = F.concat(F.lit("Checker: unconfirmed"), F.coalesce(F.concat(F.lit(" ("), some(note), F.lit(")")), F.lit("")), F.lit("."))
+    checker = F.when(status == "unclear", unclear).when(status == "missing", "Checker: not run.").when(status == "confirmed", F.concat(F.lit("Checker: "), some(note), F.lit(".")))
+    parts = (head, some(corroboration), F.when(degraded, DEGRADED), some(cap), some(language), checker, F.concat(F.lit("Arbiter: "), some(arbiter)))
     return F.array_join(F.array_compact(F.array(*parts)), " ")
 
 
-def manifest(settings: dict[str, object], sections: dict[str, DataFrame], most: int = 1000) -> str:
-    """Markdown of the settings that are set and of small tables, in order; refuses a table that is no report."""
-    out = ["# Run", "", *[f"- {k}: {v}" for k, v in settings.items() if v is not None]]
-    for title, df in sections.items():
+def manifest(
+    counts: DataFrame, failures: DataFrame, kept: DataFrame, chunk_failures: DataFrame | None = None, settings: dict[str, object] | None = None, sources: DataFrame | None = None,
+    grouping: dict | None = None, most: int = 10_000,
+) -> str:
+    """Markdown of a run: settings that are set, grouping, reconciliation, basis and strength of kept rows, reasons, sources.
+
+    counts has one row (candidates, kept, failed, status); what reaches the driver are labels with their numbers, and the
+    sources(source_id, source_type, page_count, chunk_count, candidates, visual_heavy, printed_pdf, scrambled_pages,
+    source_ord), a list that more than `most` refuses. Sections without lines are left out.
+    """
+
+    def few(df: DataFrame) -> list:
         rows = df.take(most + 1)
         if len(rows) > most:
-            raise ValueError(f"{title} has more than {most} rows")
-        if rows:
-            out += ["", f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *["| " + " | ".join(map(str, r)) + " |" for r in rows]]
-    return "\n".join(out) + "\n"
+            raise ValueError(f"a section of more than {most} lines")
+        return rows
+
+    one = counts.first()
+    lost = chunk_failures.count() if chunk_failures is not None else 0
+    every = (failures,) if chunk_failures is None else (failures, chunk_failures)
+    said: list[tuple[str, list[str]]] = []
+    if settings:
+        said.append(("Run configuration", [f"- {k}: {v}" for k, v in settings.items() if v is not None]))
+    if grouping:
+        lines = [f"- group notes: {grouping.get('notes_path')}"]
+        lines += [f"- {g['group_id']}: {', '.join(g['source_ids'])}" + (f" — note: {g['note']}" if g.get("note") else "") for g in grouping.get("groups", [])]
+        said.append(("Grouping", lines + [f"- warning: {w}" for w in grouping.get("warnings", [])]))
+    said.append(("Candidate reconciliation", [f"- candidates: {one.candidates}", f"- kept: {one.kept}", f"- failed: {one.failed}", f"- count check: {one.status}", f"- chunk failures (no candidate): {lost}"]))
+    said.append(("Call basis (kept rows)", [f"- {r.label}: {r.n}" for r in few(labelled_counts(kept, "basis", "stated").orderBy("label"))]))
+    said.append(("Checker strength (kept rows)", [f"- {r.label}: {r.n}" for r in few(labelled_counts(kept, "checker_strength", "(none)").orderBy("label"))]))
+    said.append(("Failure reasons", [f"- {r.reason_code}: {r.n}" for r in few(failure_counts(*every).orderBy(F.desc("n"), "reason_code"))]))
+    lines = []
+    for r in few(sources.orderBy("source_ord")) if sources is not None else ():
+        tags = (" [visual_heavy]" if r.visual_heavy else "") + (" [printed-to-pdf]" if r.printed_pdf else "")
+        tags += f" [scrambled pages: {', '.join(f'p.{n}' for n in r.scrambled_pages)}]" if r.scrambled_pages else ""
+        size = (f"{r.page_count}p / " if r.page_count else "") + f"{r.chunk_count} chunks"
+        lines.append(f"- {r.source_id} ({r.source_type}, {size}): {r.candidates} candidates emitted{tags}")
+    said.append(("Sources processed", lines))
+    return "\n".join(["# Run Manifest", "", *[x for title, lines in said if lines for x in (f"## {title}", *lines, "")]])

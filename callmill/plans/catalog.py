@@ -5,7 +5,7 @@ from __future__ import annotations
 from callmill.plans import oracle
 from callmill.plans import queries as q
 
-FLAGSHIP = "evidence_check"
+FLAGSHIP = "assembled_rows"
 
 
 def queries() -> dict:

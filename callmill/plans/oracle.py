@@ -168,3 +168,58 @@ SELECT count(*) FILTER (ina AND inb) AS matched, count(*) FILTER (ina AND inb AN
     "conflict_ledger": f"SELECT concat_ws('|', firm, sub_asset_class) AS leaf, string_agg(coalesce(call_view, ''), ',' ORDER BY call_id) AS ledger, CASE WHEN count(DISTINCT call_view) > 1 THEN 'CONFLICT' ELSE 'OK' END AS status FROM {CALLS} GROUP BY 1",
     "all_failures": f"SELECT CAST(chunk_id IS NOT DISTINCT FROM 'checker' AS INT) AS phase, failure_id, CASE WHEN chunk_id IS NOT DISTINCT FROM 'checker' THEN '' ELSE coalesce(reason_code, '') END AS reason_code FROM {FAILURES}",
 }
+
+_EVIDENCE = SQL["evidence_check"].removeprefix("WITH ").rsplit("\nSELECT", 1)[0]
+_EMPTY = "''"
+
+#: A run from failures as candidates to kept rows (`rows_out`) and failures (`fails`).
+RUN = f"""{_EVIDENCE},
+quality AS (SELECT source_id, well_read FROM ({SQL["read_quality"]})),
+info AS (SELECT source_id, min(list_row) AS source_ord, arg_min(coalesce(firm, ''), list_row) AS firm, arg_min(coalesce(published_at, ''), list_row) AS out_date, arg_min(coalesce(title, ''), list_row) AS source, arg_min(coalesce(resolved_url, ''), list_row) AS url
+  FROM ({SQL["source_urls"]}) JOIN {TARGETS} USING (list_row) GROUP BY 1),
+infos AS (SELECT *, 'pair-' || (source_ord // 2) AS group_id FROM info),
+pairs AS (SELECT group_id, count(*) AS members, arg_min(firm, source_ord) AS firm, string_agg(out_date, ' | ' ORDER BY source_ord) AS out_date, string_agg(source, ' | ' ORDER BY source_ord) AS source, string_agg(url, ' | ' ORDER BY source_ord) AS url FROM infos GROUP BY 1),
+c0 AS (SELECT j.* REPLACE (coalesce(evidence_quote, '') AS evidence_quote), t.leaf_no, t.asset_class_category, t.asset_class, t.canva_groupings, coalesce(well_read, FALSE) AS well, infos.group_id, coalesce(infos.group_id, j.source_id) AS gkey, infos.source_id IS NOT NULL AS has_info,
+  CASE evidence_kind WHEN 'table' THEN 'explicit_dial' WHEN 'visual' THEN 'directional' WHEN 'prose' THEN CASE WHEN basis = 'inferred' THEN 'implied' ELSE 'explicit_stance' END ELSE 'none' END AS lang,
+  TRY_CAST(nullif(regexp_extract(coalesce(evidence_quote, ''), '(\\d{{1,4}}) basis points', 1), '') AS DOUBLE) AS bp, TRY_CAST(nullif(regexp_extract(coalesce(evidence_quote, ''), '(\\d{{1,3}}\\.\\d{{1,2}})%', 1), '') AS DOUBLE) AS pct,
+  CASE WHEN checker_strength IS NULL THEN 'missing' WHEN reason_code IN ('checker_sign_mismatch', 'checker_not_forward_looking', 'checker_asset_mismatch', 'unresolved_conflict') THEN 'unclear' ELSE 'confirmed' END AS status
+  FROM j LEFT JOIN {LEAF} t USING (sub_asset_class) LEFT JOIN quality USING (source_id) LEFT JOIN infos USING (source_id)),
+c1 AS (SELECT *, abs(coalesce(bp, pct, 0)) AS size, CASE WHEN bp IS NOT NULL THEN 'bp' ELSE 'pct' END AS unit, CASE WHEN bp IS NOT NULL THEN 25 ELSE 2 END AS least, coalesce(checker_strength, '') AS gs,
+  CASE WHEN status = 'confirmed' THEN coalesce(nullif(checker_strength, ''), 'decisive') WHEN status = 'unclear' THEN coalesce(checker_strength, '') ELSE '' END AS strength FROM c0),
+c2 AS (SELECT *, CASE WHEN leaf_no IS NULL OR taxonomy_match = 'none' THEN 'taxonomy_no_match' WHEN r IS NOT NULL THEN r WHEN basis = 'forecast_delta' AND size < least THEN 'delta_below_materiality'
+  WHEN checker_strength IS NOT NULL AND reason_code IN ('checker_sign_mismatch', 'checker_not_forward_looking', 'checker_asset_mismatch') THEN reason_code END AS gate,
+  status = 'confirmed' AND strength = 'thin' AS thinly, CASE lang WHEN 'explicit_dial' THEN 30 WHEN 'explicit_stance' THEN 26 WHEN 'directional' THEN 19 WHEN 'implied' THEN 12 ELSE 0 END + 25 + CASE WHEN taxonomy_match = 'exact' THEN 20 ELSE 10 END + CASE WHEN call_view = 'UNCERTAIN' THEN 5 ELSE 15 END
+  + CASE WHEN well THEN 10 ELSE 0 END - CASE WHEN status = 'confirmed' AND strength = 'adequate' THEN 4 ELSE 0 END AS total FROM c1),
+c3 AS (SELECT *, CASE WHEN deg OR coalesce(basis IN ('forecast_delta', 'inferred'), FALSE) OR status <> 'confirmed' OR thinly THEN least(total, 74) ELSE total END AS conf,
+  CASE WHEN gate = 'taxonomy_no_match' THEN gate WHEN gate = r THEN m WHEN gate = 'delta_below_materiality' THEN 'forecast delta ' || format('{{:g}}', size::DOUBLE) || unit || ' is below the ' || least || unit || ' materiality floor (provisional, pending client confirmation)' WHEN gate IS NOT NULL THEN coalesce(nullif(message, ''), gate) END AS gate_message,
+  trim(CASE basis WHEN 'forecast_delta' THEN 'Basis: forecast_delta — a house forecast endpoint (' || format('{{:g}}', size::DOUBLE) || unit || ' move) is treated as a provisional view (delta-as-view pending client confirmation); confidence capped below High and review required.'
+    WHEN 'inferred' THEN 'Basis: inferred — single-step analyst inference from macro/thematic prose; segregated one band below stated calls, review required.' ELSE '' END
+    || CASE WHEN thinly THEN ' Checker: evidence_strength thin — quoted evidence supports the view only just; confidence capped below High and review required.' ELSE '' END) AS cap,
+  CASE WHEN status = 'missing' THEN ' Checker: not run.' WHEN status = 'unclear' THEN ' Checker: unconfirmed' || CASE WHEN coalesce(message, '') <> '' THEN ' (' || message || ')' ELSE '' END || '.' WHEN gs = '' THEN ' Checker: checker verdict missing evidence_strength; legacy all-pass treated as decisive.'
+    WHEN thinly THEN ' Checker: checker evidence_strength is thin; confidence capped below High and review required.' ELSE '' END AS checker FROM c2),
+k0 AS (SELECT *, min(failure_id) OVER w AS ord, min(call_view) OVER w <> max(call_view) OVER w AS clash, count(*) OVER w AS members, row_number() OVER (PARTITION BY gkey, sub_asset_class ORDER BY failure_id) - 1 AS gi FROM c3 WHERE gate IS NULL WINDOW w AS (PARTITION BY gkey, sub_asset_class)),
+k1 AS (SELECT *, min(CASE WHEN gs = 'decisive' THEN gi END) OVER (PARTITION BY gkey, sub_asset_class) AS pick, first_value(failure_id) OVER b AS best, first_value(locator) OVER b AS best_at, first_value(source_id) OVER b AS best_source FROM k0 WINDOW b AS (PARTITION BY gkey, sub_asset_class ORDER BY conf DESC, failure_id)),
+k2 AS (SELECT k1.*, CASE WHEN clash THEN CASE WHEN pick IS NULL THEN 'unresolved_conflict' WHEN pick <> gi THEN 'arbitrated_out' END WHEN failure_id <> best THEN 'duplicate_same_view' END AS route FROM k1),
+notes AS (SELECT best AS failure_id, 'Corroborated by companion source: ' || string_agg(coalesce(i.source, k2.source_id) || ' (' || coalesce(locator, '') || ')', '; ' ORDER BY k2.failure_id) || '.' AS corr FROM k2 LEFT JOIN infos i USING (source_id) WHERE route = 'duplicate_same_view' AND k2.source_id IS DISTINCT FROM best_source GROUP BY 1),
+w0 AS (SELECT *, list_sort(list_distinct(list_filter(list_transform(string_split(evidence_quote, ' ... '), lambda q: {norm("q")}), lambda q: q <> ''))) AS k, list_distinct(regexp_extract_all(lower({norm("evidence_quote")}), '[a-z0-9]+')) AS words FROM k2 WHERE route IS NULL AND has_info),
+w1 AS (SELECT *, {OVERLAP} AS o FROM w0),
+w2 AS (SELECT *, count(*) OVER w AS n, max(o) OVER w AS mo, row_number() OVER x AS rn, first_value(sub_asset_class) OVER x AS top FROM w1 WINDOW w AS (PARTITION BY source_id, call_view, k), x AS (PARTITION BY source_id, call_view, k ORDER BY o DESC, leaf_no, ord)),
+kl AS (SELECT source_id, call_view, k, string_agg('{_EMPTY}' || sub_asset_class || '{_EMPTY}', ', ' ORDER BY i) AS kept FROM (SELECT source_id, call_view, k, sub_asset_class, min(ord) AS i FROM w2 WHERE o > 0 GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3),
+w3 AS (SELECT w2.*, kept, n > 1 AND (mo > 0 AND o = 0 OR mo = 0 AND rn > 1) AS gone FROM w2 LEFT JOIN kl USING (source_id, call_view, k)),
+fails AS (
+  SELECT 0 AS phase, failure_id, gate AS code, gate_message AS said, gs FROM c3 WHERE gate IS NOT NULL
+  UNION ALL SELECT 1, failure_id, route, CASE route WHEN 'unresolved_conflict' THEN 'multiple views survived validation for the same source/group and leaf; arbiter: first decisive' WHEN 'arbitrated_out' THEN 'first decisive' ELSE 'same view already kept from ' || coalesce(best_at, '') END, '' FROM k2 WHERE route IS NOT NULL
+  UNION ALL SELECT 1, failure_id, 'source_metadata_missing', 'source metadata was not available for this candidate', '' FROM k2 WHERE route IS NULL AND NOT has_info
+  UNION ALL SELECT 2, failure_id, 'duplicate_cross_leaf', 'same source, view, and evidence as kept leaf ' || CASE WHEN mo > 0 THEN kept ELSE '{_EMPTY}' || top || '{_EMPTY}' END || '; this leaf is not named in the shared evidence (cross-leaf fan-out)', '' FROM w3 WHERE gone),
+rows_out AS (SELECT w3.failure_id AS cand_idx, ord AS row_ord, p.firm, CASE WHEN p.members > 1 THEN p.out_date ELSE i.out_date END AS out_date, CASE WHEN p.members > 1 THEN p.source ELSE i.source END AS source, CASE WHEN p.members > 1 THEN p.url ELSE i.url END AS url,
+  sub_asset_class, asset_class_category, canva_groupings, asset_class, call_view,
+  coalesce(reasoning, '') || ' Evidence: ' || evidence_quote || '. Locator: ' || coalesce(locator, '') || CASE WHEN p.members > 1 THEN ' (' || i.source || ')' ELSE '' END || '.' || coalesce(' ' || corr, '')
+    || CASE WHEN deg THEN ' Evidence check: cited page detected as scrambled two-column text; verbatim quote match degraded to key-token overlap (confidence capped, review required).' ELSE '' END || CASE WHEN cap <> '' THEN ' ' || cap ELSE '' END || checker || CASE WHEN clash THEN ' Arbiter: first decisive' ELSE '' END AS full_commentary,
+  CAST(conf AS INT) AS confidence, CASE WHEN conf >= 75 THEN 'High' WHEN conf >= 50 THEN 'Medium' ELSE 'Low' END AS band,
+  CASE WHEN conf < 50 THEN 'strong_review' WHEN conf < 75 OR call_view = 'UNCERTAIN' OR deg OR cap <> '' OR clash OR call_view IS NULL THEN 'review' ELSE 'none' END AS review_flag, coalesce(basis, 'stated') AS basis, strength AS checker_strength
+  FROM w3 JOIN infos i USING (source_id) JOIN pairs p ON p.group_id = i.group_id LEFT JOIN notes ON notes.failure_id = w3.failure_id WHERE NOT gone)"""
+
+SQL["assembled_rows"] = f"WITH {RUN} SELECT * FROM rows_out"
+SQL["assembled_failures"] = f"""WITH {RUN} SELECT fails.phase, fails.failure_id AS cand_idx, code AS reason_code, said AS message, fails.gs AS checker_strength, coalesce(source_id, '') AS source_id, coalesce(chunk_id, '') AS chunk_id, coalesce(sub_asset_raw, '') AS sub_asset_raw, coalesce(sub_asset_class, '') AS sub_asset_class,
+coalesce(call_view, '') AS call_view, coalesce(taxonomy_match, '') AS taxonomy_match, coalesce(evidence_kind, '') AS evidence_kind, coalesce(locator, '') AS locator, coalesce(basis, '') AS basis FROM fails JOIN c3 USING (failure_id)"""
+SQL["assembled_counts"] = f"WITH {RUN} SELECT 'kept' AS label, count(*) AS n FROM rows_out UNION ALL SELECT code, count(*) FROM fails GROUP BY 1 UNION ALL SELECT 'candidates', count(*) FROM c3"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callmill.common import once, read
 from callmill.functions import text as T
-from callmill.operators import assemble, contracts, evaluate, evidence, ingest, instants, layout, report, scoring, taxonomy
+from callmill.operators import assemble, contracts, evaluate, evidence, ingest, instants, layout, pipeline, report, scoring, taxonomy
 
 LANGUAGES = ("explicit_dial", "explicit_stance", "directional", "implied", "none")
 
@@ -278,9 +278,63 @@ def all_failures(spark, d):
     return both.select("phase", "failure_id", F.coalesce("reason_code", F.lit("")).alias("reason_code"))
 
 
+def _candidates(spark, d):
+    """Failures as candidates: language by the kind of evidence, deltas read from the quote."""
+    columns = ("source_id", "chunk_id", "sub_asset_raw", "sub_asset_class", "call_view", "taxonomy_match", "evidence_kind", "evidence_quote", "locator", "reasoning", "basis")
+    rows = _failures(spark, d, *columns)
+    kind, inferred = F.col("evidence_kind"), F.coalesce(F.col("basis") == "inferred", F.lit(False))
+    spoken = F.when(kind == "table", "explicit_dial").when(kind == "visual", "directional").when((kind == "prose") & inferred, "implied").when(kind == "prose", "explicit_stance").otherwise("none")
+    points = F.nullif(F.regexp_extract(F.coalesce("evidence_quote", F.lit("")), r"(\d{1,4}) basis points", 1), F.lit("")).cast("double")
+    percent = F.nullif(F.regexp_extract(F.coalesce("evidence_quote", F.lit("")), r"(\d{1,3}\.\d{1,2})%", 1), F.lit("")).cast("double")
+    made = rows.withColumnRenamed("failure_id", "cand_idx").withColumn("evidence_spans", F.coalesce(F.split("evidence_quote", r" \.\.\. "), F.array().cast("array<string>")))
+    made = made.withColumn("delta_value", F.coalesce(points, percent)).withColumn("delta_unit", F.when(points.isNotNull(), "bp").otherwise("pct"))
+    return made.withColumn("call_language", spoken).withColumn("conflict", F.col("call_view") == "UNCERTAIN").drop("evidence_quote")
+
+
+def _source_infos(spark, d):
+    """The target list's sources; neighbours in it are companions."""
+    found = ingest.target_sources(_targets(spark, d)).select("source_id", F.col("list_row").alias("source_ord"), "firm", F.col("published_at").alias("out_date"), F.col("title").alias("source"), F.col("resolved_url").alias("url"))
+    rest = F.struct("source_ord", "firm", "out_date", "source", "url")
+    sources = found.groupBy("source_id").agg(F.min_by(rest, "source_ord").alias("s")).select("source_id", "s.*")
+    return sources, sources.select("source_id", F.concat(F.lit("pair-"), F.floor(F.col("source_ord") / 2).cast("string")).alias("group_id"))
+
+
+def _assembled(spark, d):
+    verdicts = _failures(spark, d, "reason_code", "checker_strength", "message").where("checker_strength is not null")
+    answer = lambda code, doubt="": F.when(F.col("reason_code") == code, "fail").when(F.col("reason_code") == doubt, "unclear").otherwise("pass")
+    verdicts = verdicts.select(
+        F.col("failure_id").alias("cand_idx"), answer("checker_sign_mismatch", "unresolved_conflict").alias("supports_view"), answer("checker_not_forward_looking").alias("forward_looking"), answer("checker_asset_mismatch").alias("asset_match"),
+        F.col("checker_strength").alias("evidence_strength"), F.col("message").alias("note"),
+    )
+    sources, groups = _source_infos(spark, d)
+    texts = pipeline.prepared_sources(_snapshots(spark, d, "snapshot_text", "page_count", "scrambled_pages"))
+    judged = pipeline.judge(_candidates(spark, d), read(spark, d, "taxonomy"), texts, _chunks(spark, d), verdicts, groups)
+    decisive = F.min(F.when(F.col("given_strength") == "decisive", F.col("group_idx")))
+    decisions = pipeline.conflicting(judged).groupBy(*pipeline.GROUP).agg(decisive.alias("winning_index"), F.lit("first decisive").alias("reasoning"))
+    return pipeline.assembled(judged, sources, decisions, groups)
+
+
+def assembled_rows(spark, d):
+    """The flagship, end to end: gates, score, groups, decisions, duplicates, display and commentary of the kept rows."""
+    return _assembled(spark, d).output
+
+
+def assembled_failures(spark, d):
+    return _assembled(spark, d).failures.drop("group_ord", "evidence_quote", "reasoning")
+
+
+def assembled_counts(spark, d):
+    """Reconciliation of a whole run, by real steps: what is kept and what fails under each reason add up to the candidates."""
+    done = _assembled(spark, d)
+    kept = done.output.agg(F.lit("kept").alias("label"), F.count("*").alias("n"))
+    failed = report.failure_counts(done.failures).withColumnRenamed("reason_code", "label")
+    every = _failures(spark, d).agg(F.lit("candidates").alias("label"), F.count("*").alias("n"))
+    return kept.unionByName(failed).unionByName(every)
+
+
 NAMES = (
     "source_urls firm_keys visual_pages made_chunks chunk_lengths source_batches read_quality normalized_quotes nfkc_texts quote_tokens verbatim_evidence evidence_check locator_parse "
     "taxonomy_lookup unknown_labels taxonomy_integrity taxonomy_outline failure_reason_counts basis_counts strength_counts reconciliation source_summary view_conflicts same_view_dedup arbitration "
-    "corroboration cross_leaf_dedup rolling_memory displayed_chunks contract_candidates contract_verdicts call_scores hard_failures band_counts scrambled_pages eval_agreement one_hot_views conflict_ledger all_failures"
+    "corroboration cross_leaf_dedup rolling_memory displayed_chunks contract_candidates contract_verdicts call_scores hard_failures band_counts assembled_rows assembled_failures assembled_counts scrambled_pages eval_agreement one_hot_views conflict_ledger all_failures"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES} | {"p5_found": instants.p5_found}

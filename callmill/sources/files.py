@@ -68,10 +68,27 @@ def html_text(html):
 
 def write_csv(df: DataFrame, path: str, columns: list[str], *order: str, single: bool = True) -> None:
     """The columns in their order; rows sorted by `order`. A single file suits a report; large results keep their partitions."""
-    chosen = df.orderBy(*order) if order else df
-    chosen = chosen.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    chosen = df.orderBy(*[F.col(f"`{o}`") for o in order]) if order else df
+    chosen = chosen.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
     (chosen.coalesce(1) if single else chosen).write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
+# The workbook's headings of the result files' columns.
+HEADINGS = {
+    "firm": "Firm", "out_date": "Date", "source": "Source", "url": "URL", "sub_asset_class": "Sub-Asset Class", "asset_class_category": "Asset Class Category", "canva_groupings": "Canva Groupings",
+    "asset_class": "Asset Class", "call_view": "View", "full_commentary": "Full Commentary",
+}
+
+
+def write_output(rows: DataFrame, path: str, *order: str, single: bool = True) -> None:
+    """Kept rows under the workbook's headings."""
+    write_csv(rows.withColumnsRenamed(HEADINGS), path, [HEADINGS.get(c, c) for c in OUTPUT_COLUMNS], *[HEADINGS.get(c, c) for c in order], single=single)
+
+
+def write_failures(rows: DataFrame, path: str, *order: str, single: bool = True) -> None:
+    """Failures with their view under its short heading."""
+    write_csv(rows.withColumnRenamed("call_view", "view"), path, ["view" if c == "call_view" else c for c in FAILURE_COLUMNS], *order, single=single)
+
+
 def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -204,10 +204,20 @@ def test_taxonomy_and_reports(spark, tmp_path):
     assert rows_of(taxonomy.lookup(rows, t, "label").select("label", "asset_class")) == [("Gold", "Alt"), ("gold", None), (None, None)]
     assert rows_of(taxonomy.unknown_labels(rows, t, "label")) == [("gold", 1)]
     assert report.reconciliation(rows, rows.limit(1), rows.limit(1)).first().status == "review"
-    text = report.manifest({"engine": "x", "none": None}, {"Kept": report.labelled_counts(rows, "label", "(none)").orderBy("label"), "Empty": rows.limit(0)})
-    assert "- engine: x" in text and "none:" not in text and "| (none) | 1 |" in text and "Empty" not in text
-    said = spark.range(1).select(report.commentary(F.lit("R."), F.lit("q"), F.lit("p.1"), F.lit(""), F.lit(None), F.lit("Capped."), F.lit(None), F.lit("not run"), F.lit("won")).alias("x")).first().x
-    assert said == "R. Evidence: q. Locator: p.1. Capped. Checker: not run. Arbiter: won"
+    counts = report.reconciliation(rows, rows.limit(1), rows.limit(2))
+    kept = spark.createDataFrame([("stated", "thin"), ("", ""), (None, None)], "basis string, checker_strength string")
+    failed = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), ("b",)], "reason_code string")
+    done = spark.createDataFrame([("s2", "pdf", 3, 1, 4, False, True, [2, 3], 2), ("s1", "html", None, 2, 0, True, False, [], 1), ("s0", "pdf", 0, 0, 0, False, False, None, 3)], "source_id string, source_type string, page_count int, chunk_count int, candidates int, visual_heavy boolean, printed_pdf boolean, scrambled_pages array<int>, source_ord int")
+    text = report.manifest(counts, failed, kept, failed.where("reason_code = 'a'"), {"engine": "x", "none": None}, done, {"notes_path": "n.txt", "groups": [{"group_id": "group-1", "source_ids": ["a", "b"], "note": "w"}], "warnings": ["v"]})
+    assert text.split("\n") == [
+        "# Run Manifest", "", "## Run configuration", "- engine: x", "", "## Grouping", "- group notes: n.txt", "- group-1: a, b — note: w", "- warning: v", "",
+        "## Candidate reconciliation", "- candidates: 3", "- kept: 1", "- failed: 2", "- count check: pass", "- chunk failures (no candidate): 1", "",
+        "## Call basis (kept rows)", "- stated: 3", "", "## Checker strength (kept rows)", "- (none): 2", "- thin: 1", "", "## Failure reasons", "- a: 2", "- b: 2", "- c: 2", "",
+        "## Sources processed", "- s1 (html, 2 chunks): 0 candidates emitted [visual_heavy]", "- s2 (pdf, 3p / 1 chunks): 4 candidates emitted [printed-to-pdf] [scrambled pages: p.2, p.3]", "- s0 (pdf, 0 chunks): 0 candidates emitted", "",
+    ]
+    assert "## " not in report.manifest(counts, failed.limit(0), kept.limit(0)).split("## Candidate reconciliation")[1]
+    said = spark.range(1).select(report.commentary(F.lit("R."), F.lit("q"), F.lit("p.1"), F.lit(""), F.lit(False), F.lit("Capped."), F.lit(None), F.lit("unclear"), F.lit("why"), F.lit("won")).alias("x")).first().x
+    assert said == "R. Evidence: q. Locator: p.1. Capped. Checker: unconfirmed (why). Arbiter: won"
     calls = spark.createDataFrame([("f", "O"), ("g", "U"), ("h", "UNCERTAIN")], "firm string, call_view string")
     truth = spark.createDataFrame([("f", "U"), ("g", "U"), ("i", "O")], "firm string, call_view string")
     assert tuple(evaluate.agreement(calls, truth, ["firm"]).first()) == (2, 1, 1, 1, 1, 0)
@@ -228,6 +238,10 @@ def test_files(spark, tmp_path):
     files.write_csv(df.limit(0), str(tmp_path / "none"), ["v", "k"])
     assert next((tmp_path / "none").glob("*.csv")).read_text().strip() == "v,k"
 
+    kept = spark.createDataFrame([tuple("x" * (i + 1) for i in range(len(files.OUTPUT_COLUMNS)))], ", ".join(f"{c} string" for c in files.OUTPUT_COLUMNS))
+    files.write_output(kept, str(tmp_path / "kept"), "sub_asset_class")
+    assert next((tmp_path / "kept").glob("*.csv")).read_text().split("\n")[0] == "Firm,Date,Source,URL,Sub-Asset Class,Asset Class Category,Canva Groupings,Asset Class,View,Full Commentary,confidence,band,review_flag,basis,checker_strength"
+
     def fetcher(url):
         if "bad" in url:
             raise OSError("404")
