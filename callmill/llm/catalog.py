@@ -15,6 +15,7 @@ MODULES: dict[str, str] = {
     "p2_found": "splitting",
     "p7_ids": "encoding",
     "p8_containers": "packing",
+    "p8_limited": "packing",
 }
 
 

@@ -67,6 +67,18 @@ def test_packing_in_groups(spark):
     assert found.container_id.nunique() <= 1.06 * items.agg(F.sum("n")).first()[0] / 100 + 8
 
 
+def test_packing_under_attention(spark):
+    """Items that attention forbids are divided, others are not, and every limit holds."""
+    rows = [(i, (i * 41) % 130) for i in range(500)] + [(900, 1000), (901, 0), (902, None)]
+    items = spark.createDataFrame(rows, "k bigint, n int")
+    found = packing.pack(items, "k", "n", capacity=100, most_documents=5, most_attention=1600, group=200).toPandas()
+    found = found.assign(n=found.token_end - found.token_start)
+    used = found.groupby("container_id").n.agg(["sum", "count", lambda x: (x**2).sum()])
+    assert (used.iloc[:, 0] <= 100).all() and (used.iloc[:, 1] <= 5).all() and (used.iloc[:, 2] <= 1600).all()
+    assert found.groupby("k").n.sum().to_dict() == {k: n or 0 for k, n in rows}
+    assert all(count == max(1, -(-(n or 0) // 40)) for (k, n), count in zip(rows, found.groupby("k").n.count()[[k for k, _ in rows]]))
+
+
 def test_canonical(spark, tables):
     taxonomy = spark.read.parquet("/root/testdata/sf0.001/taxonomy.parquet").toPandas().to_dict("records")
     leaf = {r["sub_asset_class"]: int(r["leaf_no"]) for r in taxonomy}

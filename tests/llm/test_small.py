@@ -80,10 +80,29 @@ def test_best_fit(sizes):
         assert len(free) <= max(1, 2 * x.sum() / 50 + len(sizes) / 8 + 1)
 
 
-def test_best_fit_attention_binds():
-    x = np.array([30, 20, 20, 20])
-    chosen = packing.best_fit(x, 100, 10, 1000)
-    assert all((x[chosen == b] ** 2).sum() <= 1000 for b in chosen)
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 60), max_size=100), st.integers(1, 60), st.integers(1, 9), st.integers(1, 4000))
+def test_best_fit_under_every_limit(sizes, capacity, documents, attention):
+    """No container is over any limit, and none is opened while another could take the item."""
+    x = np.minimum(np.array(sizes, np.int64), packing.longest_part(capacity, attention))
+    chosen = packing.best_fit(x, capacity, documents, attention)
+    own = [x[chosen == b] for b in range(chosen.max(initial=-1) + 1)]
+    assert all(len(o) and o.sum() <= capacity and len(o) <= documents and (o**2).sum() <= attention for o in own)
+    seen: list = []
+    for i in np.argsort(-x, kind="stable"):
+        if chosen[i] == len(seen):
+            assert not any(sum(o) + x[i] <= capacity and len(o) < documents and sum(v * v for v in o) + x[i] ** 2 <= attention for o in seen)
+            seen.append([])
+        seen[chosen[i]].append(int(x[i]))
+
+
+def test_best_fit_refuses():
+    for wrong in (((5,), 4, 1, 100), ((5,), 10, 1, 24), ((1,), 0, 1, 1), ((1,), 5, 0, 5)):
+        try:
+            packing.best_fit(np.array(wrong[0]), *wrong[1:])
+        except ValueError:
+            continue
+        raise AssertionError(wrong)
 
 
 def test_lines_cover():
