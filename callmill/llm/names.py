@@ -3,9 +3,15 @@
 A name is taken apart into a kind of business and a distinctive core; legal forms, "Group" and "The" fall away, accents,
 case and misread digits are folded, given names stand for their nicknames. Cores are compared in pairs that share a
 block: the suffixes of a core's tokens and of its letters in a row, read from either end, from half its length on.
-Suffixes that too many cores share are not dropped but refined with the kind of business and the length, so that no
-pair is lost. A pair is linked if the longest common subsequence covers enough of both. Connected cores with one kind
-of business are one firm; a name without business belongs to the kind of which the core has the most spellings.
+Only cores that some kind of business could share are compared; a core without business may share any. Suffixes that
+many cores have are not dropped but refined with the kind of business and with the length, by what the comparison itself
+demands of lengths (and of an initial and the word it stands for), so that no pair is lost; what is still common then
+is cut into slices, and slices are paired in separate tasks. A pair is linked if the longest common subsequence covers
+enough of both. Connected cores with one kind of business are one firm; a name without business belongs to the kind of
+which the core has the most spellings.
+
+The words for kinds of business, legal forms and nicknames are a Lexicon, which the caller may replace or extend by the
+kinds that the names themselves show (found_kinds).
 
 Work is done once for each different string. Defined results: null and blank names are no names; names that differ only
 in white space or case are variants of each other; repeated rows count once; a firm with one spelling gives no pair.
@@ -14,11 +20,13 @@ Empty tables give none.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmill.common import read, stored
@@ -26,8 +34,12 @@ from callmill.llm.common import components, map_texts
 
 #: Least ratio of twice the longest common subsequence to both lengths.
 LEAST_RATIO = 0.88
-#: Shortest suffix that is indexed, and how many cores may share one before it is refined.
-LEAST_SUFFIX, COMMON = 5, 200
+#: Shortest suffix that is indexed, how many cores may share one before it is refined, and cores of a refined key that one task pairs.
+LEAST_SUFFIX, COMMON, SLICE = 5, 200, 2_000
+#: Letters up to which every suffix is indexed; of longer ones those of which each is a twentieth longer than the one before.
+EVERY_SUFFIX = 40
+#: Kinds of business that a lexicon may have; more are refused.
+MOST_KINDS = 10_000
 
 # Kinds of business and how they are written. Forms of up to four letters must stand alone.
 BUSINESSES = {
@@ -40,7 +52,7 @@ BUSINESSES = {
     "capital partners": "capital partners, cap partners, cap ptrs, capital ptnrs, cp",
     "research institute": "research institute, research inst, rsch institute, ri",
     "private bank": "private bank, priv bank, pvt bank, pb",
-    "life and pensions": "life and pensions, life and pens, l and p, lp",
+    "life and pensions": "life and pensions, life and pens, l and p",
 }
 
 # Legal forms and other words that name no firm.
@@ -57,11 +69,30 @@ NICKNAMES = {
     "frederick": "fred freddie", "francis": "frank", "deborah": "debbie deb", "judith": "judy", "pamela": "pam", "rebecca": "becky", "abigail": "abby",
 }
 
-_FORMS = sorted(((tuple(f.split()), b) for b, fs in BUSINESSES.items() for f in (x.strip() for x in fs.split(","))), key=lambda x: -len("".join(x[0])))
-_FORMAL: dict[str, list[str]] = {}
-for _name, _short in NICKNAMES.items():
-    for _s in _short.split():
-        _FORMAL.setdefault(_s, []).append(_name)
+@dataclass(frozen=True)
+class Lexicon:
+    """What names are taken apart by: forms of each kind of business, words that name no firm, short forms of given names."""
+
+    businesses: dict[str, str] = field(default_factory=lambda: BUSINESSES)
+    idle: tuple[str, ...] = tuple(IDLE)
+    nicknames: dict[str, str] = field(default_factory=lambda: NICKNAMES)
+
+    def __post_init__(self):
+        forms = ((tuple(f.split()), b) for b, fs in self.businesses.items() for f in (x.strip() for x in fs.split(",")))
+        object.__setattr__(self, "forms", sorted(forms, key=lambda x: -len("".join(x[0]))))
+        object.__setattr__(self, "long", [("".join(form), business) for form, business in self.forms if len("".join(form)) >= 7])
+        formal: dict[str, list[str]] = {}
+        for name, short in self.nicknames.items():
+            for s in short.split():
+                formal.setdefault(s, []).append(name)
+        object.__setattr__(self, "formal", formal)
+
+    def with_kinds(self, kinds: list[str]) -> Lexicon:
+        """The same with kinds of business that are written out only."""
+        return replace(self, businesses=self.businesses | {k: k for k in kinds if k not in self.businesses})
+
+
+DEFAULT = Lexicon()
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -78,23 +109,23 @@ def one_edit(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :]
 
 
-def tokens(raw: str) -> list[str]:
+def tokens(raw: str, lexicon: Lexicon = DEFAULT) -> list[str]:
     """Folded words: no accents, dots of initials joined, misread digits as letters, no legal forms at the ends."""
     text = "".join(c for c in unicodedata.normalize("NFKD", raw) if not unicodedata.combining(c)).casefold()
     text = re.sub(r"(?<![^\W\d_])((?:[a-z]\.){2,})", lambda m: m[0].replace(".", "") + " ", text)
     words = re.findall(r"[^\W_]+", text.replace("&", " and "))
     words = [w.translate(str.maketrans("015", "ols")) if re.search("[^0-9]", w) else w for w in words]
-    while words and words[-1] in IDLE and len(words) > 1:
+    while words and words[-1] in lexicon.idle and len(words) > 1:
         words.pop()
     while len(words) > 1 and words[0] == "the":
         words.pop(0)
     return words
 
 
-def take_apart(raw: str) -> tuple[str | None, list[str]]:
+def take_apart(raw: str, lexicon: Lexicon = DEFAULT) -> tuple[str | None, list[str]]:
     """Kind of business, or None, and the words of the core in their order."""
-    words = tokens(raw)
-    for form, business in _FORMS:
+    words = tokens(raw, lexicon)
+    for form, business in lexicon.forms:
         n = len(form)
         if len(words) > n:
             if tuple(words[-n:]) == form:
@@ -102,7 +133,7 @@ def take_apart(raw: str) -> tuple[str | None, list[str]]:
             if tuple(words[:n]) == form:
                 return business, words[n:]
     joined = "".join(words)
-    long = [("".join(form), business) for form, business in _FORMS if len("".join(form)) >= 7]
+    long = lexicon.long
     for form, business in long:
         if len(words[-1]) > len(form) + 2 and words[-1].endswith(form):
             return business, [*words[:-1], words[-1][: -len(form)]]
@@ -121,12 +152,12 @@ def take_apart(raw: str) -> tuple[str | None, list[str]]:
     return None, words
 
 
-def cores(words: list[str]) -> list[list[str]]:
+def cores(words: list[str], lexicon: Lexicon = DEFAULT) -> list[list[str]]:
     """The core's words without "and", with a nickname as each formal name that it may stand for."""
     words = [w for w in words if w != "and"] or words
     for i, w in enumerate(words):
-        if w in _FORMAL and len(words) > 1:
-            return [[*words[:i], formal, *words[i + 1 :]] for formal in _FORMAL[w]]
+        if w in lexicon.formal and len(words) > 1:
+            return [[*words[:i], formal, *words[i + 1 :]] for formal in lexicon.formal[w]]
     return [words]
 
 
@@ -160,42 +191,83 @@ def same_core(a: str, b: str) -> bool:
     return False
 
 
-def _parsed(names: DataFrame) -> DataFrame:
+def _parsed(names: DataFrame, lexicon: Lexicon) -> DataFrame:
     schema = pa.schema([("name", pa.string()), ("business", pa.string()), ("core", pa.string())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for name in batch.column("name").to_pylist():
-            business, words = take_apart(name)
-            rows += [(name, business, " ".join(c)) for c in cores(words)]
+            business, words = take_apart(name, lexicon)
+            rows += [(name, business, " ".join(c)) for c in cores(words, lexicon)]
         return pa.record_batch([pa.array(x, pa.string()) for x in (zip(*rows) if rows else ((), (), ()))], schema=schema)
 
     return map_texts(names, "name", "name string, business string, core string", run)
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
-    """core, business, key: the suffixes of tokens and of all letters, from either end."""
+    """core, business, key: hashes of the suffixes of tokens and of all letters, from either end.
+
+    Long strings are indexed at some lengths only; they begin a twentieth earlier, so that every pair that shares a
+    suffix of half its length shares one of these.
+    """
     letters = F.regexp_replace("core", " ", "")
     strings = F.array_distinct(F.concat(F.array(letters), F.filter(F.split("core", " "), lambda w: F.length(w) >= LEAST_SUFFIX)))
     ends = F.flatten(F.transform(strings, lambda w: F.array(F.struct(F.lit("s").alias("end"), w.alias("w")), F.struct(F.lit("p").alias("end"), F.reverse(w).alias("w")))))
-    each = nodes.select("core", "business", F.length(letters).alias("n"), F.explode(ends).alias("e")).select("core", "business", "n", "e.*")
-    least = F.greatest(F.lit(LEAST_SUFFIX), F.floor(F.length("w") / 2) - 1).cast("int")
-    sized = each.withColumn("k", F.explode(F.when(F.length("w") >= LEAST_SUFFIX, F.sequence(least, F.length("w"))).otherwise(F.array(F.length("w")))))
-    return sized.select("core", "business", "n", F.concat("end", F.expr("right(w, k)")).alias("key")).distinct()
+    each = nodes.select("core", "business", F.explode(ends).alias("e")).select("core", "business", "e.*").withColumn("n", F.length("w"))
+    steps = [EVERY_SUFFIX]
+    while steps[-1] < 100_000:
+        steps.append(max(steps[-1] + 1, int(steps[-1] * 1.05)))
+    half = F.floor(F.col("n") / 2) - 1
+    least = F.greatest(F.lit(LEAST_SUFFIX), F.when(half > EVERY_SUFFIX, F.floor(half * 0.95)).otherwise(half)).cast("int")
+    short = F.when(least <= F.least(F.col("n"), F.lit(EVERY_SUFFIX)), F.sequence(least, F.least(F.col("n"), F.lit(EVERY_SUFFIX)))).otherwise(F.array().cast("array<int>"))
+    far = F.when(F.col("n") > EVERY_SUFFIX, F.filter(F.array(*[F.lit(x) for x in steps[1:]]), lambda x: (x >= least) & (x <= F.col("n")))).otherwise(F.array().cast("array<int>"))
+    sized = each.withColumn("k", F.explode(F.when(F.col("n") >= LEAST_SUFFIX, F.array_distinct(F.concat(short, far, F.array(F.col("n"))))).otherwise(F.array(F.col("n")))))
+    return sized.select("core", "business", F.xxhash64("end", F.expr("right(w, k)")).alias("key")).distinct()
+
+
+def _steps(n: Column) -> Column:
+    """The step of a length and the next one: two lengths of which the ratio allows both share one."""
+    # a step is a little wider than the ratio, so that lengths at its very edge are one step apart at most
+    step = F.floor(F.log(F.greatest(n, F.lit(1))) / (1.0001 * math.log((2 - LEAST_RATIO) / LEAST_RATIO)))
+    return F.array(step.cast("string"), (step + 1).cast("string"))
+
+
+def _refined(blocks: DataFrame, kinds: list[str]) -> DataFrame:
+    """core, key of what shares a common key: with the kind of business, and with the length that same_core demands.
+
+    That is the length of all letters, or, of an initial and a word that it may stand for, of the letters besides.
+    """
+    words = F.split("core", " ")
+    every = F.array(*[F.lit(k) for k in kinds or [""]])
+    known = blocks.withColumn("_kind", F.explode(F.when(F.col("business").isNull(), every).otherwise(F.array("business"))))
+    n = F.length(F.regexp_replace("core", " ", ""))
+    whole = F.transform(_steps(n), lambda s: F.concat_ws("|", F.lit("n"), s))
+    initials = F.filter(words, lambda w: F.length(w) == 1)
+    many = F.size(words) > 1
+    short = F.when(many & (F.size(initials) == 1), F.transform(_steps(n - 1), lambda s: F.concat_ws("|", F.lit("i"), F.get(initials, 0), s)))
+    stood = F.flatten(F.transform(F.filter(words, lambda w: F.length(w) > 1), lambda w: F.transform(_steps(n - F.length(w)), lambda s: F.concat_ws("|", F.lit("i"), F.substring(w, 1, 1), s))))
+    none = F.array().cast("array<string>")
+    marks = F.array_distinct(F.concat(whole, F.coalesce(short, none), F.when(many, stood).otherwise(none)))
+    return known.select("core", "key", "_kind", F.explode(marks).alias("_mark")).select("core", F.xxhash64("key", "_kind", "_mark").alias("key")).distinct()
 
 
 def _candidates(nodes: DataFrame) -> DataFrame:
+    """The different pairs of cores that share a suffix and may share a kind of business."""
     blocks = stored(_blocks(nodes), "blocks")
+    kinds = [r.business for r in nodes.where("business is not null").select("business").distinct().take(MOST_KINDS + 1)]
+    if len(kinds) > MOST_KINDS:
+        raise ValueError("kinds of business are few by contract")
     common = blocks.groupBy("key").count().where(F.col("count") > COMMON).select("key")
-    plain = blocks.join(common, "key", "left_anti").select("core", "key")
-    # refined: equal business and lengths within 8 letters; a core without business stands in every one
-    every = F.array(*[F.lit(b) for b in BUSINESSES])
-    fine = blocks.join(common, "key", "left_semi").withColumn("business", F.explode(F.when(F.col("business").isNull(), every).otherwise(F.array("business"))))
-    step = F.floor(F.col("n") / 8)
-    fine = fine.withColumn("step", F.explode(F.array(step, step + 1))).select("core", F.concat_ws("|", "key", "business", "step").alias("key"))
-    keyed = plain.unionByName(fine)
-    pairs = keyed.select(F.col("core").alias("a"), "key").join(keyed.select(F.col("core").alias("b"), "key"), "key").where("a < b").select("a", "b").distinct()
-    return pairs
+    plain = blocks.join(common, "key", "left_anti")
+    left, right = plain.select(F.col("core").alias("a"), F.col("business").alias("x"), "key"), plain.select(F.col("core").alias("b"), F.col("business").alias("y"), "key")
+    pairs = left.join(right, "key").where("a < b and (x is null or y is null or x = y)").select("a", "b")
+    fine = stored(_refined(blocks.join(common, "key", "left_semi"), kinds), "refined")
+    slices = fine.groupBy("key").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices")).where("slices > 1")
+    cut = fine.join(slices, "key", "left").withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("core"), F.col("slices")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    first = cut.select(F.col("core").alias("a"), "key", F.col("own").alias("i"), other.alias("j"))
+    second = cut.select(F.col("core").alias("b"), "key", F.col("own").alias("j"), other.alias("i"))
+    return pairs.unionByName(first.join(second, ["key", "i", "j"]).where("a < b").select("a", "b")).distinct()
 
 
 def _links(nodes: DataFrame) -> DataFrame:
@@ -208,9 +280,31 @@ def _links(nodes: DataFrame) -> DataFrame:
     return map_texts(_candidates(nodes), "a", "a string, b string", run)
 
 
-def firms(names: DataFrame) -> DataFrame:
+def found_kinds(names: DataFrame, least: int = 20, words: int = 3, lexicon: Lexicon = DEFAULT) -> list[str]:
+    """Kinds of business that names(name) show themselves: words that end at least `least` names with different beginnings.
+
+    Of endings that almost always stand in a longer one, the longer is the kind. The list is a vocabulary: more than MOST_KINDS are refused.
+    """
+    schema = pa.schema([("ending", pa.string()), ("start", pa.string())])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for name in batch.column("name").to_pylist():
+            w = tokens(name, lexicon)
+            rows += [(" ".join(w[-k:]), " ".join(w[:-k])) for k in range(1, min(words, len(w) - 1) + 1)]
+        return pa.record_batch([pa.array(x, pa.string()) for x in (zip(*rows) if rows else ((), ()))], schema=schema)
+
+    counts = map_texts(names, "name", "ending string, start string", run).groupBy("ending").agg(F.countDistinct("start").alias("n")).where(F.col("n") >= least)
+    found = {r.ending: r.n for r in counts.take(MOST_KINDS + 1)}
+    if len(found) > MOST_KINDS:
+        raise ValueError("kinds of business are few by contract")
+    held = {e for e in found for longer, n in found.items() if longer.endswith(" " + e) and n >= 0.8 * found[e]}
+    return sorted(set(found) - held)
+
+
+def firms(names: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
     """names(name), all different -> name, firm. Names of one firm share it."""
-    parsed = stored(_parsed(names), "parsed")
+    parsed = stored(_parsed(names, lexicon), "parsed")
     nodes = stored(parsed.select("core", "business").distinct(), "cores")
     links = _links(nodes)
     # a name that stands for several cores (a nickname) ties none of them together: it takes the one that others bear

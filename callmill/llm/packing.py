@@ -93,7 +93,8 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, most_d
         chosen = best_fit((pdf.token_end - pdf.token_start).to_numpy(), capacity, most_documents, most_attention, weights)
         return pdf.assign(container_id=[f"g{g}-{b}" for g, b in zip(pdf._group, chosen)]).drop(columns="_group")
 
-    packed = packed.groupBy("_group").applyInPandas(run, f"`{key}` bigint, part_no int, token_start int, token_end int, container_id string")
+    # by groups, not by bytes: the work is in the packing
+    packed = packed.repartition(groups, "_group").groupBy("_group").applyInPandas(run, f"`{key}` bigint, part_no int, token_start int, token_end int, container_id string")
     return packed.unionByName(whole.withColumn("container_id", F.concat(F.lit("w"), F.monotonically_increasing_id()))) if full else packed
 
 

@@ -127,15 +127,52 @@ def test_names(spark, tables):
 
 
 def test_names_in_common_blocks(spark, monkeypatch):
-    """Refined blocks find the same links."""
+    """Refined and sliced blocks find the same links: edits, initials and the words they stand for, lengths at the ratio's edge, other businesses, none."""
     rng = __import__("random").Random(2)
     syllables = "gom har wil nol sed kel bux cor tal fen".split()
-    firms_made = ["".join(rng.choices(syllables, k=4)).title() + " Fund Managers" for _ in range(40)]
-    spelled = firms_made + [f[:3] + f[4:] for f in firms_made] + [f.replace("Fund Managers", "FM") for f in firms_made]
+    made = ["".join(rng.choices(syllables, k=4)) for _ in range(40)]
+    spelled = [f"{m.title()} Fund Managers" for m in made] + [f"{m[:3]}{m[4:]} Fund Managers" for m in made] + [f"{m} FM" for m in made] + made[:10] + [f"{m} Private Bank" for m in made[:10]]
+    spelled += [f"{g} {m} Fund Managers" for m in made[:15] for g in ("C", "Christopher", "Bartholomew", "B.")] + [f"{made[0][:11]} Fund Managers", f"{made[0][:11]}abc Fund Managers", f"{made[3]} Van Christopher FM", f"Van C {made[3]} FM"]
     df = spark.createDataFrame([(x,) for x in set(spelled)], "name string")
-    plain = sorted(tuple(r) for r in names.firms(df).collect())
-    monkeypatch.setattr(names, "COMMON", 1)
-    assert sorted(tuple(r) for r in names.firms(df).collect()) == plain
+    nodes = names._parsed(df, names.DEFAULT).select("core", "business").distinct()
+    linked = lambda: sorted(tuple(r) for r in names._links(nodes).collect())
+    plain, whole = linked(), sorted(tuple(r) for r in names.firms(df).collect())
+    assert any(" " in a or " " in b for a, b in plain)
+    for common, cut in ((1, 10**6), (1, 3), (20, 5)):
+        monkeypatch.setattr(names, "COMMON", common)
+        monkeypatch.setattr(names, "SLICE", cut)
+        assert linked() == plain
+    assert sorted(tuple(r) for r in names.firms(df).collect()) == whole
+
+
+def test_names_many_cores_on_one_suffix(spark):
+    """Ten thousand cores that end alike: those that are one edit apart are linked, all others aren't."""
+    letters = "bdfghklmnprstvz"
+    made = [f"{a}{b}{c}{d}enburgwald" for a in letters for b in letters for c in letters for d in "bdf"]
+    assert len(set(made)) > 10_000
+    nodes = spark.createDataFrame([(m, "private bank") for m in made], "core string, business string")
+    pairs = names._candidates(nodes)
+    assert pairs.where("substring(a, 1, 3) = substring(b, 1, 3)").count() >= len(made) // 3 * 3
+
+
+def test_names_of_another_trade(spark):
+    """Kinds that the names show themselves stand where the lexicon knows none."""
+    made = ["Zelkorn", "Martuval", "Ostrenbek", "Quilvanor", "Pelstramo", "Drovenhal"]
+    spelled = [f"{m} {kind}" for m in made for kind in ("Dental Clinic", "Bakery", "bakery.", "Freight Lines")] + ["Zelkon Dental Clinic", "Martuvel Freight Lines", "DROVENHAL FREIGHT LINES"]
+    df = spark.createDataFrame([(x,) for x in set(spelled)], "name string")
+    kinds = names.found_kinds(df, least=5)
+    assert kinds == ["bakery", "dental clinic", "freight lines"]
+    firm = {r.name: r.firm for r in names.firms(df, names.Lexicon(businesses={}).with_kinds(kinds)).collect()}
+    assert firm["Zelkorn Dental Clinic"] == firm["Zelkon Dental Clinic"] != firm["Zelkorn Bakery"] == firm["Zelkorn bakery."]
+    assert firm["Drovenhal Freight Lines"] == firm["DROVENHAL FREIGHT LINES"] and firm["Martuval Freight Lines"] == firm["Martuvel Freight Lines"]
+    assert len(set(firm.values())) == 18
+
+
+def test_names_of_any_length(spark):
+    long = "ab" * 15_000
+    df = spark.createDataFrame([(long,), (long[:-1],), ("x",)], "name string")
+    firm = {r.name: r.firm for r in names.firms(df).collect()}
+    assert firm[long] == firm[long[:-1]] != firm["x"]
 
 
 def test_neardup(spark, tables):

@@ -130,6 +130,7 @@ def test_names_parts():
     assert names.take_apart("FenralwalkirResearchInstitute") == ("research institute", ["fenralwalkir"])
     assert names.take_apart("Zellan Invesyments") == ("investments", ["zellan"])
     assert names.take_apart("Group") == (None, ["group"])
+    assert names.take_apart("Zellan LP") == (None, ["zellan"]) and names.take_apart("Zellan L&P") == ("life and pensions", ["zellan"])
     assert names.cores(["ted", "abc"]) == [["theodore", "abc"], ["edward", "abc"]]
     assert names.same_core("michael ulmzelholdar", "holdar ulmzel michael") or names.same_core("michael ulmzelholdar", "michael ulmzel holdar")
     assert not names.same_core("quilingsilren", "quilingsortem")
