@@ -158,13 +158,13 @@ def test_names_many_cores_on_one_suffix(spark):
 def test_names_of_another_trade(spark):
     """Kinds that the names show themselves stand where the lexicon knows none."""
     made = ["Zelkorn", "Martuval", "Ostrenbek", "Quilvanor", "Pelstramo", "Drovenhal"]
-    spelled = [f"{m} {kind}" for m in made for kind in ("Dental Clinic", "Bakery", "bakery.", "Freight Lines")] + ["Zelkon Dental Clinic", "Martuvel Freight Lines", "DROVENHAL FREIGHT LINES"]
+    spelled = [f"{m} {kind}" for m in made for kind in ("Dental Clinic", "Bakery", "bakery.", "Freight Lines")] + ["Zelkon Dental Clinic", "Martuvl Freight Lines", "DROVENHAL FREIGHT LINES"]
     df = spark.createDataFrame([(x,) for x in set(spelled)], "name string")
     kinds = names.found_kinds(df, least=5)
     assert kinds == ["bakery", "dental clinic", "freight lines"]
     firm = {r.name: r.firm for r in names.firms(df, names.Lexicon(businesses={}).with_kinds(kinds)).collect()}
     assert firm["Zelkorn Dental Clinic"] == firm["Zelkon Dental Clinic"] != firm["Zelkorn Bakery"] == firm["Zelkorn bakery."]
-    assert firm["Drovenhal Freight Lines"] == firm["DROVENHAL FREIGHT LINES"] and firm["Martuval Freight Lines"] == firm["Martuvel Freight Lines"]
+    assert firm["Drovenhal Freight Lines"] == firm["DROVENHAL FREIGHT LINES"] and firm["Martuval Freight Lines"] == firm["Martuvl Freight Lines"]
     assert len(set(firm.values())) == 18
 
 
