@@ -273,8 +273,8 @@ def test_sentence_model_counts_every_document(spark):
     """Of 3,200 documents no count is missing: the model over a table is that of all texts at hand, words of few documents among them."""
     texts = ["Mr. Abc agrees. Yields fell. We trimmed utilities in Q3 2026.Not yet!", "Gold rose 4.1%. Copper fell! “Will it last?” asked one. Bonds held."] * 1_597 + [f"Zubrowo et al. bought zinc. Nickel fell.{' Tin rose.' * k}" for k in range(6)]
     assert len(texts) == 3_200
-    rows = spark.createDataFrame([(t,) for t in texts], "_text string")
-    made, wanted = sentences.fit_all(rows), sentences.fit(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, _text string")
+    made, wanted = sentences.fit_all(sentences.lay_out(rows)), sentences.fit(texts)
     assert "Zubrowo" in made.vocabulary and made.vocabulary == wanted.vocabulary
     assert made.follow == wanted.follow and made.total == wanted.total and made.kinds == wanted.kinds and made.words == wanted.words
     assert made.follow[(), "Zubrowo"] == 6 and made.follow[(), "Gold"] == 1_597
@@ -283,7 +283,7 @@ def test_sentence_model_counts_every_document(spark):
 def test_sentence_model_is_bounded_by_full_counts(spark, monkeypatch):
     texts = ["Gold rose. Copper fell. Bonds held."] * 20 + ["Tin rose. Zinc fell."] * 8
     monkeypatch.setattr(sentences, "MOST_GRAMS", 12)
-    made = sentences.fit_all(spark.createDataFrame([(t,) for t in texts], "_text string"))
+    made = sentences.fit_all(sentences.lay_out(spark.createDataFrame(list(enumerate(texts)), "id bigint, _text string")))
     assert 0 < sum(len(h) > 0 for h, _ in made.follow) <= 12 and all(n >= 20 for (h, _), n in made.follow.items() if h)
 
 

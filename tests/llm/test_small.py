@@ -244,3 +244,22 @@ def test_sketches_lose_next_to_nothing():
     assert 52 < least < 66 and (agree < least).mean() == 0
     x, y = np.array([[0b1101, 0]], np.uint64), np.array([[0b0001, 2**63]], np.uint64)
     assert neardup.agreement(x, y).tolist() == [62]
+
+
+def test_unmarked_stretch():
+    """Without any mark a capital after a word without one may begin a sentence; elsewhere only what has marks does."""
+    text = "rates fell in chile We trimmed copper Yields rose again and the desk of Mr Abc stayed with what it had " * 2
+    toks = sentences.tokens(text)
+    assert {toks[j][0] for j, _ in sentences.candidates(text, toks)} == {"We", "Yields", "Mr"}
+    toks = sentences.tokens("a Bc d. Ef gh")
+    assert [toks[j][0] for j, _ in sentences.candidates("a Bc d. Ef gh", toks)] == ["Ef"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 30), st.sets(st.integers(1, 29)))
+def test_untouched_ngrams(n, at):
+    marks = [f"w{i}" for i in range(n)]
+    gaps = [(j, 0.0) for j in sorted(at) if j < n]
+    row = ("<s>", *marks, "</s>")
+    open_to = {i for j, _ in gaps for i in range(j, j + 3)}
+    assert list(sentences.untouched(marks, gaps)) == [row[max(0, i - 2) : i + 2] for i in range(n + 1) if i not in open_to]
