@@ -20,6 +20,7 @@ from functools import lru_cache
 from pathlib import Path
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
@@ -42,6 +43,8 @@ _END = re.compile(r"[.!?。！？…][\"”’»)」』]*$")
 _WIDE = re.compile(r"[฀-໿぀-ヿ㐀-鿿가-힯]")
 _DIGITS = re.compile(r"\d+")
 _NOTE = re.compile(r"^([^:.]{2,40}): ")
+_WORDS = re.compile(r"[^\W\d_]+|©")
+_WIDE_PAIRS = re.compile(rf"(?=({_WIDE.pattern}{_WIDE.pattern}))")
 
 
 def fold(part: str) -> str:
@@ -77,6 +80,8 @@ def keys(line: str) -> list[int]:
 
 def n_words(line: str) -> float:
     """Words; of scripts without spaces, half their characters."""
+    if line.isascii():
+        return float(len(line.split()))
     wide = len(_WIDE.findall(line))
     return len(_WIDE.sub(" ", line).split()) + wide / 2
 
@@ -108,7 +113,10 @@ class Corpus:
 
 def words(line: str, above: str = "") -> list[str]:
     """The words and word pairs of a line, what stands before its colon, and the line above where that is short."""
-    one = re.findall(r"[^\W\d_]+|©", _WIDE.sub(" ", line).lower()) + [a + b for a, b in zip(line, line[1:]) if _WIDE.match(a) and _WIDE.match(b)]
+    if line.isascii():
+        one = _WORDS.findall(line.lower())
+    else:
+        one = _WORDS.findall(_WIDE.sub(" ", line).lower()) + _WIDE_PAIRS.findall(line)
     note = _NOTE.match(line.strip())
     return [*one, *map(" ".join, zip(one, one[1:])), *([fold(note[1]) + ":"] if note else []), *([f"under {fold(above)}"] if above and len(above) < 60 else [])]
 
@@ -120,6 +128,11 @@ NAMES = (
 ).split()
 
 
+#: What is told of the lines around: at two steps' distance their words and links only. A line that isn't there has none.
+_NEAR = [(d, [(x, f"{x}_{-d}" if d < 0 else f"{x}{d}") for x in ("words", "link") + (("share", "marked", "odds") if abs(d) == 1 else ())]) for d in (-2, -1, 1, 2)]
+_NOTHING = {"words": -1.0, "link": 0.0, "share": 0.0, "marked": -1.0, "odds": 0.0}
+
+
 def features(url: str | None, lines: list[str], corpus: Corpus) -> list[tuple[int, list[float]]]:
     """(line number, features) of each line that is not blank."""
     at = [i for i, x in enumerate(lines) if x.strip()]
@@ -132,15 +145,16 @@ def features(url: str | None, lines: list[str], corpus: Corpus) -> list[tuple[in
         ks, ps = keys(line), parts(line)
         link = sum(corpus.link(part_key(p)) for p in ps) / len(ps) if ps else 0.0
         above = lines[i - 1].strip() if i else ""
-        odd = [corpus.odds[w] for w in words(line, above) if w in corpus.odds]
-        special = [corpus.odds[w] for w in words(line, above) if w in corpus.odds and (w[-1:] == ":" or w[:6] == "under ")]
-        name = slug(line)
+        known = [(w, odds) for w in words(line, above) if (odds := corpus.odds.get(w)) is not None]
+        odd = [x for _, x in known]
+        special = [x for w, x in known if w[-1] == ":" or w[:6] == "under "]
+        name, split = slug(line), line.split()
         rows.append(
             {
                 "words": n_words(line), "chars": len(line), "marked": float(bool(_END.search(line))), "share": math.log10(corpus.share(ks[0]) + 1e-4), "host": corpus.on_host(ks[0]), "link": link, "parts": len(ps),
-                "title": float(bool(name) and name == address), "note_share": math.log10(corpus.share(ks[1]) + 1e-4) if len(ks) > 1 else -5.0, "odds": sum(odd) / len(odd) if odd else 0.0, "most_odds": max(odd, default=0.0), "least_odds": min(odd, default=0.0), "sum_odds": sum(odd), "note_odds": max(special, key=abs, default=0.0),
-                "bullet": float(bool(_BULLET.match(line))), "table": float(len(ps) > 1 and any(c.isdigit() for c in line)), "digits": sum(c.isdigit() for c in line) / len(line),
-                "capitals": sum(w[:1].isupper() for w in line.split()) / max(1, len(line.split())), "blank_before": float(i == 0 or not lines[i - 1].strip()), "blank_after": float(i + 1 >= len(lines) or not lines[i + 1].strip()),
+                "slug": name, "title": float(bool(name) and name == address), "note_share": math.log10(corpus.share(ks[1]) + 1e-4) if len(ks) > 1 else -5.0, "odds": sum(odd) / len(odd) if odd else 0.0, "most_odds": max(odd, default=0.0), "least_odds": min(odd, default=0.0), "sum_odds": sum(odd), "note_odds": max(special, key=abs, default=0.0),
+                "bullet": float(bool(_BULLET.match(line))), "table": float(len(ps) > 1 and any(map(str.isdigit, line))), "digits": sum(map(str.isdigit, line)) / len(line),
+                "capitals": sum(w[0].isupper() for w in split) / max(1, len(split)), "blank_before": float(i == 0 or not lines[i - 1].strip()), "blank_after": float(i + 1 >= len(lines) or not lines[i + 1].strip()),
             }
         )
     title = next((n for n, r in enumerate(rows) if r["title"]), None)
@@ -160,13 +174,12 @@ def features(url: str | None, lines: list[str], corpus: Corpus) -> list[tuple[in
         while length < len(rows) and rows[length]["words"] < PARAGRAPH and not rows[length]["marked"]:
             length += 1
         r |= {"run_length": run + max(0, length - n - 1) if run else 0, "index": n, "left": len(rows) - n - 1, "paragraphs_before": seen, "paragraphs_after": total - seen - body[n]}
-        r |= {"since_title": n - title if title is not None else 0, "before_title": float(title is not None and n < title), "part_of_title": float(bool(named) and named in slug(lines[i]))}
+        r |= {"since_title": n - title if title is not None else 0, "before_title": float(title is not None and n < title), "part_of_title": float(bool(named) and named in r["slug"])}
         seen += body[n]
-        for d in (-2, -1, 1, 2):
-            near = rows[n + d] if 0 <= n + d < len(rows) else None
-            tag = f"_{-d}" if d < 0 else str(d)
-            for x in ("words", "link") + (("share", "marked", "odds") if abs(d) == 1 else ()):
-                r[x + tag] = near[x] if near else -1.0 if x in ("words", "marked") else 0.0
+        for d, wanted in _NEAR:
+            near = rows[n + d] if 0 <= n + d < len(rows) else _NOTHING
+            for x, as_name in wanted:
+                r[as_name] = near[x]
         out.append((i, [float(r[x]) for x in NAMES]))
     return out
 
@@ -186,17 +199,42 @@ def labelled() -> list[tuple[str, list[str], dict[int, int]]]:
 
 
 @lru_cache
-def word_odds() -> dict[str, float]:
-    """Log-odds for boilerplate of each word that two labelled pages have."""
-    by: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    pages: Counter = Counter()
+def labelled_words() -> list[tuple[Counter, Counter]]:
+    """(of the article, of the rest): in how many lines of each labelled page its words stand."""
+    out = []
     for _, lines, label in labelled():
-        of = {i: set(words(lines[i], lines[i - 1].strip() if i else "")) for i in label}
-        pages.update(set().union(*of.values()))
+        by: tuple[Counter, Counter] = Counter(), Counter()
         for i, y in label.items():
-            by[y].update(of[i])
-    n0, n1 = sum(by[0].values()), sum(by[1].values())
-    return {w: math.log((by[1][w] + 0.5) / (n1 + 1)) - math.log((by[0][w] + 0.5) / (n0 + 1)) for w, n in pages.items() if n > 1}
+            by[y].update(set(words(lines[i], lines[i - 1].strip() if i else "")))
+        out.append(by)
+    return out
+
+
+@lru_cache
+def _word_sums(kept: tuple[int, ...]) -> tuple[Counter, Counter, Counter]:
+    lines: tuple[Counter, Counter] = Counter(), Counter()
+    pages: Counter = Counter()
+    for n in kept:
+        for y in (0, 1):
+            lines[y].update(labelled_words()[n][y])
+        pages.update(labelled_words()[n][0].keys() | labelled_words()[n][1].keys())
+    return *lines, pages
+
+
+def word_odds(kept: tuple[int, ...] | None = None, of: int | None = None) -> dict[str, float]:
+    """Log-odds for boilerplate of each word that two of the kept labelled pages (all) have.
+
+    of: a page that is described by the words of the other pages alone, as unknown pages are; then only its own words are given.
+    """
+    kept = tuple(range(len(labelled()))) if kept is None else kept
+    a, b, pages = _word_sums(kept)
+    none: Counter = Counter()
+    own_a, own_b = labelled_words()[of] if of in kept else (none, none)
+    asked = pages if of is None else labelled_words()[of][0].keys() | labelled_words()[of][1].keys()
+    n0, n1 = a.total() - own_a.total(), b.total() - own_b.total()
+    other = 1 if of in kept else 0
+    odds = lambda w: math.log((b[w] - own_b[w] + 0.5) / (n1 + 1)) - math.log((a[w] - own_a[w] + 0.5) / (n0 + 1))
+    return {w: odds(w) for w in asked if pages[w] - other > 1}
 
 
 def counted(pages: DataFrame) -> tuple[DataFrame, int]:
@@ -231,7 +269,7 @@ def of_page(odds: dict[str, float], total: int, of_host: int, ks: list | None, a
 
 
 def train(spark: SparkSession, corpora: dict[int, Corpus]) -> DecisionTreeClassificationModel:
-    """The tree of the labelled pages, each described by its own counts."""
+    """The tree of the labelled pages, each described by its own counts and by the other pages' words."""
     rows = [(f, float(label[i])) for n, (url, lines, label) in enumerate(labelled()) for i, f in features(url, lines, corpora[n])]
     table = spark.createDataFrame(rows, "f array<double>, label double").select(array_to_vector("f").alias("features"), "label").coalesce(1)
     return DecisionTreeClassifier(maxDepth=DEPTH, minInstancesPerNode=LEAST_ROWS, maxBins=64, seed=7).fit(table)
@@ -241,13 +279,15 @@ def boilerplate_lines(pages: DataFrame) -> DataFrame:
     """pages(source_id, resolved_url, snapshot_text), one row for each source -> source_id, line_no of what is not article."""
     odds, (counts, total) = word_odds(), counted(pages)
     columns = ("of_host", "keys", "alls", "hosts")
-    model = train(pages.sparkSession, {r.label: of_page(odds, total, *(r[c] for c in columns)) for r in counts.where("label is not null").collect()})
+    model = train(pages.sparkSession, {r.label: of_page(word_odds(of=r.label), total, *(r[c] for c in columns)) for r in counts.where("label is not null").collect()})
     schema = pa.schema([("source_id", pa.string()), ("line_no", pa.int32()), ("f", pa.list_(pa.float64()))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         given = zip(*(batch.column(c).to_pylist() for c in ("source_id", "resolved_url", "snapshot_text", *columns)))
         rows = [(s, i, f) for s, u, t, *c in given for i, f in features(u, t.split("\n"), of_page(odds, total, *c))]
-        return pa.record_batch([pa.array([r[k] for r in rows], x.type) for k, x in enumerate(schema)], schema=schema)
+        flat = pa.array(np.array([f for _, _, f in rows], np.float64).ravel())
+        described = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(rows) + 1) * len(NAMES), len(NAMES)), pa.int32()), flat)
+        return pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), described], schema=schema)
 
     own = pages.select("source_id", "resolved_url", "snapshot_text").join(counts.where("label is null").drop("label"), "source_id")
     described = map_texts(own, "snapshot_text", "source_id string, line_no int, f array<double>", run)
