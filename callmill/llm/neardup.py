@@ -419,3 +419,11 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts.append(members.select(F.lit(t).alias("table_name"), F.lit("member").alias("kind"), F.col("id").alias("x"), F.col("class").alias("y")))
         parts.append(pairs.select(F.lit(t).alias("table_name"), F.lit("link").alias("kind"), F.col("a").alias("x"), F.col("b").alias("y")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+#: The pairs in SQL: all that share a sequence, compared in full.
+_SETS = """w AS (SELECT DISTINCT ON ({key}) {key} AS id, regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table} WHERE {key} IS NOT NULL AND {text} IS NOT NULL),
+g AS (SELECT id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM w WHERE len(w) >= 12),
+u AS (SELECT id, len(g) AS n, unnest(g) AS x FROM g)
+SELECT '{table}' AS table_name, a.id AS id_a, b.id AS id_b FROM u a JOIN u b ON a.x = b.x AND a.id < b.id GROUP BY a.id, b.id, a.n, b.n HAVING count(*) >= 0.6 * (a.n + b.n - count(*))"""
+P6_SQL = " UNION ALL ".join(f"SELECT * FROM (WITH {_SETS.format(table=t, key=k, text=x)})" for t, k, x in _TABLES)
