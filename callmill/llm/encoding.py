@@ -1,8 +1,9 @@
 """Encoding of the whole corpus with a public tokenizer (problem 7).
 
-A byte-level BPE from a local rank file. Long texts are first cut where no token can cross: before a space that
-follows a non-space and is followed by one. Each stretch is encoded on its own, so the ids are those of the whole
-text and memory and time stay in proportion. Decoding goes through raw bytes, since a token may end inside a character.
+A byte-level BPE from a local rank file. Long texts are first cut where no token can cross, since the tokenizer's own
+split of a text into words ends there: before a space between other characters, between a letter, a digit and any other
+mark (but for an apostrophe and what a space binds), and before white space that follows a mark. Each stretch is encoded
+on its own, so the ids are those of the whole text and memory and time stay in proportion wherever words end, whatever the script. Decoding goes through raw bytes, since a token may end inside a character.
 
 Defined results: null and empty texts give an empty list; special tokens' strings are ordinary text; equal texts give
 equal ids; lone surrogates can't occur in Spark strings. Empty tables give no rows.
@@ -29,7 +30,11 @@ FILE = "byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters up to which a text is encoded in one call.
 STRETCH = 20_000
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
+# Characters that are letters, digits and other marks in every version of Unicode, the apostrophe left out.
+_LETTER, _DIGIT = "A-Za-zÀ-ÖØ-öø-ɏΆ-ώА-яЁёא-תء-غف-يअ-हก-ะา-ำぁ-ゖァ-ヺ一-龥가-힣", "0-9٠-٩०-९๐-๙"
+_MARK = "!-&(-/:-@\\[-`{-~«»–-”†-…。、，．！？：；「」『』（）・ัิ-ฺ็-๎़ा-्"
+#: A place where one word of PATTERN ends and the next begins, whatever else stands around.
+_SAFE = re.compile(rf"(?<=\S)(?= \S)|(?<=\S)(?=[\n\t\r])|(?<=[{_LETTER}])(?=[{_DIGIT}{_MARK}])|(?<=[{_DIGIT}])(?=[{_LETTER}{_MARK}])|(?<=[{_MARK}])(?=[{_LETTER}{_DIGIT}])")
 
 
 @lru_cache

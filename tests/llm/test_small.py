@@ -263,3 +263,18 @@ def test_untouched_ngrams(n, at):
     row = ("<s>", *marks, "</s>")
     open_to = {i for j, _ in gaps for i in range(j, j + 3)}
     assert list(sentences.untouched(marks, gaps)) == [row[max(0, i - 2) : i + 2] for i in range(n + 1) if i not in open_to]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab Z'1٣९!.,-–…\n\t\r  éЖ価格、。สวัดี้नमस्ते가'st😀‍_"), max_size=60), st.integers(1, 9))
+def test_stretches_cross_no_token(text, size):
+    """Whatever the text, its parts give the ids of the whole."""
+    e = encoding.encoder()
+    parts = encoding.stretches(text, size)
+    assert "".join(parts) == text
+    assert [i for p in parts for i in e.encode_ordinary(p)] == e.encode_ordinary(text)
+
+
+def test_long_texts_without_spaces_are_cut():
+    for text in ("価格、需要。" * 3000, "ราคาที่ดี" * 3000, "a1b2" * 5000, "line\n" * 5000):
+        assert max(map(len, encoding.stretches(text, 500))) < 600
