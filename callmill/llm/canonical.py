@@ -1,12 +1,13 @@
 """Mapping free-entered values to a canonical list (problem 4), in SQL.
 
-The reference list becomes reference strings: each leaf in the orders and wordings that people type, made by rule from
-the word tables below. A value is stripped of wrapping phrases and compared by a partition-based pigeonhole join:
+A reference list is a table of strings with their entries. Strings in the orders and wordings that people type are made
+by rule from a table of words (Words, by default that of leaf_words.txt), and the caller may give more of them (aliases).
+A value is stripped of wrapping phrases and compared by a partition-based pigeonhole join:
 every reference string is cut into k + 1 = 3 segments, so whatever two edits touch, one segment stays as it is; values
 join by equal substrings at the positions that the edits allow, and built-in levenshtein verifies. Accepted are one
 edit, or two edits that swap neighbouring characters. Values without a partner are reported through an anti-join.
 
-Work is done once for each different value. The reference strings are bounded by the taxonomy and the tables.
+Work is done once for each different value. All joins are on equality.
 
 Defined results: null and blank values, and values that are a leaf exactly, are no cases; a value that fits no leaf or
 equally well several gets leaf 0; values shorter than 5 characters must fit exactly. Repeated rows count once. Empty
@@ -15,86 +16,15 @@ tables give no rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmill.common import read, salted_lookup, stored
 
-# The adjective of each market.
-ADJECTIVES = """Australia Australian, Brazil Brazilian, Canada Canadian, Chile Chilean, Colombia Colombian, Denmark Danish, Egypt Egyptian,
-Greece Greek, Hungary Hungarian, India Indian, Indonesia Indonesian, Ireland Irish, Israel Israeli, Italy Italian, Japan Japanese,
-Kazakhstan Kazakh, Kenya Kenyan, Malaysia Malaysian, Mexico Mexican, Morocco Moroccan, Nigeria Nigerian, Norway Norwegian, Peru Peruvian,
-Philippines Philippine, Poland Polish, Portugal Portuguese, Romania Romanian, Singapore Singaporean, Spain Spanish, Sweden Swedish,
-Switzerland Swiss, Thailand Thai, Turkey Turkish, Vietnam Vietnamese"""
-
-# What people call each kind of investment that exists for many markets.
-KINDS = {
-    "Government Debt": "govt bonds, government bonds, gov. debt, sovereign debt, sovereigns, govvies, Staatsanleihen, obligations d'État",
-    "Company Debt": "corporate debt, corp credit, corporate bonds, corporates, corp. bonds, Unternehmensanleihen",
-    "Private Loans": "private credit, private debt, pvt loans, direct lending",
-    "Linkers": "ILBs, inflation-linked bonds, index-linked debt, real-yield bonds",
-    "Infrastructure": "infra, infrastr., infrastructure assets",
-    "Property": "real estate, realty, RE, prop., commercial property, Immobilien",
-    "Listed Shares": "equities, equity, stocks, shares, stock mkt, listed equity, Aktien, actions",
-    "Smaller Companies": "small caps, smallcaps, small-cap equities, smaller cos",
-    "Cash Deposits": "cash, money market, T-bills, MMFs",
-}
-
-# The endings that stand for a last word, after the leaf's other words.
-ENDINGS = {
-    "Sector Shares": "sector shares, sector, names, stocks, equities",
-    "Theme": "theme, theme basket, thematic, thematics, plays",
-    "Style": "style, stocks, tilt, investing, factor",
-}
-
-# The codes of currencies.
-CODES = """Australian Dollar AUD, Brazilian Real BRL, Canadian Dollar CAD, Swiss Franc CHF, Chilean Peso CLP, Colombian Peso COP, Danish Krone DKK,
-Egyptian Pound EGP, Hungarian Forint HUF, Indonesian Rupiah IDR, Indian Rupee INR, Japanese Yen JPY, Kenyan Shilling KES, Moroccan Dirham MAD,
-Mexican Peso MXN, Malaysian Ringgit MYR, Nigerian Naira NGN, Norwegian Krone NOK, Peruvian Sol PEN, Philippine Peso PHP, Polish Zloty PLN,
-Swedish Krona SEK, Thai Baht THB, Turkish Lira TRY, Vietnamese Dong VND"""
-
-# Other names of single leaves.
-NAMES = {
-    "Bank Capital Notes": "CoCos, contingent convertibles, AT1s",
-    "Long Maturity Debt": "long-dated bonds, long duration, long end",
-    "Short Maturity Debt": "short-dated bonds, short duration, front end",
-    "Syndicated Loans": "lev loans, leveraged loans, bank loans",
-    "Securitised Loan Tranches": "CLO tranches, collateralised loan obligations, CLOs",
-    "Convertible Notes": "convertibles, convertible bonds, CBs",
-    "Floating Rate Notes": "FRNs, floaters",
-    "Covered Notes": "covered bonds, Pfandbriefe",
-    "Prime Grade Debt": "investment grade, IG credit, IG, high-grade credit",
-    "Mortgage Pools": "agency mortgages, mortgage-backed securities, MBS",
-    "Speculative Grade Debt": "high yield, HY, junk bonds, high-yield credit",
-    "Municipal Notes": "municipal bonds, muni bonds, munis",
-    "Long Short Share Funds": "equity long/short, L/S equity, long-short equity",
-    "Merger Event Funds": "merger arbitrage, risk arb, merger arb",
-    "Trend Following Funds": "managed futures, CTAs, trend followers",
-    "Volatility Trading Funds": "vol arb, volatility arbitrage",
-    "Catastrophe Notes": "ILS, cat bonds, catastrophe bonds",
-    "Macro Discretion Funds": "discretionary macro, global macro hedge funds",
-    "Buyout Funds": "buyouts, LBO funds, leveraged buyouts",
-    "Growth Stage Funds": "growth equity, late-stage PE",
-    "Secondary Stakes": "PE secondaries, secondaries",
-    "Venture Funds": "venture capital, VC, start-up funds",
-    "Silver Bullion": "silver, XAG, silver metal",
-    "Crude Petroleum": "crude oil, oil, crude, black gold",
-    "Coffee Beans": "coffee, arabica",
-    "Cotton Fibre": "cotton",
-    "Iron Ore Bulk": "iron ore, Fe ore",
-    "Uranium Oxide": "uranium, yellowcake, U3O8",
-    "Wheat Grain": "wheat",
-    "Maize Grain": "maize, corn",
-    "Emission Permits": "emissions allowances, carbon allowances, CO2 permits",
-    "Sugar Cane": "sugar",
-    "Natural Gas Fuel": "natural gas, nat gas, natgas, LNG",
-    "Copper Metal": "copper, Dr Copper, red metal, Cu",
-    "Gold Bullion": "gold, XAU, yellow metal",
-}
-
-# Phrases that wrap a value without changing what it means, as they are after `plain`.
-BEFORE = "overweight|underweight|o w|u w|neutral on|adding to|cautious on|exposure to|our preference for|positioning|positioning in|tactical|view on|we like|the"
-AFTER = r"hedged|incl etfs|selectively|vs benchmark|over \\d+m|on carry|into year end|p \\d+ grid|tactical"
+TABLE = Path(__file__).with_name("leaf_words.txt")
 
 #: Values and reference strings shorter than this must be equal.
 LEAST_FUZZY = 5
@@ -104,12 +34,29 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _rows(pairs) -> str:
-    return ", ".join("(" + ", ".join(_quoted(x) for x in p) + ")" for p in pairs)
+@dataclass(frozen=True)
+class Words:
+    """Sections of key -> values of a table of words, and patterns of the phrases that may stand before and after a value."""
+
+    tables: dict[str, dict[str, tuple[str, ...]]] = field(default_factory=dict)
+    before: tuple[str, ...] = ()
+    after: tuple[str, ...] = ()
 
+    @staticmethod
+    def read(path: Path = TABLE) -> Words:
+        found: dict[str, list[str]] = {}
+        for line in path.read_text(encoding="utf-8").splitlines():
+            if line.startswith("["):
+                section = found.setdefault(line.strip("[]"), [])
+            elif line.strip() and not line.startswith("#"):
+                section.append(line.strip())
+        rows = {k: [x.split(" = ", 1) for x in v] for k, v in found.items() if k not in ("before", "after")}
+        tables = {k: {key: tuple(x.strip() for x in values.split(",")) for key, values in v} for k, v in rows.items()}
+        return Words(tables, tuple(found.get("before", ())), tuple(found.get("after", ())))
 
-def _pairs(table: dict[str, str]):
-    return [(k, x.strip()) for k, xs in table.items() for x in [k, *xs.split(",")]]
+    def pairs(self, section: str, own: bool = False) -> list[tuple[str, str]]:
+        """(key, value) of a section; own: with each key as a value of itself."""
+        return [(k, x) for k, xs in self.tables.get(section, {}).items() for x in ((k, *xs) if own else xs)]
 
 
 def plain(column: str) -> str:
@@ -117,27 +64,26 @@ def plain(column: str) -> str:
     return f"trim(regexp_replace(regexp_replace(lower({column}), '[^\\\\pL\\\\pN]+', ' '), ' in ', ' '))"
 
 
-def stripped(column: str) -> str:
+def stripped(column: str, words: Words) -> str:
     """SQL: a plain value without wrapping phrases."""
-    return f"regexp_replace(regexp_replace({column}, '^(?:(?:{BEFORE}) )+(?=.)', ''), '(?: (?:{AFTER}))+$', '')"
+    if words.before:
+        column = f"regexp_replace({column}, {_quoted(f'^(?:(?:{"|".join(words.before)}) )+(?=.)')}, '')"
+    return f"regexp_replace({column}, {_quoted(f'(?: (?:{"|".join(words.after)}))+$')}, '')" if words.after else column
 
 
 REFERENCES = f"""
-WITH adjectives(market, adjective) AS (VALUES {_rows(x.split() for x in ADJECTIVES.replace(chr(10), ' ').split(','))}),
-kinds(kind, word) AS (VALUES {_rows(_pairs(KINDS))}),
-endings(ending, word) AS (VALUES {_rows((k, x.strip()) for k, xs in ENDINGS.items() for x in xs.split(','))}),
-codes(leaf, code) AS (VALUES {_rows(x.strip().rsplit(' ', 1) for x in CODES.replace(chr(10), ' ').split(','))}),
-names(leaf, name) AS (VALUES {_rows((k, x.strip()) for k, xs in NAMES.items() for x in xs.split(','))}),
-leaves AS (SELECT leaf_no, sub_asset_class AS leaf FROM {{taxonomy}}),
-markets AS (SELECT market, market AS place FROM adjectives UNION ALL SELECT market, adjective FROM adjectives),
+WITH leaves AS (SELECT leaf_no, sub_asset_class AS leaf FROM {{taxonomy}} WHERE sub_asset_class IS NOT NULL),
+splits AS (SELECT leaf_no, leaf, substring(leaf, 1, p - 1) AS head, substring(leaf, p + 1) AS tail FROM leaves LATERAL VIEW explode(filter(sequence(1, length(leaf)), x -> substring(leaf, x, 1) = ' ')) AS p),
+markets AS (SELECT key AS market, key AS place FROM {{adjectives}} UNION SELECT key, word FROM {{adjectives}}),
 strings AS (
   SELECT leaf_no, leaf AS s FROM leaves
   UNION ALL SELECT leaf_no, concat(substring(leaf, instr(leaf, ' ') + 1), ' ', substring_index(leaf, ' ', 1)) FROM leaves WHERE instr(leaf, ' ') > 0
-  UNION ALL SELECT leaf_no, explode(array(concat(place, ' ', word), concat(word, ' ', place))) FROM leaves JOIN kinds ON leaf LIKE concat('% ', kind) JOIN markets ON leaf = concat(market, ' ', kind)
-  UNION ALL SELECT leaf_no, concat(substring(leaf, 1, length(leaf) - length(ending)), word) FROM leaves JOIN endings ON leaf LIKE concat('% ', ending)
-  UNION ALL SELECT leaf_no, explode(array(code, concat(code, ' eur long'), concat(substring(leaf, 1, 4), ' ', substring_index(leaf, ' ', -1)))) FROM leaves JOIN codes USING (leaf)
-  UNION ALL SELECT leaf_no, explode(array(concat(market, ' ', substring_index(leaf, ' ', -1)), concat(substring_index(leaf, ' ', -1), ' ', market))) FROM leaves JOIN codes USING (leaf) JOIN adjectives ON substring_index(leaf, ' ', 1) = adjective
-  UNION ALL SELECT leaf_no, name FROM leaves JOIN names USING (leaf))
+  UNION ALL SELECT leaf_no, explode(array(concat(place, ' ', word), concat(word, ' ', place))) FROM splits JOIN {{kinds}} ON tail = key JOIN markets ON head = market
+  UNION ALL SELECT leaf_no, concat(head, ' ', word) FROM splits JOIN {{endings}} ON tail = key
+  UNION ALL SELECT leaf_no, explode(array(word, concat(word, ' eur long'), concat(substring(leaf, 1, 4), ' ', substring_index(leaf, ' ', -1)))) FROM leaves JOIN {{codes}} ON leaf = key
+  UNION ALL SELECT leaf_no, explode(array(concat(a.key, ' ', substring_index(leaf, ' ', -1)), concat(substring_index(leaf, ' ', -1), ' ', a.key))) FROM leaves JOIN {{codes}} c ON leaf = c.key JOIN {{adjectives}} a ON substring_index(leaf, ' ', 1) = a.word
+  UNION ALL SELECT leaf_no, word FROM leaves JOIN {{names}} ON leaf = key
+  UNION ALL SELECT leaf_no, text FROM {{aliases}} WHERE text IS NOT NULL)
 SELECT DISTINCT leaf_no, {plain('s')} AS ref FROM strings"""
 
 #: Candidates at their distance. A shift is how far an insertion or deletion before a segment moves it.
@@ -161,12 +107,25 @@ fits AS (
 SELECT core, if(count(DISTINCT leaf_no) = 1, min(leaf_no), 0) AS leaf_no FROM fits GROUP BY core"""
 
 
-def canonicalise(values: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """values(value), all different -> value, leaf_no; 0 for those that the anti-join leaves unmatched."""
-    spark = values.sparkSession
-    references = stored(spark.sql(REFERENCES, taxonomy=taxonomy), "references")
-    cored = stored(values.withColumn("core", F.expr(stripped(plain("value")))), "values")
-    matches = stored(spark.sql(MATCHES, references=references, values=cored.select("core").distinct()), "matches")
+def references(taxonomy: DataFrame, words: Words, aliases: DataFrame | None = None) -> DataFrame:
+    """leaf_no, ref: the strings that stand for each leaf of taxonomy(leaf_no, sub_asset_class)."""
+    spark = taxonomy.sparkSession
+    table = lambda name, own=False: spark.createDataFrame(words.pairs(name, own), "key string, word string")
+    given = spark.createDataFrame([], "leaf_no int, text string") if aliases is None else aliases.select("leaf_no", "text")
+    tables = {"adjectives": table("adjectives"), "kinds": table("kinds", True), "endings": table("endings"), "codes": table("codes"), "names": table("names")}
+    return spark.sql(REFERENCES, taxonomy=taxonomy, aliases=given, **tables)
+
+
+def canonicalise(values: DataFrame, taxonomy: DataFrame, aliases: DataFrame | None = None, words: Words | None = None) -> DataFrame:
+    """values(value), all different -> value, leaf_no; 0 for those that the anti-join leaves unmatched.
+
+    taxonomy(leaf_no, sub_asset_class) is the reference list, aliases(leaf_no, text) are further strings for its entries,
+    words the table from which more are made; Words() makes none.
+    """
+    spark, words = values.sparkSession, Words.read() if words is None else words
+    strings = stored(references(taxonomy, words, aliases), "references")
+    cored = stored(values.withColumn("core", F.expr(stripped(plain("value"), words))), "values")
+    matches = stored(spark.sql(MATCHES, references=strings, values=cored.select("core").distinct()), "matches")
     return spark.sql(
         """SELECT value, leaf_no FROM {values} JOIN {matches} USING (core)
         UNION ALL SELECT value, 0 FROM {values} v LEFT ANTI JOIN {matches} m ON v.core = m.core""",

@@ -102,8 +102,9 @@ def test_canonical_against_brute_force(spark):
     failures = spark.read.parquet(f"{d}/failures.parquet")
     values = spark.sql(canonical.CASES, failures=failures, taxonomy=taxonomy).select("value").distinct()
     made = {r.value: r.leaf_no for r in canonical.canonicalise(values, taxonomy).collect()}
-    refs = spark.sql(canonical.REFERENCES, taxonomy=taxonomy)
-    cored = values.withColumn("core", F.expr(canonical.stripped(canonical.plain("value"))))
+    words = canonical.Words.read()
+    refs = canonical.references(taxonomy, words)
+    cored = values.withColumn("core", F.expr(canonical.stripped(canonical.plain("value"), words)))
     near = cored.join(F.broadcast(refs), F.expr("core = ref OR length(core) >= 5 AND length(ref) >= 5 AND levenshtein(core, ref, 2) BETWEEN 1 AND 2")).collect()
     best = defaultdict(dict)
     for r in near:
@@ -115,6 +116,17 @@ def test_canonical_against_brute_force(spark):
     assert {v: n for v, n in made.items() if n or v in exact} == exact
 
 
+def test_canonical_of_another_list(spark):
+    """Cities with aliases of the caller's own and no table of words; an entry without text and a null alias stand for nothing."""
+    cities = spark.createDataFrame([(1, "München", "x"), (2, "New York", "x"), (3, "Saint Petersburg", "x"), (4, None, "x")], "leaf_no int, sub_asset_class string, ref string")
+    aliases = spark.createDataFrame([(1, "Munich"), (2, "NYC"), (2, "Big Apple"), (3, None), (3, "St. Petersburg")], "leaf_no int, text string")
+    wanted = {"munich": 1, "Münchn": 1, "Munihc": 1, "nyc": 2, "NYD": 0, "york, new": 2, "Big Aple": 2, "saint-petersburg": 3, "St Petersburg": 3, "Boston": 0, "visit Munich": 0}
+    values = spark.createDataFrame([(v,) for v in wanted], "value string")
+    assert {r.value: r.leaf_no for r in canonical.canonicalise(values, cities, aliases, canonical.Words()).collect()} == wanted
+    wrapped = canonical.canonicalise(values, cities, aliases, canonical.Words(before=("visit",)))
+    assert {r.value: r.leaf_no for r in wrapped.collect()} == wanted | {"visit Munich": 1}
+
+
 def test_names(spark, tables):
     firm = ["Margaret Tornolmersil Private Bank", "MARGARET TORNOLMERSIL Pvt Bank LLC", "Tornolmersil, Margaret – Private Bank", "Peggy Tornolmersil PB", "M. Tornolmersil Private Bank", "Margaret Trnolmersil Priv. Bank", "Margaret T0rn01mersi1 Private Bank"]
     other = ["Margaret Tornolmonvak Private Bank", "Margaret Tornolmersil Fund Managers"]
