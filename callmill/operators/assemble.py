@@ -116,18 +116,28 @@ def cross_leaf_duplicates(rows: DataFrame, source: str, view: str, spans: str, l
     return out.drop("_key", "_overlap", "_n", "_named", "_best", "_best_leaf", "_kept")
 
 
-def rolling_memory(blocks: DataFrame, keys: list[str], order: str, block: str) -> DataFrame:
-    """What each block of a source sees: all earlier blocks of it, in order."""
+def rolling_memory(blocks: DataFrame, keys: list[str], order: str, block: str, head: str | None = None) -> DataFrame:
+    """What each block of a source sees: the source's heading, where a column holds it, and all earlier blocks of it, in order.
+
+    The memory is the result's own text: as long as what its source left so far.
+    """
     earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("memory", F.array_join(F.collect_list(block).over(earlier), ""))
-
-
-def companion_memory(blocks: DataFrame, groups: DataFrame, source_order: str, order: str, block: str, preface: str) -> DataFrame:
-    """As rolling_memory, over all sources of a group in their order, with a preface where a new source begins."""
-    grouped = blocks.join(groups, "source_id", "left").withColumn("group_key", F.coalesce("group_id", "source_id"))
-    first = F.row_number().over(Window.partitionBy("group_key", source_order).orderBy(order)) == 1
-    later = F.dense_rank().over(Window.partitionBy("group_key").orderBy(source_order)) > 1
-    marked = grouped.withColumn("_block", F.concat(F.when(first & later, preface).otherwise(F.lit("")), block))
-    earlier = Window.partitionBy("group_key").orderBy(source_order, order).rowsBetween(Window.unboundedPreceding, -1)
-    own = F.when(first & later, preface).otherwise(F.lit(""))
-    return marked.withColumn("memory", F.concat(F.array_join(F.collect_list("_block").over(earlier), ""), own)).drop("_block")
+    return blocks.withColumn("memory", F.concat(F.coalesce(head, F.lit("")) if head else F.lit(""), F.array_join(F.collect_list(block).over(earlier), "")))
+
+
+def companion_memory(blocks: DataFrame, groups: DataFrame, source_order: str, order: str, block: str, head: str, preface: str) -> DataFrame:
+    """As rolling_memory, where each source of a group begins with the whole memory of the one before it, after a preface.
+
+    blocks(source_id, ..., head) has every source's heading on its rows; groups(source_id, group_id). Sources of no group
+    stand alone. A memory that holds another ends it with a line break, so the headings stand in front in reverse order.
+    """
+    grouped = join_same(blocks.drop("group_id"), groups.select("source_id", "group_id"), ["source_id"], "left").withColumn("group_key", F.coalesce("group_id", "source_id"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, F.coalesce(block, F.lit("")).alias("b")))), lambda x: x["b"]), "")
+    sources = grouped.groupBy("group_key", "source_id").agg(F.min(source_order).alias("_ord"), F.first(head).alias("_head"), body.alias("_body"))
+    so_far = Window.partitionBy("group_key").orderBy("_ord", "source_id")
+    placed = sources.withColumn("_k", F.row_number().over(so_far))
+    heads = F.collect_list(F.when(F.col("_k") == 1, F.col("_head")).otherwise(F.concat("_head", F.lit(preface)))).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+    bodies = F.collect_list(F.concat("_body", F.lit("\n"))).over(so_far.rowsBetween(Window.unboundedPreceding, -1))
+    begun = placed.select("source_id", F.concat(F.array_join(F.reverse(heads), ""), F.array_join(bodies, "")).alias("_start"))
+    own = rolling_memory(grouped, ["group_key", "source_id"], order, block)
+    return own.join(begun, "source_id").withColumn("memory", F.concat("_start", "memory")).drop("_start")

@@ -19,6 +19,17 @@ def agreement(calls: DataFrame, truth: DataFrame, keys: list[str], view: str = "
     )
 
 
+def quotes(calls: DataFrame, passed: str) -> DataFrame:
+    """One row: calls, those with a quote that the check has judged, and those whose quote is in its source."""
+    return calls.agg(F.count("*").alias("calls"), F.count(passed).alias("judged"), F.coalesce(F.sum(F.col(passed).cast("int")), F.lit(0)).cast("bigint").alias("verbatim"))
+
+
+def leaf_matches(calls: DataFrame, truth: DataFrame, firm: str, leaf: str) -> DataFrame:
+    """firm, truth_leaves, found: of each firm's leaves in the truth, how many the calls name. Null firms and leaves match nothing."""
+    named = calls.select(firm, leaf).where(F.col(leaf).isNotNull()).distinct().withColumn("_named", F.lit(1))
+    return truth.select(firm, leaf).distinct().join(named, [firm, leaf], "left").groupBy(firm).agg(F.count(leaf).alias("truth_leaves"), F.count("_named").alias("found"))
+
+
 def one_hot(view: Column) -> list[Column]:
     return [F.coalesce((view == v).cast("int"), F.lit(0)).alias(n) for v, n in (("U", "uw"), ("N", "n"), ("O", "ow"))]
 

@@ -10,36 +10,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callmill.operators import contracts
+
 MOST = 10_000
 
 
-def resolve_groups(plan: list[list[str]], known: set[str]) -> tuple[dict[str, str], list[str]]:
-    """source -> group, and warnings."""
+def resolve_groups(plan: list[tuple[list[str], str]], known: set[str], unmatched: list[str] = ()) -> tuple[list[dict], list[str]]:
+    """(groups, warnings) of a plan of (members, note): a group has group_id, source_ids and note."""
     if len(plan) > MOST:
         raise ValueError(f"a plan of more than {MOST} groups")
-    taken: dict[str, str] = {}
-    warnings: list[str] = []
-    accepted = 0
-    for number, wanted in enumerate(plan, 1):
-        fit = []
-        for source in wanted:
-            if source not in known:
-                warnings.append(f"group {number}: unknown source {source}")
-            elif source in taken:
-                warnings.append(f"group {number}: {source} is in {taken[source]}")
-            else:
-                fit.append(source)
+    taken: set[str] = set()
+    groups: list[dict] = []
+    # The warnings.
+    warnings = [f"unmatched note: {line}" for line in unmatched]
+    for wanted, note in plan:
+        unknown, again = [s for s in wanted if s not in known], [s for s in wanted if s in taken]
+        fit = [s for s in wanted if s in known and s not in taken]
+        warnings += [f"dropped unknown source ids {unknown} from note: {note}"] if unknown else []
+        warnings += [f"source(s) {again} already grouped; dropped from note: {note}"] if again else []
         if len(fit) < 2:
-            warnings.append(f"group {number}: fewer than two members, ignored")
+            warnings.append(f"note did not resolve to two run sources; ignored: {note}")
             continue
-        accepted += 1
-        taken.update(dict.fromkeys(fit, f"group-{accepted}"))
-    return taken, warnings
+        taken.update(fit)
+        groups.append({"group_id": f"group-{len(groups) + 1}", "source_ids": fit, "note": note})
+    return groups, warnings
+
+
+def resolved(responses: DataFrame, text: str, known: set[str], error: str | None = None) -> tuple[list[dict], list[str]]:
+    """The same of a resolver's one recorded response; a failed one leaves the run ungrouped, with one warning."""
+    said = contracts.group_plan(responses.select(F.col(text).alias("_answer"), (F.col(error) if error else F.lit(None).cast("string")).alias("_failed")), "_answer").first()
+    why = "no response" if said is None else said._failed or said.error
+    if why:
+        return [], [f"group-notes resolution failed; run proceeds ungrouped: {why[:200]}"]
+    return resolve_groups([(list(g.source_ids), g.note) for g in said.groups], known, list(said.unmatched_notes))
+
+
+def group_map(groups: list[dict]) -> dict[str, str]:
+    return {s: g["group_id"] for g in groups for s in g["source_ids"]}
 
 
-def with_groups(rows: DataFrame, group_map: dict[str, str]) -> DataFrame:
+def with_groups(rows: DataFrame, of: dict[str, str]) -> DataFrame:
     """rows with group_id: the source's group, else the source itself."""
-    if len(group_map) > MOST * 100:
+    if len(of) > MOST * 100:
         raise ValueError("a group map is small by contract")
-    side = rows.sparkSession.createDataFrame(list(group_map.items()), "source_id string, group_id string")
+    side = rows.sparkSession.createDataFrame(list(of.items()), "source_id string, group_id string")
     return rows.drop("group_id").join(F.broadcast(side), "source_id", "left").withColumn("group_id", F.coalesce("group_id", "source_id"))

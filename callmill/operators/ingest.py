@@ -90,3 +90,44 @@ def read_quality(text: Column, page_count: Column, chars_a_page: int = 200, char
 def batches(sources: DataFrame, order: str, size: int = SOURCES_A_RUN) -> DataFrame:
     """batch_no of each source in its list's order."""
     return numbered(sources, order, name="_i").withColumn("batch_no", F.floor(F.col("_i") / size).cast("int")).drop("_i")
+
+
+def chunk_content(chunk_id: Column, locator: Column, text: Column, path: Column, url: Column, paged: Column, printed: Column) -> Column:
+    """What a reader is told of a chunk: the pages of a file, with a note where it is a print of a page, or the text itself."""
+    # The wording.
+    text_of = lambda x: F.coalesce(x, F.lit(""))
+    note = F.when(printed, F.concat(F.lit("(This PDF is a print-to-PDF capture of the web page at "), text_of(url), F.lit("; use its page numbers as locators.)\n\n"))).otherwise("")
+    of_pages = F.concat(
+        F.lit("This chunk is pages "), F.replace(locator, F.lit("p."), F.lit("")), F.lit(" of the PDF file at:\n`"), text_of(path), F.lit("`\n\n"), note,
+        F.lit("Open and read those pages as rendered pages — view them so you see tables, positioning/view grids, arrows, and dial gauges as printed, not only the extracted text. Cite what you actually see on the page."),
+    )
+    of_text = F.concat(
+        F.lit("This chunk is the extracted text below (locator "), locator, F.lit(", from "), text_of(url), F.lit(").\nIf the text references a chart, figure, or infographic you cannot see, say so in your summary rather than guessing its contents.\n\n-----\n"),
+        text_of(char_slice(text, chunk_id)), F.lit("\n-----"),
+    )
+    return F.when(F.coalesce(paged, F.lit(False)) | F.coalesce(printed, F.lit(False)), of_pages).otherwise(of_text)
+
+
+def snapshots(sources: DataFrame, pages: DataFrame, html: DataFrame, printed: DataFrame | None = None) -> DataFrame:
+    """source_id, source_type, snapshot_text, page_count, visual_markup, visual_heavy, printed_pdf, scrambled_pages of each source.
+
+    sources(source_id, source_type); pages(source_id, page_no, text, scrambled) of files; html(source_id, html, text) of
+    pages; printed(source_id, page_no, text, scrambled) of prints. A file is its pages; a page is its text, or its print
+    where it is heavy with pictures and there is one. Only what is read as pages has a page count.
+    """
+    flagged = snapshot_flags(html.select("source_id", "html", "text"), "html").select("source_id", "text", "visual_markup", "visual_heavy")
+    torn = lambda p: p.groupBy("source_id").agg(F.array_sort(F.collect_list(F.when(F.coalesce("scrambled", F.lit(False)), F.col("page_no")))).alias("scrambled_pages"))
+    paged = page_text(pages).join(torn(pages), "source_id")
+    x = sources.select("source_id", "source_type").join(flagged, "source_id", "left").join(paged.withColumnsRenamed({"snapshot_text": "_file", "page_count": "_file_n", "scrambled_pages": "_file_s"}), "source_id", "left")
+    if printed is None:
+        x = x.withColumn("_print", F.lit(None).cast("string")).withColumn("_print_n", F.lit(None).cast("int")).withColumn("_print_s", F.lit(None).cast("array<int>"))
+    else:
+        x = x.join(page_text(printed).join(torn(printed), "source_id").withColumnsRenamed({"snapshot_text": "_print", "page_count": "_print_n", "scrambled_pages": "_print_s"}), "source_id", "left")
+    file = F.col("source_type") == "pdf"
+    as_print = ~file & F.coalesce("visual_heavy", F.lit(False)) & F.col("_print").isNotNull()
+    none = F.array().cast("array<int>")
+    return x.select(
+        "source_id", "source_type", F.when(file, F.coalesce("_file", F.lit(""))).when(as_print, F.col("_print")).otherwise(F.coalesce("text", F.lit(""))).alias("snapshot_text"),
+        F.when(file, F.coalesce("_file_n", F.lit(0))).when(as_print, F.col("_print_n")).cast("int").alias("page_count"), F.when(~file, F.col("visual_markup")).alias("visual_markup"),
+        (~file & F.coalesce("visual_heavy", F.lit(False))).alias("visual_heavy"), as_print.alias("printed_pdf"), F.when(file, F.coalesce("_file_s", none)).when(as_print, F.coalesce("_print_s", none)).otherwise(none).alias("scrambled_pages"),
+    )

@@ -125,7 +125,6 @@ c AS (SELECT *, count(*) OVER w AS n, max(o) OVER w AS mo, row_number() OVER (PA
 e AS (SELECT source_id, call_view, k, string_agg('''' || sub_asset_class || '''', ', ' ORDER BY i) AS kept FROM (SELECT source_id, call_view, k, sub_asset_class, min(failure_id) AS i FROM c WHERE o > 0 GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3),
 d AS (SELECT c.*, kept, n > 1 AND (mo > 0 AND o = 0 OR mo = 0 AND r > 1) AS gone FROM c LEFT JOIN e ON c.source_id IS NOT DISTINCT FROM e.source_id AND c.call_view IS NOT DISTINCT FROM e.call_view AND c.k = e.k)
 SELECT failure_id, CASE WHEN gone THEN 'duplicate_cross_leaf' ELSE '' END AS reason, CASE WHEN gone THEN 'same source, view, and evidence as kept leaf ' || CASE WHEN mo > 0 THEN kept ELSE '''' || coalesce(top, '') || '''' END || '; this leaf is not named in the shared evidence (cross-leaf fan-out)' ELSE '' END AS message FROM d""",
-    "rolling_memory": f"SELECT source_id, chunk_id, coalesce(string_agg(chunk_id || ';', '') OVER (PARTITION BY source_id ORDER BY chunk_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS memory FROM {CHUNKS}",
     "displayed_chunks": f"SELECT source_id, string_agg(coalesce(chunk_id, ''), ' | ' ORDER BY chunk_ord) AS chunk_id, string_agg(coalesce(locator, ''), ' | ' ORDER BY chunk_ord) AS locator FROM {CHUNKS} GROUP BY 1",
     "contract_candidates": f"""WITH a AS (SELECT *, [{LANG[1:-1]},'explicit','loud'][1 + failure_id % 7] AS lg, CASE WHEN failure_id % 5 = 0 THEN 'forecast_delta' ELSE coalesce(basis, 'stated') END AS bs FROM {FAILURES}),
 m AS (SELECT *, array_to_string(list_filter([CASE WHEN source_id IS NULL THEN 'source_id' END, CASE WHEN chunk_id IS NULL THEN 'chunk_id' END, CASE WHEN sub_asset_class IS NULL THEN 'sub_asset_class' END, CASE WHEN taxonomy_match IS NULL THEN 'taxonomy_match' END, CASE WHEN call_view IS NULL THEN 'view' END,
@@ -223,3 +222,32 @@ SQL["assembled_rows"] = f"WITH {RUN} SELECT * FROM rows_out"
 SQL["assembled_failures"] = f"""WITH {RUN} SELECT fails.phase, fails.failure_id AS cand_idx, code AS reason_code, said AS message, fails.gs AS checker_strength, coalesce(source_id, '') AS source_id, coalesce(chunk_id, '') AS chunk_id, coalesce(sub_asset_raw, '') AS sub_asset_raw, coalesce(sub_asset_class, '') AS sub_asset_class,
 coalesce(call_view, '') AS call_view, coalesce(taxonomy_match, '') AS taxonomy_match, coalesce(evidence_kind, '') AS evidence_kind, coalesce(locator, '') AS locator, coalesce(basis, '') AS basis FROM fails JOIN c3 USING (failure_id)"""
 SQL["assembled_counts"] = f"WITH {RUN} SELECT 'kept' AS label, count(*) AS n FROM rows_out UNION ALL SELECT code, count(*) FROM fails GROUP BY 1 UNION ALL SELECT 'candidates', count(*) FROM c3"
+
+_HEAD = "'# ' || coalesce(firm, '') || ' — ' || coalesce(source, '') || '  (' || source_id || ')' || chr(10)"
+_BLOCKS = f"""info AS (SELECT source_id, min(list_row) AS source_ord, arg_min(struct_pack(f := firm, t := title), list_row) AS i FROM ({SQL["source_urls"]}) JOIN {TARGETS} USING (list_row) GROUP BY 1),
+left_ AS (SELECT source_id, chunk_id, string_agg(coalesce(sub_asset_class, '') || '=' || coalesce(call_view, '') || '[' || coalesce(locator, '') || ']', '; ' ORDER BY failure_id) AS ledger, min(CASE WHEN reason_code IN ('json_parse_error', 'engine_error') THEN reason_code END) AS lost FROM {FAILURES} GROUP BY 1, 2),
+b AS (SELECT c.source_id, source_ord, chunk_ord, chunk_id, i.f AS firm, i.t AS source, chr(10) || '## Chunk ' || chunk_id || chr(10) || 'Summary: ' || CASE WHEN lost IS NOT NULL THEN '(' || lost || '; chunk skipped)' ELSE coalesce(c.locator, '') END || chr(10) || 'Candidates: ' || CASE WHEN lost IS NOT NULL THEN 'none' ELSE coalesce(ledger, 'none') END || chr(10) AS block
+  FROM {CHUNKS} c LEFT JOIN left_ USING (source_id, chunk_id) LEFT JOIN info USING (source_id)),
+m AS (SELECT *, {_HEAD} AS head, coalesce(string_agg(block, '') OVER (PARTITION BY source_id ORDER BY chunk_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS own FROM b)"""
+SQL["rolling_memory"] = f"WITH {_BLOCKS} SELECT source_id, chunk_id, CAST(length(head || own) AS INT) AS n_chars, md5(head || own) AS digest FROM m"
+_PREFACE = "chr(10) || '## Companion document already analyzed in this grouped source set' || chr(10) || 'Report this document''s own stances normally — corroboration and' || chr(10) || 'conflicts across the set are resolved downstream; mark `conflict:' || chr(10) || 'true` where this document disagrees with the companion.' || chr(10) || chr(10)"
+SQL["companion_memory"] = f"""WITH {_BLOCKS}, s AS (SELECT source_id, any_value(source_ord) AS source_ord, any_value(head) AS head, string_agg(block, '' ORDER BY chunk_ord) AS body, coalesce('pair-' || (any_value(source_ord) // 2), source_id) AS group_key FROM m GROUP BY source_id),
+p AS (SELECT *, lag(head || body) OVER (PARTITION BY group_key ORDER BY source_ord) AS before FROM s),
+f AS (SELECT source_id, chunk_id, group_key, p.head || CASE WHEN before IS NOT NULL THEN {_PREFACE} || before || chr(10) ELSE '' END || own AS memory FROM m JOIN p USING (source_id))
+SELECT source_id, chunk_id, group_key, CAST(length(memory) AS INT) AS n_chars, md5(memory) AS digest FROM f"""
+SQL["prompt_contents"] = f"""WITH a AS (SELECT c.source_id, chunk_id, coalesce(locator, '') AS l, coalesce(resolved_url, '') AS u, coalesce(snapshot_text_path, '') AS p, coalesce(source_type = 'pdf', FALSE) OR coalesce(printed_pdf, FALSE) AS paged, coalesce(printed_pdf, FALSE) AS printed, snapshot_text AS t,
+  TRY_CAST(regexp_extract(chunk_id, '^char:(\\d+)-', 1) AS INT) AS x, TRY_CAST(regexp_extract(chunk_id, '^char:\\d+-(\\d+)$', 1) AS INT) AS y FROM {CHUNKS} c JOIN {SNAPSHOTS} s USING (source_id))
+SELECT source_id, chunk_id, md5(CASE WHEN paged THEN 'This chunk is pages ' || replace(l, 'p.', '') || ' of the PDF file at:' || chr(10) || '`' || p || '`' || chr(10) || chr(10) || CASE WHEN printed THEN '(This PDF is a print-to-PDF capture of the web page at ' || u || '; use its page numbers as locators.)' || chr(10) || chr(10) ELSE '' END
+  || 'Open and read those pages as rendered pages — view them so you see tables, positioning/view grids, arrows, and dial gauges as printed, not only the extracted text. Cite what you actually see on the page.'
+  ELSE 'This chunk is the extracted text below (locator ' || l || ', from ' || u || ').' || chr(10) || 'If the text references a chart, figure, or infographic you cannot see, say so in your summary rather than guessing its contents.' || chr(10) || chr(10) || '-----' || chr(10) || coalesce(CASE WHEN y IS NULL THEN t ELSE substr(t, x + 1, y - x) END, '') || chr(10) || '-----' END) AS digest FROM a"""
+SQL["checker_verdicts"] = f"""WITH bad AS (SELECT DISTINCT source_id FROM {FAILURES} WHERE reason_code = 'checker_error' AND source_id IS NOT NULL)
+SELECT failure_id AS cand_idx, CASE reason_code WHEN 'checker_sign_mismatch' THEN 'fail' WHEN 'unresolved_conflict' THEN 'unclear' ELSE 'pass' END AS supports_view, CASE WHEN reason_code = 'checker_not_forward_looking' THEN 'fail' ELSE 'pass' END AS forward_looking, CASE WHEN reason_code = 'checker_asset_mismatch' THEN 'fail' ELSE 'pass' END AS asset_match,
+coalesce(checker_strength, '') AS evidence_strength, coalesce(message, '') AS note FROM {FAILURES} WHERE source_id IS NOT NULL AND source_id NOT IN (SELECT source_id FROM bad)"""
+SQL["checker_failures"] = f"SELECT DISTINCT source_id, 'checker' AS chunk_id, 'checker_error' AS reason_code, 'checker response must be a JSON object' AS message FROM {FAILURES} WHERE reason_code = 'checker_error' AND source_id IS NOT NULL"
+_CONTRACT = SQL["contract_candidates"].removeprefix("WITH ").rsplit("\nSELECT", 1)[0].replace("CASE WHEN failure_id % 5 = 0 THEN 'forecast_delta' ELSE coalesce(basis, 'stated') END AS bs", "CASE WHEN basis = 'forecast_delta' THEN 'stated' ELSE coalesce(basis, 'stated') END AS bs")
+_CONTRACT = _CONTRACT.replace(f"[{LANG[1:-1]},'explicit','loud'][1 + failure_id % 7] AS lg", "'implied' AS lg").replace("failure_id % 5 = 0", "FALSE")
+SQL["response_outcomes"] = f"""WITH {_CONTRACT}, r AS (SELECT source_id, chunk_id, count(*) AS k, arg_min(errs[1][2], failure_id) FILTER (len(errs) > 0) AS first_message FROM b JOIN {FAILURES} USING (failure_id) WHERE source_id IS NOT NULL AND chunk_id IS NOT NULL GROUP BY 1, 2)
+SELECT source_id, chunk_id, CASE WHEN first_message IS NULL THEN k ELSE 0 END AS n, coalesce('invalid LLM JSON after repair attempts: ' || first_message, '') AS message FROM r"""
+SQL["quote_quality"] = f"SELECT count(*) AS calls, count(ev_passed) AS judged, count(*) FILTER (ev_passed) AS verbatim FROM ({SQL['evidence_check']})"
+SQL["leaf_matches"] = f"""SELECT t.firm, count(t.sub_asset_class) AS truth_leaves, count(c.sub_asset_class) AS found FROM (SELECT DISTINCT firm, sub_asset_class FROM {CALLS} WHERE basis = 'stated') t
+LEFT JOIN (SELECT DISTINCT firm, sub_asset_class FROM {CALLS} WHERE basis = 'inferred' AND sub_asset_class IS NOT NULL) c ON t.firm = c.firm AND t.sub_asset_class = c.sub_asset_class GROUP BY 1"""

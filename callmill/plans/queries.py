@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callmill.common import once, read
 from callmill.functions import text as T
-from callmill.operators import assemble, contracts, evaluate, evidence, ingest, instants, layout, pipeline, report, scoring, taxonomy
+from callmill.operators import assemble, contracts, engines, evaluate, evidence, ingest, instants, layout, pipeline, report, scoring, taxonomy
 
 LANGUAGES = ("explicit_dial", "explicit_stance", "directional", "implied", "none")
 
@@ -176,9 +176,79 @@ def cross_leaf_dedup(spark, d):
     return x.select("failure_id", F.coalesce("reason", F.lit("")).alias("reason"), F.coalesce("message", F.lit("")).alias("message"))
 
 
+def _memory_blocks(spark, d):
+    """What each chunk leaves: the failures of it as its calls, its locator as its summary; a chunk with a failed reading is skipped."""
+    calls = _failures(spark, d, "source_id", "chunk_id", "sub_asset_class", "call_view", "locator", "reason_code")
+    listed = F.array_sort(F.collect_list(F.struct("failure_id", F.col("sub_asset_class").alias("leaf"), "call_view", "locator")))
+    lost = F.min(F.when(F.col("reason_code").isin("json_parse_error", "engine_error"), F.col("reason_code")))
+    left = calls.groupBy("source_id", "chunk_id").agg(listed.alias("ledger"), lost.alias("lost"))
+    rows = _chunks(spark, d).join(left, ["source_id", "chunk_id"], "left")
+    block = engines.memory_block(F.col("chunk_id"), F.col("locator"), F.coalesce("ledger", F.array().cast("array<struct<failure_id:bigint,leaf:string,call_view:string,locator:string>>")), F.col("lost"))
+    sources, groups = _source_infos(spark, d)
+    headed = rows.withColumn("block", block).join(sources, "source_id", "left")
+    return headed.select("source_id", "source_ord", "chunk_ord", "chunk_id", "block", engines.memory_header(F.col("firm"), F.col("source"), F.col("source_id")).alias("head")), groups
+
+
 def rolling_memory(spark, d):
-    blocks = _chunks(spark, d).select("source_id", "chunk_ord", "chunk_id", F.concat("chunk_id", F.lit(";")).alias("block"))
-    return assemble.rolling_memory(blocks, ["source_id"], "chunk_ord", "block").select("source_id", "chunk_id", "memory")
+    blocks, _ = _memory_blocks(spark, d)
+    return assemble.rolling_memory(blocks, ["source_id"], "chunk_ord", "block", "head").select("source_id", "chunk_id", F.length("memory").alias("n_chars"), F.md5("memory").alias("digest"))
+
+
+def companion_memory(spark, d):
+    blocks, groups = _memory_blocks(spark, d)
+    found = assemble.companion_memory(blocks, groups, "source_ord", "chunk_ord", "block", "head", engines.COMPANION)
+    return found.select("source_id", "chunk_id", "group_key", F.length("memory").alias("n_chars"), F.md5("memory").alias("digest"))
+
+
+def prompt_contents(spark, d):
+    """What a reader is told of each chunk."""
+    texts = _snapshots(spark, d, "snapshot_text", "source_type", "printed_pdf", "resolved_url", "snapshot_text_path")
+    said = ingest.chunk_content(F.col("chunk_id"), F.coalesce("locator", F.lit("")), F.col("snapshot_text"), F.col("snapshot_text_path"), F.col("resolved_url"), F.col("source_type") == "pdf", F.col("printed_pdf"))
+    return _chunks(spark, d).join(texts, "source_id").select("source_id", "chunk_id", F.md5(said).alias("digest"))
+
+
+def _answers():
+    answer = lambda code, doubt="": F.when(F.col("reason_code") == code, "fail").when(F.col("reason_code") == doubt, "unclear").otherwise("pass")
+    return answer("checker_sign_mismatch", "unresolved_conflict").alias("supports_view"), answer("checker_not_forward_looking").alias("forward_looking"), answer("checker_asset_mismatch").alias("asset_match")
+
+
+def _checked(spark, d):
+    """Recorded answers of a checker, one for each source; that of a source with a checker_error is no JSON."""
+    rows = _failures(spark, d, "source_id", "reason_code", "checker_strength", "message").withColumnRenamed("failure_id", "cand_idx")
+    placed = assemble.group_index(rows, ["source_id"], "cand_idx")
+    one = F.struct(F.col("group_idx").alias("index"), *_answers(), F.nullif("checker_strength", F.lit("")).alias("evidence_strength"), F.col("message").alias("note"))
+    said = placed.groupBy("source_id").agg(F.collect_list(one).alias("verdicts"), F.max(F.col("reason_code") == "checker_error").alias("lost"))
+    responses = said.select("source_id", F.when(F.coalesce("lost", F.lit(False)), "no answer").otherwise(F.to_json(F.struct("verdicts"))).alias("response"))
+    return engines.checked_verdicts(rows.where("source_id is not null"), responses.where("source_id is not null"))
+
+
+def checker_verdicts(spark, d):
+    return _checked(spark, d)[0]
+
+
+def checker_failures(spark, d):
+    return _checked(spark, d)[1]
+
+
+def response_outcomes(spark, d):
+    """Recorded readings of chunks, parsed by contract: how many calls each gives, or why it fails as a whole."""
+    fields = ("source_id", "chunk_id", "sub_asset_raw", "sub_asset_class", "taxonomy_match", "call_view", "evidence_kind", "evidence_quote", "locator", "reasoning", "basis")
+    rows = _failures(spark, d, *fields).where("source_id is not null and chunk_id is not null")
+    one = F.struct("failure_id", *[F.col(f).alias("view" if f == "call_view" else f) for f in fields if f != "basis"], F.lit("implied").alias("call_language"), F.when(F.col("basis") != "forecast_delta", F.col("basis")).alias("basis"))
+    said = rows.groupBy("source_id", "chunk_id").agg(F.to_json(F.struct(F.array_sort(F.collect_list(one)).alias("candidates"))).alias("response"))
+    kept, lost = engines.responses_to_candidates(said, ["source_id", "chunk_id"], "response")
+    good = kept.groupBy(F.col("response_source_id").alias("source_id"), F.col("response_chunk_id").alias("chunk_id")).agg(F.count("*").alias("n")).withColumn("message", F.lit(""))
+    return good.unionByName(lost.select("source_id", "chunk_id", F.lit(0).cast("bigint").alias("n"), "message"))
+
+
+def quote_quality(spark, d):
+    return evaluate.quotes(evidence_check(spark, d), "ev_passed")
+
+
+def leaf_matches(spark, d):
+    """Calls that were inferred against those that were stated."""
+    rows = _calls(spark, d, "firm", "sub_asset_class", "basis")
+    return evaluate.leaf_matches(rows.where("basis = 'inferred'"), rows.where("basis = 'stated'"), "firm", "sub_asset_class")
 
 
 def displayed_chunks(spark, d):
@@ -301,11 +371,7 @@ def _source_infos(spark, d):
 
 def _assembled(spark, d):
     verdicts = _failures(spark, d, "reason_code", "checker_strength", "message").where("checker_strength is not null")
-    answer = lambda code, doubt="": F.when(F.col("reason_code") == code, "fail").when(F.col("reason_code") == doubt, "unclear").otherwise("pass")
-    verdicts = verdicts.select(
-        F.col("failure_id").alias("cand_idx"), answer("checker_sign_mismatch", "unresolved_conflict").alias("supports_view"), answer("checker_not_forward_looking").alias("forward_looking"), answer("checker_asset_mismatch").alias("asset_match"),
-        F.col("checker_strength").alias("evidence_strength"), F.col("message").alias("note"),
-    )
+    verdicts = verdicts.select(F.col("failure_id").alias("cand_idx"), *_answers(), F.col("checker_strength").alias("evidence_strength"), F.col("message").alias("note"))
     sources, groups = _source_infos(spark, d)
     texts = pipeline.prepared_sources(_snapshots(spark, d, "snapshot_text", "page_count", "scrambled_pages"))
     judged = pipeline.judge(_candidates(spark, d), read(spark, d, "taxonomy"), texts, _chunks(spark, d), verdicts, groups)
@@ -335,6 +401,6 @@ def assembled_counts(spark, d):
 NAMES = (
     "source_urls firm_keys visual_pages made_chunks chunk_lengths source_batches read_quality normalized_quotes nfkc_texts quote_tokens verbatim_evidence evidence_check locator_parse "
     "taxonomy_lookup unknown_labels taxonomy_integrity taxonomy_outline failure_reason_counts basis_counts strength_counts reconciliation source_summary view_conflicts same_view_dedup arbitration "
-    "corroboration cross_leaf_dedup rolling_memory displayed_chunks contract_candidates contract_verdicts call_scores hard_failures band_counts assembled_rows assembled_failures assembled_counts scrambled_pages eval_agreement one_hot_views conflict_ledger all_failures"
+    "corroboration cross_leaf_dedup rolling_memory companion_memory prompt_contents checker_verdicts checker_failures response_outcomes quote_quality leaf_matches displayed_chunks contract_candidates contract_verdicts call_scores hard_failures band_counts assembled_rows assembled_failures assembled_counts scrambled_pages eval_agreement one_hot_views conflict_ledger all_failures"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES} | {"p5_found": instants.p5_found}

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 # The columns of the two result files.
 OUTPUT_COLUMNS = "firm out_date source url sub_asset_class asset_class_category canva_groupings asset_class call_view full_commentary confidence band review_flag basis checker_strength".split()
@@ -56,6 +57,33 @@ def fetch(urls: DataFrame, url: str, fetcher: Callable[[str], str]) -> DataFrame
     return urls.mapInPandas(run, schema)
 
 
+def paged(items: DataFrame, item: str, reader: Callable[[object], list[str]]) -> DataFrame:
+    """items with page_no (from 1), text and read_error: an injected reader gives the page texts of a file's bytes or of an address to print.
+
+    What it raises becomes the error of one row without page.
+    """
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name != item or not isinstance(f.dataType, BinaryType)), "page_no int, text string, read_error string"])
+    kept = [f.name for f in items.schema if f.name != item or not isinstance(f.dataType, BinaryType)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for own, value in zip(batch[kept].itertuples(index=False), batch[item]):
+                try:
+                    rows += [(*own, n, t, None) for n, t in enumerate(reader(value), 1)]
+                except Exception as e:  # noqa: BLE001
+                    rows.append((*own, None, None, str(e)[:300]))
+            out = pd.DataFrame(rows, columns=[*kept, "page_no", "text", "read_error"])
+            yield out.astype({"page_no": "Int32"})
+
+    return items.mapInPandas(run, schema)
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, content of the files below a folder, for a reader of theirs (paged)."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
 def html_text(html):
     """Text of a page by pattern: scripts, styles and tags fall away, blocks end lines. A fallback, no main-content extraction."""
     x = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", "")

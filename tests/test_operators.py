@@ -113,13 +113,55 @@ def test_cross_leaf(spark):
 
 
 def test_memory(spark):
-    blocks = spark.createDataFrame([("a", 0, 0, "a0;"), ("a", 0, 1, "a1;"), ("b", 1, 0, "b0;"), ("c", 2, 0, "c0;")], "source_id string, source_ord int, chunk_ord int, block string")
-    assert {(r.source_id, r.chunk_ord): r.memory for r in assemble.rolling_memory(blocks, ["source_id"], "chunk_ord", "block").collect()} == {("a", 0): "", ("a", 1): "a0;", ("b", 0): "", ("c", 0): ""}
-    groups = spark.createDataFrame([("a", "g"), ("b", "g")], "source_id string, group_id string")
-    found = assemble.companion_memory(blocks, groups, "source_ord", "chunk_ord", "block", F.lit("<new>"))
-    assert {(r.source_id, r.chunk_ord): r.memory for r in found.collect()} == {("a", 0): "", ("a", 1): "a0;", ("b", 0): "a0;a1;<new>", ("c", 0): ""}
-    block = spark.range(1).select(engines.memory_block(F.lit("s"), F.lit("p1-5"), F.array(F.struct(F.lit("Gold").alias("leaf"), F.lit("O").alias("call_view"), F.lit("p.1").alias("locator"))), F.lit(None).cast("string")).alias("x")).first().x
-    assert block == "s p1-5: Gold=O[p.1]\n"
+    blocks = spark.createDataFrame([("a", 0, 0, "a0;", "A"), ("a", 0, 1, "a1;", "A"), ("b", 1, 0, "b0;", "B"), ("b", 1, 1, "b1;", "B"), ("d", 3, 0, "d0;", "D"), ("c", 2, 0, "c0;", None)], "source_id string, source_ord int, chunk_ord int, block string, head string")
+    assert {(r.source_id, r.chunk_ord): r.memory for r in assemble.rolling_memory(blocks, ["source_id"], "chunk_ord", "block", "head").collect()} == {("a", 0): "A", ("a", 1): "Aa0;", ("b", 0): "B", ("b", 1): "Bb0;", ("c", 0): "", ("d", 0): "D"}
+    groups = spark.createDataFrame([("a", "g"), ("b", "g"), ("d", "g")], "source_id string, group_id string")
+    found = assemble.companion_memory(blocks, groups, "source_ord", "chunk_ord", "block", "head", "<new>")
+    whole_a = "Aa0;a1;"
+    whole_b = "B<new>" + whole_a + "\nb0;b1;"
+    assert {(r.source_id, r.chunk_ord): r.memory for r in found.collect()} == {("a", 0): "A", ("a", 1): "Aa0;", ("b", 0): "B<new>" + whole_a + "\n", ("b", 1): "B<new>" + whole_a + "\nb0;", ("d", 0): "D<new>" + whole_b + "\n", ("c", 0): ""}
+    none, one = F.lit(None).cast("string"), F.array(F.struct(F.lit("Gold").alias("leaf"), F.lit("O").alias("call_view"), F.lit("p.1").alias("locator")))
+    x = spark.range(1).select(engines.memory_block(F.lit("p1-5"), F.lit("s."), one, none).alias("x"), engines.memory_block(F.lit("p1-5"), none, one, F.lit("engine_error")).alias("y"), engines.memory_header(F.lit("F"), F.lit("T"), F.lit("s")).alias("z")).first()
+    assert (x.x, x.y, x.z) == ("\n## Chunk p1-5\nSummary: s.\nCandidates: Gold=O[p.1]\n", "\n## Chunk p1-5\nSummary: (engine_error; chunk skipped)\nCandidates: none\n", "# F — T  (s)\n")
+
+
+def test_analyze_in_order(spark):
+    """Each chunk is read with what came before it, a companion with all of the document before it, and a failure stops nothing."""
+
+    def engine(prompt: str) -> str:
+        if "boom" in prompt:
+            raise RuntimeError("down")
+        return "no json" if "stubborn" in prompt else json.dumps({"summary": f"seen {prompt.count('## Chunk')}", "candidates": [{"sub_asset_class": "Gold", "view": "O", "locator": "p.1"}] if "call" in prompt.split("CONTENT:")[1].split("##")[0] else []})
+
+    rows = [("g", 1, "s1", "F", "T", 0, "c0", "call"), ("g", 1, "s1", "F", "T", 1, "c1", "boom"), ("g", 1, "s1", "F", "T", 2, "c2", "stubborn"), ("g", 2, "s2", "F", "U", 0, "c0", "nothing"), ("s3", 3, "s3", None, None, 0, "c0", "call")]
+    chunks = spark.createDataFrame(rows, "group_key string, source_ord int, source_id string, firm string, title string, chunk_ord int, chunk_id string, content string")
+    validate = lambda a: None if a.startswith("{") else "not JSON"
+    found = {(r.source_id, r.chunk_ord): r for r in engines.analyze(chunks, "{{rules}}\nMEMORY:{{memory}}CONTENT:{{chunk_content}}", engine, validate, {"rules": "R"}).collect()}
+    head = "# F — T  (s1)\n"
+    told = "\n## Chunk c0\nSummary: seen 0\nCandidates: Gold=O[p.1]\n"
+    failed = "\n## Chunk c1\nSummary: (engine_error; chunk skipped)\nCandidates: none\n"
+    assert found["s1", 0].memory == head and found["s1", 1].memory == head + told and found["s1", 2].memory == head + told + failed
+    assert (found["s1", 1].reason_code, found["s1", 1].attempt, found["s1", 2].reason_code, found["s1", 2].attempt) == ("engine_error", 1, "json_parse_error", 3)
+    assert found["s2", 0].memory.startswith("# F — U  (s2)\n" + engines.COMPANION + head + told) and found["s3", 0].memory == "#  —   (s3)\n"
+    assert engines.analyze(chunks.limit(0), "", engine, validate).count() == 0
+
+
+def test_recorded_responses(spark):
+    good = {"source_id": "s", "chunk_id": "p1-5", "sub_asset_class": "Gold", "taxonomy_match": "exact", "view": "O", "call_language": "implied", "evidence_kind": "prose", "evidence_quote": "q", "locator": "p.1", "reasoning": "r"}
+    rows = [("s", "p1-5", json.dumps({"candidates": [good, good | {"view": "U"}], "summary": "x"})), ("s", "p6-9", json.dumps({"candidates": [good, good | {"view": "?"}, {}]})), ("t", "p1-5", "no"), ("u", "p1-5", json.dumps({"candidates": []}))]
+    kept, lost = engines.responses_to_candidates(spark.createDataFrame(rows, "source_id string, chunk_id string, response string"), ["source_id", "chunk_id"], "response")
+    assert sorted((r.response_source_id, r.response_chunk_id, r.item_no, r.call_view) for r in kept.collect()) == [("s", "p1-5", 0, "O"), ("s", "p1-5", 1, "U")]
+    before = "invalid LLM JSON after repair attempts: "
+    assert rows_of(lost.select("source_id", "chunk_id", "reason_code", "message")) == [("s", "p6-9", "json_parse_error", before + "view must be one of O, N, U, UNCERTAIN"), ("t", "p1-5", "json_parse_error", before + "LLM response must be a JSON object")]
+    ok = {"index": 0, "supports_view": "pass", "forward_looking": "pass", "asset_match": "pass"}
+    calls = spark.createDataFrame([("a", 10), ("a", 30), ("a", 20), ("b", 40), ("c", 50), ("d", 60)], "source_id string, cand_idx bigint")
+    said = [("a", json.dumps({"verdicts": [ok, ok | {"index": 2, "note": "n"}, ok | {"index": 9}, ok | {"supports_view": "fail"}]}), None), ("b", json.dumps({"verdicts": [ok | {"asset_match": "no"}]}), None), ("c", None, "engine_error: down")]
+    verdicts, failed = engines.checked_verdicts(calls, spark.createDataFrame(said, "source_id string, response string, error string"), error="error")
+    assert rows_of(verdicts.select("cand_idx", "supports_view", "note")) == [(10, "fail", ""), (30, "pass", "n")]
+    assert rows_of(failed) == [("b", "checker", "checker_error", "asset_match must be one of pass, unclear, fail"), ("c", "checker", "checker_error", "engine_error: down")]
+    conflicts = spark.createDataFrame([("g", "l"), ("g", "l"), (None, "l")], "group_key string, sub_asset_class string")
+    told = spark.createDataFrame([("g", "l", '{"winning_index": 1, "reasoning": "newer"}', None), (None, "l", "x", None), ("z", "l", None, "down")], "group_key string, sub_asset_class string, response string, error string")
+    assert rows_of(engines.decided(conflicts, ["group_key", "sub_asset_class"], told, error="error")) == [("g", "l", 1, "newer"), (None, "l", None, "arbiter error: arbiter response must be a JSON object")]
 
 
 GOOD = {"source_id": "s", "sub_asset_class": "Gold", "taxonomy_match": "exact", "view": "O", "call_language": "explicit", "evidence_kind": "prose", "evidence_quote": ["a", "b ... c"], "locator": "p.1", "reasoning": "r", "conflict": False, "chunk_id": "p1-1"}
@@ -161,7 +203,7 @@ def test_engine(spark):
     def engine(prompt: str) -> str:
         if "boom" in prompt:
             raise RuntimeError("no engine")
-        return "{}" if "broke the contract" in prompt or "easy" in prompt else "x"
+        return "{}" if "did not satisfy" in prompt or "easy" in prompt else "x"
 
     validate = lambda a: None if a == "{}" else "no object"
     prompts = spark.createDataFrame([("a", "easy"), ("b", "hard"), ("c", "boom")], "k string, p string")
@@ -170,8 +212,11 @@ def test_engine(spark):
     assert rows_of(engines.exhausted(tried, ["k"])) == [("c", "engine_error", "engine_error: no engine")]
     never = engines.run_engine(prompts.where("k = 'b'"), ["k"], "p", lambda p: "x", validate)
     assert never.count() == 3 and rows_of(engines.exhausted(never, ["k"]))[0][1] == "json_parse_error"
-    allowed = {"one": {"efforts": ("low",), "model": "m"}, "two": {"needs_model": True}}
+    allowed = {"one": engines.Rule(("one", "run"), ("low",), model="m", model_flags=("-m", "{}"), effort_flags=("-c", "effort={}")), "two": engines.Rule(("two",), ("low", "high"), needs_model=True)}
     assert engines.Settings("one", effort="low").checked(allowed).repairs == 2
+    assert engines.Settings("one", effort="low").argv(allowed, "p") == ["one", "run", "-m", "m", "-c", "effort=low", "p"] and engines.Settings("two", "x").argv(allowed, "p") == ["two", "--model", "x", "p"]
+    assert engines.compose_prompt("base \n", '{"b": 1, "a": "é"}') == 'base\n\n## Machine-readable inputs\n{\n  "a": "é",\n  "b": 1\n}\n'
+    assert json.loads(engines.repair_prompt("base", '{"a": 1}', "prev", "why").split("JSON.\n\n")[1]) == {"original_inputs": {"a": 1}, "previous_response": "prev", "validation_error": "why"}
     for bad in (engines.Settings("three"), engines.Settings("one", effort="x"), engines.Settings("one", model="q"), engines.Settings("two")):
         with pytest.raises(ValueError):
             bad.checked(allowed)
@@ -180,11 +225,34 @@ def test_engine(spark):
 
 
 def test_grouping(spark):
-    plan = [["a", "b", "x"], ["b", "c"], ["c", "d"], ["e", "e"], []]
-    taken, warnings = grouping.resolve_groups(plan, set("abcd"))
-    assert taken == {"a": "group-1", "b": "group-1", "c": "group-2", "d": "group-2"} and len(warnings) == 7
+    plan = [(["a", "b", "x"], "n1"), (["b", "c"], "n2"), (["c", "d"], "n3"), (["e", "e"], "n4")]
+    groups, warnings = grouping.resolve_groups(plan, set("abcd"), ["who?"])
+    assert groups == [{"group_id": "group-1", "source_ids": ["a", "b"], "note": "n1"}, {"group_id": "group-2", "source_ids": ["c", "d"], "note": "n3"}]
+    assert warnings == [
+        "unmatched note: who?", "dropped unknown source ids ['x'] from note: n1", "source(s) ['b'] already grouped; dropped from note: n2", "note did not resolve to two run sources; ignored: n2",
+        "dropped unknown source ids ['e', 'e'] from note: n4", "note did not resolve to two run sources; ignored: n4",
+    ]
     df = spark.createDataFrame([("a", "z"), ("q", "z")], "source_id string, group_id string")
-    assert rows_of(grouping.with_groups(df, taken).select("source_id", "group_id")) == [("a", "group-1"), ("q", "q")]
+    assert rows_of(grouping.with_groups(df, grouping.group_map(groups)).select("source_id", "group_id")) == [("a", "group-1"), ("q", "q")]
+    said = lambda text, error=None: grouping.resolved(spark.createDataFrame([(text, error)], "t string, e string"), "t", set("ab"), "e")
+    assert said('{"groups": [{"source_ids": ["a", "b"], "note": "n"}], "unmatched_notes": ["u"]}') == ([{"group_id": "group-1", "source_ids": ["a", "b"], "note": "n"}], ["unmatched note: u"])
+    assert said("x") == ([], ["group-notes resolution failed; run proceeds ungrouped: group resolver response must be a JSON object"]) and said(None, "down")[1][0].endswith("down")
+
+
+def test_snapshots(spark):
+    sources = spark.createDataFrame([("f", "pdf"), ("h", "html"), ("v", "html"), ("w", "html"), ("e", "pdf")], "source_id string, source_type string")
+    pages = spark.createDataFrame([("f", 2, "two", True), ("f", 1, "one", False)], "source_id string, page_no int, text string, scrambled boolean")
+    heavy = "<img>" * 6
+    html = spark.createDataFrame([("h", "<p>x</p>", "x"), ("v", heavy, "few"), ("w", heavy, "kept")], "source_id string, html string, text string")
+    prints = files.paged(spark.createDataFrame([("v", "http://v"), ("z", "bad")], "source_id string, u string"), "u", lambda u: ["p1", "p2"] if "v" in u else 1 / 0)
+    assert rows_of(prints.select("source_id", "page_no", "text", "read_error")) == [("v", 1, "p1", None), ("v", 2, "p2", None), ("z", None, None, "division by zero")]
+    got = {r.source_id: r for r in ingest.snapshots(sources, pages, html, prints.where("page_no is not null").withColumn("scrambled", F.lit(False))).collect()}
+    assert (got["f"].snapshot_text, got["f"].page_count, got["f"].scrambled_pages, got["f"].visual_markup) == ("one\n\ntwo", 2, [2], None)
+    assert (got["h"].snapshot_text, got["h"].page_count, got["h"].visual_heavy) == ("x", None, False) and (got["v"].snapshot_text, got["v"].page_count, got["v"].printed_pdf) == ("p1\n\np2", 2, True)
+    assert (got["w"].snapshot_text, got["w"].printed_pdf, got["w"].visual_heavy) == ("kept", False, True) and (got["e"].snapshot_text, got["e"].page_count) == ("", 0)
+    told = spark.createDataFrame([("char:1-3", "char:1-3", "abcd", "/f", "http://x", False, False), ("p1-5", "p.1-5", "abcd", "/f", "http://x", False, True)], "c string, l string, t string, p string, u string, paged boolean, printed boolean")
+    said = [r.x for r in told.select(ingest.chunk_content(*[F.col(c) for c in ("c", "l", "t", "p", "u", "paged", "printed")]).alias("x")).collect()]
+    assert "(locator char:1-3, from http://x)" in said[0] and said[0].endswith("-----\nbc\n-----") and said[1].startswith("This chunk is pages 1-5 of the PDF file at:\n`/f`\n\n(This PDF is a print-to-PDF capture")
 
 
 def test_layout(spark):
