@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmill.common import read, salted_lookup, shared_dir
+from callmill.common import read, salted_lookup, shared_dir, stored
 
 #: Raise when the parser changes: kept dictionaries of other versions are not read.
 PARSER_VERSION = 1
@@ -114,16 +114,22 @@ def parse(df: DataFrame) -> DataFrame:
 
 
 def normalise(rows: DataFrame, raw: str, tz: str, date_order: str, by: str, dictionary: str | None = None) -> DataFrame:
-    """rows with instant_us. dictionary: folder of the kept dictionary; only texts that it lacks are parsed and added."""
+    """rows with instant_us. dictionary: folder of the kept dictionary; only texts that it lacks are parsed and added.
+
+    Its keys are 128-bit digests of text, zone and order. Two runs that add a text at once give it the same instant twice;
+    reading keeps one.
+    """
     spark = rows.sparkSession
     path = f"{dictionary or shared_dir(spark) + '/instants-' + uuid.uuid4().hex}/v{PARSER_VERSION}"
-    keyed = rows.drop("instant_us").withColumn("_key", F.to_json(F.struct(F.col(raw).alias("r"), F.col(tz).alias("z"), F.col(date_order).alias("o"))))
+    digest = F.md5(F.to_json(F.struct(F.col(raw).alias("r"), F.col(tz).alias("z"), F.col(date_order).alias("o"))))
+    keyed = stored(rows.drop("instant_us").withColumn("_key", digest), "keyed")
     new = keyed.where(F.col(raw).isNotNull()).groupBy("_key").agg(F.first(raw).alias("raw"), F.first(tz).alias("tz"), F.first(date_order).alias("date_order"))
     known = _known(spark, path)
     if known is not None:
         new = new.join(known.select("_key"), "_key", "left_anti")
     parse(new).select("_key", "instant_us").write.mode("append").parquet(path)
-    return salted_lookup(keyed, spark.read.schema("_key string, instant_us bigint").parquet(path), "_key", F.col(by)).drop("_key")
+    found = spark.read.schema("_key string, instant_us bigint").parquet(path).groupBy("_key").agg(F.first("instant_us").alias("instant_us"))
+    return salted_lookup(keyed, found, "_key", F.col(by)).drop("_key")
 
 
 def _known(spark: SparkSession, path: str) -> DataFrame | None:
@@ -133,13 +139,14 @@ def _known(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Problem 5 over target_list, reference_list and output_calls: one row for each row whose text gives an instant."""
-    parts = [
-        read(spark, sf_dir, table).select(F.lit(table).alias("table_name"), F.col(key).cast("bigint").alias("row_key"), F.col(raw).alias("raw"), "desk").where(F.col(key).isNotNull())
-        for table, key, raw in (("target_list", "list_row", "published_at"), ("reference_list", "ref_row", "pub_date"), ("output_calls", "call_id", "out_date"))
-    ]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).dropDuplicates(["table_name", "row_key"])
+    """Problem 5 over target_list, reference_list and output_calls: one row for each row whose text gives an instant.
+
+    The tables share a dictionary: each adds the texts that those before it lack.
+    """
     desks = read(spark, sf_dir, "desks").select("desk", "tz", "date_order")
-    rows = salted_lookup(rows, desks, "desk", F.col("row_key"))
-    found = normalise(rows, "raw", "tz", "date_order", "row_key")
-    return found.where("instant_us is not null").select("table_name", "row_key", "instant_us")
+    dictionary, found = f"{shared_dir(spark)}/instants-{uuid.uuid4().hex}", []
+    for table, key, raw in (("target_list", "list_row", "published_at"), ("reference_list", "ref_row", "pub_date"), ("output_calls", "call_id", "out_date")):
+        rows = read(spark, sf_dir, table).select(F.lit(table).alias("table_name"), F.col(key).cast("bigint").alias("row_key"), F.col(raw).alias("raw"), "desk")
+        rows = salted_lookup(rows.where("row_key is not null").dropDuplicates(["row_key"]), desks, "desk", F.col("row_key"))
+        found.append(normalise(rows, "raw", "tz", "date_order", "row_key", dictionary).where("instant_us is not null").select("table_name", "row_key", "instant_us"))
+    return found[0].unionByName(found[1]).unionByName(found[2])

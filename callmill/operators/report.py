@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,3 +100,15 @@ def manifest(
         lines.append(f"- {r.source_id} ({r.source_type}, {size}): {r.candidates} candidates emitted{tags}")
     said.append(("Sources processed", lines))
     return "\n".join(["# Run Manifest", "", *[x for title, lines in said if lines for x in (f"## {title}", *lines, "")]])
+
+
+def review_page(rows: DataFrame, columns: list[str], *order: str, title: str = "Review", most: int = 5_000) -> str:
+    """A page for reviewers: the rows as a table, those that need review marked. It is read by people, so more than `most` rows are refused."""
+    given = (rows.orderBy(*order) if order else rows).select(*columns, F.coalesce("review_flag", F.lit("none")).alias("_flag")).take(most + 1)
+    if len(given) > most:
+        raise ValueError(f"a page of more than {most} rows")
+    cell = lambda v: html.escape("" if v is None else str(v))
+    body = "".join(f'<tr class="{cell(r[-1])}">' + "".join(f"<td>{cell(v)}</td>" for v in r[:-1]) + "</tr>\n" for r in given)
+    style = "table{border-collapse:collapse}td,th{border:1px solid #999;padding:4px;vertical-align:top}.review{background:#fff3cd}.strong_review{background:#f8d7da}"
+    head = "".join(f"<th>{cell(c)}</th>" for c in columns)
+    return f'<!DOCTYPE html>\n<html><head><meta charset="utf-8"><title>{cell(title)}</title><style>{style}</style></head><body>\n<h1>{cell(title)}</h1>\n<table><tr>{head}</tr>\n{body}</table></body></html>\n'

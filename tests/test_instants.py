@@ -94,3 +94,14 @@ def test_query(spark, tables):
     empty = instants.p5_found(spark, tables(**{k: [] for k in made}))
     assert empty.count() == 0 and empty.columns == ["table_name", "row_key", "instant_us"]
     assert empty.select(F.col("row_key")).dtypes == [("row_key", "bigint")]
+
+
+def test_two_runs_at_once_give_no_row_twice(spark, tmp_path):
+    """A text that two runs have added to the kept dictionary stands in it twice and gives its row once."""
+    rows = spark.createDataFrame([(1, "2026-01-02", "UTC", "dmy"), (2, "2026-01-02", "UTC", "dmy")], "k bigint, raw string, tz string, o string")
+    first = {r.k: r.instant_us for r in instants.normalise(rows, "raw", "tz", "o", "k", str(tmp_path / "d")).collect()}
+    kept = f"{tmp_path / 'd'}/v{instants.PARSER_VERSION}"
+    spark.read.parquet(kept).write.parquet(str(tmp_path / "copy"))
+    spark.read.parquet(str(tmp_path / "copy")).write.mode("append").parquet(kept)
+    again = instants.normalise(rows, "raw", "tz", "o", "k", str(tmp_path / "d")).collect()
+    assert len(again) == 2 and {r.k: r.instant_us for r in again} == first

@@ -291,6 +291,14 @@ def test_taxonomy_and_reports(spark, tmp_path):
     assert tuple(evaluate.agreement(calls, truth, ["firm"]).first()) == (2, 1, 1, 1, 1, 0)
 
 
+def test_review_page(spark):
+    rows = spark.createDataFrame([(2, "a <b>", "review"), (1, None, None)], "k int, v string, review_flag string")
+    page = report.review_page(rows, ["k", "v"], "k", title="R & D")
+    assert "<h1>R &amp; D</h1>" in page and page.index("<td>1</td><td></td>") < page.index('<tr class="review"><td>2</td><td>a &lt;b&gt;</td></tr>')
+    with pytest.raises(ValueError):
+        report.review_page(rows, ["k"], most=1)
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text('﻿Id,Title,\n1,"two\nlines ""q""",\n,,x\n', encoding="utf-8")
     read = files.read_csv(spark, str(tmp_path / "a.csv"))
