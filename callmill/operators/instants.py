@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from callmill.common import read, salted_lookup, shared_dir, stored
 
 #: Raise when the parser changes: kept dictionaries of other versions are not read.
-PARSER_VERSION = 1
+PARSER_VERSION = 2
 
 # Month names by number, in English, Spanish, French, German, Portuguese, Italian and Dutch.
 MONTHS = {
@@ -127,15 +127,18 @@ def normalise(rows: DataFrame, raw: str, tz: str, date_order: str, by: str, dict
     known = _known(spark, path)
     if known is not None:
         new = new.join(known.select("_key"), "_key", "left_anti")
-    parse(new).select("_key", "instant_us").write.mode("append").parquet(path)
-    found = spark.read.schema("_key string, instant_us bigint").parquet(path).groupBy("_key").agg(F.first("instant_us").alias("instant_us"))
+    # a folder for each addition: Spark takes two reads of one folder for the same table, whatever was added between them
+    parse(new).select("_key", "instant_us").write.parquet(f"{path}/added={uuid.uuid4().hex}")
+    found = _known(spark, path).groupBy("_key").agg(F.first("instant_us").alias("instant_us"))
     return salted_lookup(keyed, found, "_key", F.col(by)).drop("_key")
 
 
 def _known(spark: SparkSession, path: str) -> DataFrame | None:
+    """What the dictionary holds now, or None where there is none."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-    return spark.read.schema("_key string, instant_us bigint").parquet(path) if there else None
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    added = [x.getPath().toString() for x in files.listStatus(where) if x.isDirectory()] if files.exists(where) else []
+    return spark.read.schema("_key string, instant_us bigint").parquet(*sorted(added)) if added else None
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

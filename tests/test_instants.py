@@ -81,6 +81,15 @@ def test_dictionary_grows(spark, tmp_path):
     assert spark.read.parquet(f"{kept}/v{instants.PARSER_VERSION}").count() == 3
 
 
+def test_dictionary_shared_by_one_query(spark, tmp_path):
+    """Results that were made while the dictionary grew keep what each needs when they are read together."""
+    make = lambda first, texts: spark.createDataFrame([(first + i, t, "UTC", "dmy") for i, t in enumerate(texts)], "k int, raw string, tz string, date_order string")
+    days = [f"2024-01-{n:02}" for n in range(1, 29)]
+    parts = [instants.normalise(make(100 * n, days[: 9 * (n + 1)]), "raw", "tz", "date_order", "k", str(tmp_path / "d")) for n in range(3)]
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert {r.k: r.instant_us for r in together.collect()} == {100 * n + i: us(2024, 1, i + 1) for n in range(3) for i in range(9 * (n + 1))}
+
+
 def test_query(spark, tables):
     rows = {"desk": "LDN"}
     made = dict(
@@ -101,7 +110,7 @@ def test_two_runs_at_once_give_no_row_twice(spark, tmp_path):
     rows = spark.createDataFrame([(1, "2026-01-02", "UTC", "dmy"), (2, "2026-01-02", "UTC", "dmy")], "k bigint, raw string, tz string, o string")
     first = {r.k: r.instant_us for r in instants.normalise(rows, "raw", "tz", "o", "k", str(tmp_path / "d")).collect()}
     kept = f"{tmp_path / 'd'}/v{instants.PARSER_VERSION}"
-    spark.read.parquet(kept).write.parquet(str(tmp_path / "copy"))
-    spark.read.parquet(str(tmp_path / "copy")).write.mode("append").parquet(kept)
+    spark.read.parquet(kept).select("_key", "instant_us").write.parquet(str(tmp_path / "copy"))
+    spark.read.parquet(str(tmp_path / "copy")).write.parquet(f"{kept}/added=other")
     again = instants.normalise(rows, "raw", "tz", "o", "k", str(tmp_path / "d")).collect()
     assert len(again) == 2 and {r.k: r.instant_us for r in again} == first
