@@ -27,9 +27,9 @@ def quote_of(spans: Column) -> Column:
 def prepared(sources: DataFrame, text: str) -> DataFrame:
     """sources with norm_text and token_set, stored: the costly part, once for each source."""
     kept = F.coalesce(F.col(text), F.lit(""))
-    # by texts, not by bytes: the work is in the expressions
+    # by texts, not by bytes: the work is in the expressions. By a hash, as a shuffle by the key itself may be one that exists and is coalesced
     spark = sources.sparkSession
-    sources = sources.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "source_id")
+    sources = sources.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), F.xxhash64("source_id"))
     return stored(sources.withColumn("norm_text", normalize_quote(kept)).withColumn("token_set", F.array_distinct(tokens_of(F.col("norm_text")))), "sources")
 
 

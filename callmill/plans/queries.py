@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmill.common import once, read
+from callmill.common import once, read, stored
 from callmill.functions import text as T
 from callmill.operators import assemble, contracts, engines, evaluate, evidence, ingest, instants, layout, pipeline, report, scoring, taxonomy
 
@@ -365,7 +365,7 @@ def _source_infos(spark, d):
     """The target list's sources; neighbours in it are companions."""
     found = ingest.target_sources(_targets(spark, d)).select("source_id", F.col("list_row").alias("source_ord"), "firm", F.col("published_at").alias("out_date"), F.col("title").alias("source"), F.col("resolved_url").alias("url"))
     rest = F.struct("source_ord", "firm", "out_date", "source", "url")
-    sources = found.groupBy("source_id").agg(F.min_by(rest, "source_ord").alias("s")).select("source_id", "s.*")
+    sources = stored(found.groupBy("source_id").agg(F.min_by(rest, "source_ord").alias("s")).select("source_id", "s.*"), "source_infos")
     return sources, sources.select("source_id", F.concat(F.lit("pair-"), F.floor(F.col("source_ord") / 2).cast("string")).alias("group_id"))
 
 
