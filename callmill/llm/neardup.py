@@ -12,9 +12,9 @@ compared exactly.
 
 Texts with equal sets are one class, named by a 64-bit digest and represented by its least id; it is compared once and
 its rows are joined in at the end. Keys travel in blocks, one for each batch and bucket, with their owners' differences
-packed. A bucket's blocks are read as a stream. A key that more than STRETCH classes share is taken out of it: its
-members get their sketches, are cut into slices, and pairs of slices are compared by sketch in separate tasks, so that
-no key is capped and none is gathered in one place.
+packed. A bucket's blocks are read as a stream. A key that more than STRETCH classes share is taken out of it: the
+members that such keys connect are cut into slices, and pairs of slices are compared, by sketch and exactly, in separate
+tasks, so that no key is capped, none is gathered in one place, and a large cluster is compared once and not for each key.
 
 Defined results: null texts and texts of fewer than 12 words are left out; repeated rows of an id count once; equal
 texts have similarity 1; ties play no part. Empty tables give no rows.
@@ -35,13 +35,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmill.common import broadcast_if_small, read, stored
-from callmill.llm.common import in_slices
+from callmill.llm.common import components, in_slices
 
 WORDS, LEAST_WORDS, LEAST_SIMILARITY = 3, 12, 0.6
 #: Points of a plane's side, a prime power of 2, and planes.
 SIDE, PLANES = 4, 8
 #: Keys for one bucket in the mean, keys of a bucket that are held before its common ones are taken out, classes of a key that are paired in one go, pairs made at once.
 KEYS_A_BUCKET, HELD, STRETCH, PAIRS_AT_ONCE = 1_000_000, 4_000_000, 1_000, 2_000_000
+#: Bits of the sets of a slice that are held at once.
+BITS_HELD = 1_000_000_000
 #: Chance that a pair of just the least similarity is lost by its sketches.
 SKETCH_LOSS = 1e-9
 #: Ids up to which a list of them is broadcast to the texts; a longer one is joined by shuffling them.
@@ -315,7 +317,7 @@ def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _promising(collisions: DataFrame, reps: DataFrame, agree: int) -> DataFrame:
-    """a, b of the collisions whose sketches agree in at least `agree` values."""
+    """a, b of the colliding pairs whose sketches agree in at least `agree` values."""
     sketches = reps.select("rep", "sketch")
     # one shuffle serves to find the different pairs and to join them
     pairs = collisions.where("key is null").select("a", "b").repartition("a").dropDuplicates(["a", "b"])
@@ -327,43 +329,90 @@ def _promising(collisions: DataFrame, reps: DataFrame, agree: int) -> DataFrame:
                 x, y = (_sketches(batch.column(c).to_pylist()) for c in "xy")
                 yield batch.select(["a", "b"]).filter(pa.array(agreement(x, y) >= agree))
 
-    direct = sided.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
-    common = collisions.where("key is not null").select("key", F.col("a").alias("rep")).distinct()
+    return sided.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+
+
+def similar_in_blocks(left: list[dict], right: list[dict], agree: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) of the members (rep, sketch, grams) of two lists that are similar enough, by sketch and then exactly.
+
+    The right sets are rows of bits over what they hold, unless that were too wide.
+    """
+    x, y = _sketches([r["sketch"] for r in left]), _sketches([r["sketch"] for r in right])
+    ids, sets = np.array([r["rep"] for r in right]), [np.frombuffer(r["grams"], np.uint64) for r in right]
+    sizes, held = np.array([len(g) for g in sets]), np.unique(np.concatenate(sets))
+    wide = len(sets) * len(held) > BITS_HELD
+    if not wide:
+        bits = np.zeros((len(sets), -(-len(held) // 64)), np.uint64)
+        for k, g in enumerate(sets):
+            at = np.searchsorted(held, g)
+            np.bitwise_or.at(bits[k], at // 64, np.uint64(1) << (at % 64).astype(np.uint64))
+    for r, own in zip(left, x):
+        near = np.flatnonzero(agreement(own[None], y) >= agree)
+        g = np.frombuffer(r["grams"], np.uint64)
+        if wide:
+            both = np.array([len(np.intersect1d(g, sets[k], assume_unique=True)) for k in near], np.int64)
+        else:
+            at = np.searchsorted(held, g)
+            at = at[(at < len(held))][held[at[at < len(held)]] == g[at < len(held)]]
+            mine = np.zeros(bits.shape[1], np.uint64)
+            np.bitwise_or.at(mine, at // 64, np.uint64(1) << (at % 64).astype(np.uint64))
+            both = np.bitwise_count(bits[near] & mine).sum(axis=1, dtype=np.int64)
+        found = ids[near[both >= least * (len(g) + sizes[near] - both)]]
+        yield np.full(len(found), r["rep"]), found
+
+
+def _similar_of_common(collisions: DataFrame, source: DataFrame, reps: DataFrame, agree: int, least: float) -> DataFrame | None:
+    """a, b of the similar pairs that share a common key, or None where no key is common.
+
+    Keys of one cluster hold much the same members, so the keys' connected members are compared once, unless that were
+    more pairs than the keys have one by one. What is compared is cut into slices, and slices are paired in separate tasks.
+    """
+    common = stored(collisions.where("key is not null").select("key", F.col("a").alias("rep")).distinct(), "common")
     if common.isEmpty():
-        return direct
-    sizes = common.groupBy("key").agg(F.ceil(F.count("*") / STRETCH).cast("int").alias("slices"))
-    sliced = common.join(sizes, "key").withColumn("slice", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int")).join(sketches, "rep")
-    held = stored(sliced.groupBy("key", "slice").agg(F.collect_list(F.struct("rep", "sketch")).alias("m")), "slices")
+        return None
+    named = common.select(F.concat(F.lit("k"), "key").alias("a"), F.concat(F.lit("r"), "rep").alias("b"))
+    found = components(named, named.select(F.col("a").alias("node")).union(named.select("b")).distinct())
+    of_key = found.where("node like 'k%'").select(F.substring("node", 2, 30).cast("bigint").alias("key"), "component")
+    sized = common.groupBy("key").agg(F.count("*").alias("n")).join(of_key, "key")
+    members = found.where("node like 'r%'").groupBy("component").agg(F.count("*").alias("m"))
+    whole = sized.groupBy("component").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("apart")).join(members, "component")
+    chosen = stored(sized.join(whole, "component").select("key", F.when(F.col("m").cast("double") * F.col("m") <= F.col("apart"), F.concat(F.lit("c"), "component")).otherwise(F.col("key").cast("string")).alias("group")), "chosen")
+    grouped = stored(common.join(chosen, "key").select("group", "rep").distinct(), "groups")
+    slices = grouped.groupBy("group").agg(F.ceil(F.count("*") / STRETCH).cast("int").alias("slices"))
+    grams = _grams(source, grouped.select(F.col("rep").alias("id")).distinct()).withColumnRenamed("id", "rep")
+    sliced = grouped.join(slices, "group").withColumn("slice", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int")).join(reps.select("rep", "sketch"), "rep").join(grams, "rep")
+    held = stored(sliced.groupBy("group", "slice").agg(F.collect_list(F.struct("rep", "sketch", "grams")).alias("m")), "slices")
 
     def across(batches):
         for batch in batches:
-            for i, j, m, n in zip(*(batch.column(c) for c in ("i", "j", "m", "n"))):
-                left, right = m.as_py(), n.as_py()
-                x, y = _sketches([r["sketch"] for r in left]), _sketches([r["sketch"] for r in right])
-                a, b = np.array([r["rep"] for r in left]), np.array([r["rep"] for r in right])
-                for s in range(0, len(a), 64):
-                    p, q = np.nonzero(agreement(x[s : s + 64, None, :], y[None]) >= agree)
-                    u, v = a[s + p], b[q]
-                    keep = u < v if i.as_py() == j.as_py() else u != v
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                i, j, m, n = (one.column(c)[0].as_py() for c in ("i", "j", "m", "n"))
+                for u, v in similar_in_blocks(m, n, agree, least):
+                    keep = u < v if i == j else u != v
                     u, v = u[keep], v[keep]
-                    yield pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+                    yield pa.record_batch([pa.array(np.minimum(u, v), pa.int64()), pa.array(np.maximum(u, v), pa.int64())], names=["a", "b"])
 
-    left, right = held.select("key", F.col("slice").alias("i"), "m"), held.select("key", F.col("slice").alias("j"), F.col("m").alias("n"))
+    left, right = held.select("group", F.col("slice").alias("i"), "m"), held.select("group", F.col("slice").alias("j"), F.col("m").alias("n"))
     spread = max(200, 4 * common.sparkSession.sparkContext.defaultParallelism)
-    blocks = left.join(right, "key").where("i <= j").repartition(spread, "key", "i", "j")
-    return direct.union(blocks.mapInArrow(across, "a bigint, b bigint")).distinct()
+    blocks = left.join(right, "group").where("i <= j").repartition(spread, "group", "i", "j")
+    return blocks.select("i", "j", "m", "n").mapInArrow(across, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, source: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs (a, b) of ids whose sets are similar enough. Only their texts are taken apart again."""
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def _grams(source: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, grams of the rows of ids(id), all different; stored. Only their texts are taken apart again."""
 
-    def run(ids, g, starts):
+    def run(own, g, starts):
         bounds = np.append(starts, len(g))
-        return pa.record_batch([pa.array(ids), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["id", "grams"])
+        return pa.record_batch([pa.array(own), pa.array([g[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["id", "grams"])
+
+    wanted = source.join(broadcast_if_small(stored(ids, "ids"), IDS_SENT), "id", "left_semi")
+    return stored(_each_set(wanted, "id bigint, grams binary", run).dropDuplicates(["id"]), "grams")
 
-    wanted = source.join(broadcast_if_small(stored(ends, "ends"), IDS_SENT), "id", "left_semi")
-    grams = stored(_each_set(wanted, "id bigint, grams binary", run).dropDuplicates(["id"]), "grams")
+
+def _verified(pairs: DataFrame, source: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (a, b) of ids whose sets are similar enough."""
+    grams = _grams(source, pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
     sided = pairs.join(grams.withColumnsRenamed({"id": "a", "grams": "x"}), "a").join(grams.withColumnsRenamed({"id": "b", "grams": "y"}), "b")
 
     def compare(batches):
@@ -390,8 +439,10 @@ def near_duplicates(df: DataFrame, key: str, text: str, least: float = LEAST_SIM
     copies = stored(members.where("id <> class").select("id"), "copies")
     texts = source.join(broadcast_if_small(copies, IDS_SENT), "id", "left_anti")
     collisions = _collisions(_packed_keys(texts, buckets, planes), buckets)
-    candidates = stored(_promising(collisions, reps, least_agreement(least, planes)), "candidates")
-    return members, stored(_verified(candidates, source, least), "similar")
+    agree = least_agreement(least, planes)
+    similar = _verified(stored(_promising(collisions, reps, agree), "candidates"), source, least)
+    of_common = _similar_of_common(collisions, source, reps, agree, least)
+    return members, stored(similar if of_common is None else similar.union(of_common).distinct(), "similar")
 
 
 def all_pairs(members: DataFrame, pairs: DataFrame) -> DataFrame:

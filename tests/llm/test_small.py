@@ -278,3 +278,21 @@ def test_stretches_cross_no_token(text, size):
 def test_long_texts_without_spaces_are_cut():
     for text in ("価格、需要。" * 3000, "ราคาที่ดี" * 3000, "a1b2" * 5000, "line\n" * 5000):
         assert max(map(len, encoding.stretches(text, 500))) < 600
+
+
+def test_similar_in_blocks(monkeypatch):
+    """Sets as bits and sets as they are give what comparing all pairs gives."""
+    r = random.Random(8)
+    base = [f"word{i}" for i in range(40)]
+    texts = [" ".join(w if r.random() > 0.05 else r.choice(base) for w in base) for _ in range(40)] + ["x " * 12, " ".join(base[::-1])]
+    _, g, starts = neardup._sets(texts)
+    low = (neardup.coordinates(g, starts) & np.uint32(3)).astype(np.uint8)
+    packed = (low[::4] << 6 | low[1::4] << 4 | low[2::4] << 2 | low[3::4]).T
+    bounds = np.append(starts, len(g))
+    members = [{"rep": k, "sketch": np.ascontiguousarray(packed[k]).tobytes(), "grams": g[bounds[k] : bounds[k + 1]].tobytes()} for k in range(len(texts))]
+    sets = [set(g[bounds[k] : bounds[k + 1]].tolist()) for k in range(len(texts))]
+    expected = {(a, b) for a in range(20) for b in range(20, len(texts)) if len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b])}
+    for held in (10**9, 1):
+        monkeypatch.setattr(neardup, "BITS_HELD", held)
+        found = {(int(x), int(y)) for u, v in neardup.similar_in_blocks(members[:20], members[20:], neardup.least_agreement(0.6), 0.6) for x, y in zip(u, v)}
+        assert found == expected and len(found) > 20
