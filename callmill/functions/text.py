@@ -19,18 +19,24 @@ LEAF_STOPWORDS = "of and the inc for vs".split()
 VISUAL_WORDS = "table figure fig. grid chart dashboard matrix caption heading panel view".split()
 
 
-def _composed(text: str | None) -> str | None:
-    return text if text is None or text.isascii() else unicodedata.normalize("NFKC", text)
+def _composers():
+    """The composition of a column of texts, and of one of lists of texts. Made inside a function, so that workers need no module of ours for them."""
 
+    def composed(text):
+        return text if text is None or text.isascii() else unicodedata.normalize("NFKC", text)
 
-@F.pandas_udf(StringType())
-def _nfkc(text: pd.Series) -> pd.Series:
-    return text.map(_composed)
+    @F.pandas_udf(StringType())
+    def one(text: pd.Series) -> pd.Series:
+        return text.map(composed)
 
+    @F.pandas_udf(ArrayType(StringType()))
+    def each(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda ts: ts if ts is None else [composed(t) for t in ts])
 
-@F.pandas_udf(ArrayType(StringType()))
-def _nfkc_all(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda ts: ts if ts is None else [_composed(t) for t in ts])
+    return one, each
+
+
+_nfkc, _nfkc_all = _composers()
 
 
 def _plain(text: Column) -> Column:
