@@ -151,11 +151,14 @@ def verdicts(df: DataFrame, text: str) -> DataFrame:
     return _with_errors(x, fields, wrong, first)
 
 
-def items(df: DataFrame, text: str, field: str) -> DataFrame:
-    """df with item_no and item, the JSON of each element of the list in `field`; null item where there is no such list."""
+def items(df: DataFrame, text: str, field: str, keep: list[str] | None = None) -> DataFrame:
+    """df with item_no and item, the JSON of each element of the list in `field`; null item where there is no such list.
+
+    keep: the columns that each item gets, else all; a long text among them is repeated for each item.
+    """
     x = parse_object(df, text)
     listed = F.try_variant_get("_v", f"$.{field}", "array<variant>")
-    return x.select(*df.columns, F.posexplode_outer(listed).alias("item_no", "_i")).withColumn("item", F.to_json("_i")).drop("_i")
+    return x.select(*(df.columns if keep is None else keep), F.posexplode_outer(listed).alias("item_no", "_i")).withColumn("item", F.to_json("_i")).drop("_i")
 
 
 def whole_responses(checked: DataFrame, response: list[str]) -> DataFrame:

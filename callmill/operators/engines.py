@@ -196,19 +196,24 @@ def unfenced(answer: str) -> str:
     return "\n".join(lines).strip()
 
 
-def responses_to_candidates(responses: DataFrame, keys: list[str], text: str) -> tuple[DataFrame, DataFrame]:
+def responses_to_candidates(responses: DataFrame, keys: list[str], text: str, part: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(candidates, failures): the observations of recorded responses in their order, and the responses that break the contract.
 
     One bad observation makes its whole response fail, with the first one's message. keys name a response: source_id, chunk_id.
+    A response may come in parts, each of them a response by contract: `part` orders them. Observations leave their
+    response's text behind, so that what is held and written grows with the texts and not with texts times observations.
     """
-    opened = contracts.list_response(responses.select(*keys, F.col(text).alias("_answer")), "_answer", "candidates", "LLM response")
-    whole = opened.where("envelope_error is null")
-    parted = contracts.items(whole.select(*keys, "_answer"), "_answer", "candidates").where("item is not null")
-    checked = stored(contracts.candidates(parted.withColumnsRenamed({k: f"_{k}" for k in keys}), "item").withColumnsRenamed({f"_{k}": f"response_{k}" for k in keys}), "checked")
+    said = responses.select(*keys, (F.col(part) if part else F.lit(0)).alias("_part"), F.col(text).alias("_answer"))
+    opened = contracts.list_response(said, "_answer", "candidates", "LLM response")
+    parted = contracts.items(opened, "_answer", "candidates", keep=[*keys, "_part", "envelope_error"])
+    told = parted.where("item is not null or envelope_error is not null").withColumnsRenamed({k: f"_{k}" for k in keys})
+    checked = stored(contracts.candidates(told, "item").drop("item").withColumnsRenamed({f"_{k}": f"response_{k}" for k in keys}), "checked")
     marks = [f"response_{k}" for k in keys]
-    bad = checked.where(F.size("errors") > 0).groupBy(*marks).agg(F.min_by("message", "item_no").alias("message"))
-    kept = join_same(checked, bad.withColumn("_bad", F.lit(True)).drop("message"), marks, "left").where("_bad is null").drop("_bad", "errors", "message", "item", "_answer")
-    lost = bad.withColumnsRenamed(dict(zip(marks, keys))).unionByName(opened.where("envelope_error is not null").select(*keys, F.col("envelope_error").alias("message")))
+    wrong = checked.where(F.col("envelope_error").isNotNull() | (F.size("errors") > 0))
+    bad = wrong.groupBy(*marks).agg(F.min_by(F.coalesce("envelope_error", "message"), F.struct("_part", "item_no")).alias("message"))
+    kept = join_same(checked, bad.withColumn("_bad", F.lit(True)).drop("message"), marks, "left").where("_bad is null").drop("_bad", "errors", "message", "envelope_error")
+    kept = kept.withColumnRenamed("_part", part) if part else kept.drop("_part")
+    lost = bad.withColumnsRenamed(dict(zip(marks, keys)))
     return kept, lost.select(*keys, F.lit("json_parse_error").alias("reason_code"), F.substring(F.concat(F.lit("invalid LLM JSON after repair attempts: "), "message"), 1, 300).alias("message"))
 
 

@@ -10,6 +10,8 @@ from callmill.functions import text as T
 from callmill.operators import assemble, contracts, engines, evaluate, evidence, ingest, instants, layout, pipeline, report, scoring, taxonomy
 
 LANGUAGES = ("explicit_dial", "explicit_stance", "directional", "implied", "none")
+#: Ids of calls that one part of a recorded reading covers.
+PART_IDS = 1000
 
 
 def _targets(spark, d):
@@ -231,12 +233,15 @@ def checker_failures(spark, d):
 
 
 def response_outcomes(spark, d):
-    """Recorded readings of chunks, parsed by contract: how many calls each gives, or why it fails as a whole."""
+    """Recorded readings of chunks, parsed by contract: how many calls each gives, or why it fails as a whole.
+
+    A reading is recorded in parts of PART_IDS ids, in their order, so that none is wider than that, however much a chunk gives.
+    """
     fields = ("source_id", "chunk_id", "sub_asset_raw", "sub_asset_class", "taxonomy_match", "call_view", "evidence_kind", "evidence_quote", "locator", "reasoning", "basis")
     rows = _failures(spark, d, *fields).where("source_id is not null and chunk_id is not null")
     one = F.struct("failure_id", *[F.col(f).alias("view" if f == "call_view" else f) for f in fields if f != "basis"], F.lit("implied").alias("call_language"), F.when(F.col("basis") != "forecast_delta", F.col("basis")).alias("basis"))
-    said = rows.groupBy("source_id", "chunk_id").agg(F.to_json(F.struct(F.array_sort(F.collect_list(one)).alias("candidates"))).alias("response"))
-    kept, lost = engines.responses_to_candidates(said, ["source_id", "chunk_id"], "response")
+    said = rows.groupBy("source_id", "chunk_id", F.floor(F.col("failure_id") / PART_IDS).alias("part")).agg(F.to_json(F.struct(F.array_sort(F.collect_list(one)).alias("candidates"))).alias("response"))
+    kept, lost = engines.responses_to_candidates(said, ["source_id", "chunk_id"], "response", "part")
     good = kept.groupBy(F.col("response_source_id").alias("source_id"), F.col("response_chunk_id").alias("chunk_id")).agg(F.count("*").alias("n")).withColumn("message", F.lit(""))
     return good.unionByName(lost.select("source_id", "chunk_id", F.lit(0).cast("bigint").alias("n"), "message"))
 

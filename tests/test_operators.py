@@ -164,6 +164,21 @@ def test_recorded_responses(spark):
     assert rows_of(engines.decided(conflicts, ["group_key", "sub_asset_class"], told, error="error")) == [("g", "l", 1, "newer"), (None, "l", None, "arbiter error: arbiter response must be a JSON object")]
 
 
+def test_recorded_responses_in_parts(spark, monkeypatch):
+    """Observations don't carry their response's text, and one bad part makes the whole response fail with the first message."""
+    written = []
+    monkeypatch.setattr(engines, "stored", lambda df, name: written.append(df.columns) or common.stored(df, name))
+    good = {"source_id": "s", "chunk_id": "p1-5", "sub_asset_class": "Gold", "taxonomy_match": "exact", "view": "O", "call_language": "implied", "evidence_kind": "prose", "evidence_quote": "q", "locator": "p.1", "reasoning": "r"}
+    said = lambda *found: json.dumps({"candidates": found})
+    rows = [("a", 1, said(good, good)), ("a", 0, said(good)), ("b", 2, said(good | {"view": "?"})), ("b", 1, said(good, good | {"locator": ""})), ("c", 0, said(good)), ("c", 1, "no"), ("d", 0, said()), (None, 0, said(good, {})), (None, 1, said(good))]
+    kept, lost = engines.responses_to_candidates(spark.createDataFrame([("s", *r) for r in rows], "source_id string, chunk_id string, part int, response string"), ["source_id", "chunk_id"], "response", "part")
+    assert sorted((r.response_chunk_id, r.part, r.item_no) for r in kept.collect()) == [("a", 0, 0), ("a", 1, 0), ("a", 1, 1)]
+    before = "invalid LLM JSON after repair attempts: "
+    found = {r.chunk_id: r.message.removeprefix(before) for r in lost.collect()}
+    assert lost.count() == 3 and (found["b"], found["c"]) == ("locator must be a non-empty string", "LLM response must be a JSON object") and found[None].startswith("candidate missing required fields")
+    assert written and not any({"_answer", "item"} & {*columns} for columns in written)
+
+
 GOOD = {"source_id": "s", "sub_asset_class": "Gold", "taxonomy_match": "exact", "view": "O", "call_language": "explicit", "evidence_kind": "prose", "evidence_quote": ["a", "b ... c"], "locator": "p.1", "reasoning": "r", "conflict": False, "chunk_id": "p1-1"}
 
 
