@@ -1,18 +1,18 @@
 """Sentence units across languages and scripts (problem 9).
 
 A document is first laid out: list items, table rows and headings that stand alone are units of their own; the other
-lines of a block are one stretch of prose. In prose, every place where a sentence might end is a candidate: after an
-end mark and what closes with it, with or without a gap, at a line's end, at a space in scripts that write none
-inside a sentence, and before a capital in a stretch without any mark. A hidden-event n-gram model decides: its boundary token may stand between any two words, its n-grams
-count words and boundaries alike, and forward-backward posteriors over the candidates of a stretch say how probable a
-boundary is given all the words around. What marks and letter case say beforehand enters as prior odds.
+lines of a block are one stretch of prose. In prose a boundary may stand between any two words, and every gap is decided.
+A hidden-event n-gram model decides: its n-grams count words and boundaries alike, and forward-backward posteriors over
+all gaps of a stretch say how probable a boundary is given all the words around. What marks, line ends, white space and
+letter case say beforehand enters as prior odds: places that one of these points to have odds of their own (candidates),
+all others low ones (plain_odds), which the words may outweigh.
 
 The model is fitted without labels by hard expectation maximisation (a boundary counts where its posterior is 0.5 or
-more) to all documents: its first counts come from the starts
-and ends of blocks, where boundaries are certain. One pass over the texts counts their words, the n-grams that no
-candidate touches, and the windows of words around candidates, and stores each text as it is laid out; a round of the
-fit is a pass over the different windows. The workers get a model of the commonest n-grams by these full counts
-(MOST_WORDS, MOST_GRAMS) and decide the windows of the stored texts, so that no text is taken apart twice. Words are cased, rare ones are classed by shape; digits are one class; scripts without spaces are taken by characters.
+more) to all documents: its first counts come from the starts and ends of blocks, where boundaries are certain, and from
+the priors. One pass over the texts counts their words and n-grams by the priors and stores each text as it is laid out;
+a round of the fit decides all gaps of the stored texts and adds what that changes in the counts. The workers get a model
+of the commonest n-grams by these full counts (MOST_WORDS, MOST_GRAMS), so that no text is taken apart twice. Words are
+cased, rare ones are classed by shape; digits are one class; scripts without spaces are taken by characters.
 
 Defined results: null, empty and blank texts have no units; units begin and end without white space and cover all other
 characters; offsets are code points. Equal texts are divided alike. Empty tables give no rows.
@@ -27,6 +27,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +38,12 @@ from callmill.llm.common import in_slices, map_texts
 ROUNDS, ORDER, RARE = 2, 4, 5
 #: What the model that is sent to the workers may hold: the words and n-grams with the highest counts over all documents.
 MOST_WORDS, MOST_GRAMS = 100_000, 600_000
-#: Answers of the model that a worker keeps, of windows and of n-grams; different keys that a worker counts at once.
+#: Answers of the model that a worker keeps, of contexts and of n-grams; different keys that a worker counts at once.
 KEPT, COUNTED = 400_000, 300_000
+#: Words that are decided at once; stretches and places of them that are taken side by side.
+WORDS_AT_ONCE, SIDE_BY_SIDE, CELLS = 200_000, 512, 200_000
 #: Kinds of what is counted, and of texts that are laid out.
-WORD, GRAM, WINDOW, DOC = 0, 1, 2, 3
+WORD, GRAM, DOUBT, DOC = 0, 1, 2, 3
 #: White space as units see it.
 _SPACE = r"[\s​﻿\x1c-\x1f\x85]"
 _LETTERS = r"[^\W\d_฀-໿぀-ヿ㐀-䶿一-鿿가-힯豈-﫿]|[̀-ͯ҃-ً҇-ٟऀ-ॣ॰-෿\xad]"
@@ -58,11 +61,15 @@ _SPACELESS = re.compile(r"[฀-໿]")
 _BREAKS = re.compile(r"[\r\n฀-໿]")
 #: Prior log-odds of a boundary before a capital in a stretch without end marks.
 UNMARKED = -2.0
+#: Prior log-odds of a boundary between two words of which nothing says so: before a capital after a small word, elsewhere, and before a mark.
+PLAIN_CAPITAL, PLAIN, CLOSED = -5.0, -9.0, -12.0
 _ITEM = re.compile(r"[ \t]*(?:[-•*–▪◦‣·]|\(?\d{1,3}[.)]|\(?[a-z]\))[ \t]+\S")
 _NUMBERED = re.compile(r"[ \t]*\(?\d{1,3}[.)][ \t]")
 _ROW = re.compile(r"\t| \| ")
 _FINAL = re.compile(r"[" + re.escape(MARKS) + r"][" + re.escape(CLOSERS + "“") + r"]*$")
 START, END = "<s>", "</s>"
+#: Classes of rare words by their shape.
+SHAPES = ("<cap>", "<low>", "<other>")
 #: Longest line without an end mark that is a heading where it stands alone.
 HEADING = 120
 
@@ -241,20 +248,38 @@ class Model:
         self.total: dict = defaultdict(float)
         self.kinds: dict = defaultdict(float)
         self.words = 1.0
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the answers that are kept."""
         self.known: dict = {}
-        self.decided: dict = {}
+        self.folded: dict = {}
+        self.contexts: dict = {}
+        self.table = np.zeros((1024, 7))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}, "decided": {}}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "folded", "contexts", "table")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self.forget()
 
     def fold(self, word: str) -> str:
         if word in self.vocabulary or not word[0].isalpha():
             return word
         return "<cap>" if word[0].isupper() else "<low>" if word[0].islower() else "<other>"
 
+    def fold_all(self, marks: list[str]) -> list[str]:
+        """The words folded; the latest answers are kept."""
+        if len(self.folded) > KEPT:
+            self.folded.clear()
+        for w in set(marks).difference(self.folded):
+            self.folded[w] = self.fold(w)
+        return [self.folded[w] for w in marks]
+
     def freeze(self) -> Model:
         """As plain dictionaries, without what was seen at most once and a half beyond single words."""
-        self.known, self.decided = {}, {}
+        self.forget()
         f = {k: v for k, v in self.follow.items() if v > 1.5 or not k[0]}
         self.follow, self.total, self.kinds = f, dict(self.total), dict(self.kinds)
         self.words = max(2.0, self.kinds.get((), 1.0))
@@ -285,21 +310,99 @@ class Model:
         return math.log(p)
 
 
-def windows(marks: list[str], gaps: list[tuple[int, float]]) -> Iterator[tuple[tuple, tuple]]:
-    """(words, candidates) of each run of candidates that bear on one another, with the words on both sides that bear on them.
+def plain_odds(before: str, word: str) -> float:
+    """Prior log-odds of a boundary between two words where nothing points to one."""
+    if before[0] in OPENERS or not (word[0].isalnum() or word[0] in OPENERS or word in SHAPES):
+        return CLOSED
+    return PLAIN_CAPITAL if (word == "<cap>" or word[0].isupper()) and (before == "<low>" or before[0].islower()) else PLAIN
 
-    Two candidates of which no n-gram holds words of both sides are independent, so the posteriors of a window are those
-    of its stretch. A window at the beginning of its stretch has fewer than ORDER - 1 words before its first candidate,
-    one at the end fewer than that after its last.
+
+def context(model: Model, a: str, b: str, c: str, word: str) -> list[float]:
+    """What a word after the words a, b, c (empty ones aren't there) weighs with a boundary before it and without one.
+
+    Three numbers each, by how many words the sentence has so far (1, 2, or more), and the prior of a boundary where no
+    other is told; all relative to the longest history's weight without a boundary. The end of a stretch has none.
     """
-    reach, k = ORDER - 1, 0
-    while k < len(gaps):
-        e = k
-        while e + 1 < len(gaps) and gaps[e + 1][0] - gaps[e][0] < reach:
-            e += 1
-        low = max(0, gaps[k][0] - reach)
-        yield tuple(marks[low : gaps[e][0] + reach]), tuple((j - low, o) for j, o in gaps[k : e + 1])
-        k = e + 1
+    histories = [(START, c), *([(START, b, c)] if b else []), *([(a, b, c)] if a else [])]
+    begun = [-math.inf if word == END else model.log(h, END) + model.log((START,), word) for h in histories]
+    kept = [model.log(h, END) if word == END else model.log(h, word) + math.log1p(-min(0.999999, math.exp(model.log(h, END)))) for h in histories]
+    none = [0.0] * (3 - len(histories))
+    return [*(math.exp(x - kept[-1]) for x in begun), *none, *(math.exp(x - kept[-1]) for x in kept), *none, 0.0 if word == END else math.exp(plain_odds(c, word))]
+
+
+def contexts(model: Model, stretches: list[list[str]]) -> list[np.ndarray]:
+    """The place in model.table of each gap's context, one after each word of each stretch; the latest contexts are kept."""
+    known, out = model.contexts, []
+    if len(known) > KEPT:
+        known.clear()
+    for words in stretches:
+        row = ["", "", *words, END]
+        keys = [*zip(row, row[1:], row[2:], row[3:])]
+        found = [*map(known.get, keys)]
+        if None in found:
+            for key in {k for k, f in zip(keys, found) if f is None}:
+                known[key] = n = len(known) + 1  # the first row is for places beyond a stretch
+                if n >= len(model.table):
+                    model.table = np.concatenate([model.table, np.zeros_like(model.table)])
+                model.table[n] = context(model, *key)
+            found = [known[k] for k in keys]
+        out.append(np.array(found, np.int32))
+    model.table[0] = [0, 0, 0, 1, 1, 1, 0]
+    return out
+
+
+def chances(stretches: list[tuple[list[str], list[tuple[int, float]]]], model: Model) -> list[np.ndarray]:
+    """Forward-backward over every gap between the words (in the model's words) of each stretch: the probability of a boundary.
+
+    The first number is of the gap after the first word. gaps tell the prior log-odds of some places; all others have
+    plain_odds. The state at a gap is how many words the sentence has so far, as far as the model's order reaches.
+    """
+    rows, out = contexts(model, [words for words, _ in stretches]), [np.zeros(0)] * len(stretches)
+    order = sorted((k for k in range(len(stretches)) if len(rows[k]) > 1), key=lambda k: -len(rows[k]))
+    for first in range(0, len(order), SIDE_BY_SIDE):
+        some = order[first : first + SIDE_BY_SIDE]
+        wide = len(rows[some[0]])
+        for k in range(0, len(some), max(1, CELLS // wide)):
+            few = some[k : k + max(1, CELLS // wide)]
+            at = np.zeros((len(rows[few[0]]), len(few)), np.int32)
+            for i, which in enumerate(few):
+                at[: len(rows[which]), i] = rows[which]
+            weights = model.table[at]
+            odds = weights[:, :, 6]
+            for i, which in enumerate(few):
+                for j, o in stretches[which][1]:
+                    odds[j - 1, i] = math.exp(o)
+            begun, kept = weights[:, :, :3] * odds[:, :, None], weights[:, :, 3:6]
+            for i, p in enumerate(_forward_backward(begun, kept).T):
+                out[few[i]] = p[: len(rows[few[i]]) - 1]
+    return out
+
+
+def _forward_backward(begun: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """(gap, stretch) -> probability of a boundary, from weights (gap, stretch, words so far)."""
+    steps, n, _ = begun.shape
+    forward, f = np.zeros((steps, n, 3)), np.zeros((n, 3))
+    f[:, 0] = 1
+    for t in range(steps):
+        to, g = forward[t], f * kept[t]
+        to[:, 0] = (f * begun[t]).sum(1)
+        to[:, 1] = g[:, 0]
+        to[:, 2] = g[:, 1] + g[:, 2]
+        to /= to.sum(1)[:, None]
+        f = to
+    out, back = np.zeros((steps, n)), np.ones((n, 3))
+    for t in range(steps - 1, -1, -1):
+        x = forward[t] * back
+        out[t] = x[:, 0] / x.sum(1)
+        back = begun[t] * back[:, :1] + kept[t] * back[:, [1, 2, 2]]
+        back /= back.max(1)[:, None]
+    return out
+
+
+def posteriors(marks: list[str], gaps: list[tuple[int, float]], model: Model) -> list[float]:
+    """The probability of a boundary at the given places of a stretch, of which every gap may hold one."""
+    found = chances([(marks, gaps)], model)[0]
+    return [float(found[j - 1]) for j, _ in gaps]
 
 
 def untouched(marks: list[str], gaps: list[tuple[int, float]]) -> Iterator[tuple]:
@@ -317,38 +420,41 @@ def untouched(marks: list[str], gaps: list[tuple[int, float]]) -> Iterator[tuple
         last = max(last, high)
 
 
-def _spread(marks: tuple, gaps: tuple, chosen: list[float]) -> Iterator[tuple]:
-    """The n-grams that a window's candidates touch, with the boundaries that are likelier than not."""
-    reach = ORDER - 1
-    ends = {j for (j, _), p in zip(gaps, chosen) if p >= 0.5}
-    history: tuple = (START, *marks[: gaps[0][0]])[-reach:]
-    for i in range(gaps[0][0], len(marks)):
-        if i in ends:
-            yield *history, END
-            history = (START,)
-        yield *history, marks[i]
-        history = (*history, marks[i])[-reach:]
-    if len(marks) - gaps[-1][0] < reach:
-        yield *history, END
-
-
-def touched(marks: tuple, gaps: tuple, model: Model | None) -> Iterator[tuple[tuple, float]]:
-    """The n-grams that a window's candidates touch and their weights, by the model, or by the priors where there is none yet."""
-    if model:
-        yield from ((g, 1.0) for g in _spread(marks, gaps, posteriors(marks, gaps, model)))
-        return
-    # at first boundaries stand where the prior is for them; where it is in doubt, the words are counted both ways
-    yield from ((g, 1.0) for g in _spread(marks, gaps, [float(o > 0.25) for _, o in gaps]))
+def grams_of(marks: list[str], ends: Iterable[int]) -> Iterator[tuple]:
+    """The n-grams of a stretch that is divided after so many words, each with its longest history."""
+    low = 0
+    for high in (*ends, len(marks)):
+        yield from untouched(marks[low:high], [])
+        low = high
+
+
+def likely(gaps: list[tuple[int, float]]) -> list[int]:
+    """Where the priors alone put boundaries."""
+    return [j for j, o in gaps if o > 0.25]
+
+
+def doubted(marks: list[str], gaps: list[tuple[int, float]]) -> Iterator[tuple]:
+    """The n-grams of the other reading around places where the prior is in doubt; they count half as long as there is no model."""
     for j, o in gaps:
         if abs(o) < 1.25:
             for k in range(j, min(len(marks), j + ORDER - 1)):
-                yield (*(marks[max(0, k - ORDER + 1) : k] if o > 0.25 else (START, *marks[j:k])), marks[k]), 0.5
+                yield *(marks[max(0, k - ORDER + 1) : k] if o > 0.25 else (START, *marks[j:k])), marks[k]
+
 
+def changes(stretches: Iterable[tuple[list[str], list[tuple[int, float]], list[int]]]) -> Counter:
+    """By how much the decided boundaries change the counts of n-grams against those of the priors alone."""
+    out: Counter = Counter()
+    for words, gaps, ends in stretches:
+        if ends != (first := likely(gaps)):
+            out.update(grams_of(words, ends))
+            out.subtract(Counter(grams_of(words, first)))
+    return out
 
-def laid(text: str, words: Counter, grams: Counter, seen: Counter) -> list[tuple]:
-    """A text's units and stretches in order, and its words, untouched n-grams and windows added to the counts.
 
-    A unit is (start, end), a stretch (start, end, ends and starts around its candidates, its windows' keys).
+def laid(text: str, words: Counter, grams: Counter, doubts: Counter) -> list[tuple]:
+    """A text's units and stretches in order, and its words and n-grams by the priors added to the counts.
+
+    A unit is (start, end), a stretch (start, end, words, steps from each word's start to its end and on, candidates).
     """
     out: list[tuple] = []
     for a, b, whole in layout(text):
@@ -358,33 +464,23 @@ def laid(text: str, words: Counter, grams: Counter, seen: Counter) -> list[tuple
         toks = tokens(text[a:b])
         gaps = candidates(text[a:b], toks)
         marks = [t for t, _, _ in toks]
-        keys = [packed(*w) for w in windows(marks, gaps)]
-        if marks:
-            words.update(marks)
-            grams.update(untouched(marks, gaps))
-            seen.update(keys)
-        out.append((a, b, [x for j, _ in gaps for x in (a + toks[j - 1][2], a + toks[j][1])], keys))
+        words.update(marks)
+        grams.update(grams_of(marks, likely(gaps)))
+        doubts.update(doubted(marks, gaps))
+        out.append((a, b, " ".join(marks), np.diff(np.array([x for t in toks for x in t[1:]], np.int32), prepend=np.int32(0)).tobytes(), gaps))
     return out
 
 
-def tally(text: str, out: Counter) -> None:
-    """Adds what a text has of each kind; keys are words with spaces between, as no word holds one, and a window's candidates after a tab."""
-    words, grams, seen = Counter(), Counter(), Counter()
-    laid(text, words, grams, seen)
-    out.update(counts(words, grams, seen))
-
+def tally(text: str, out: Counter) -> list[tuple]:
+    """Adds what a text has of each kind; keys are words with spaces between, as no word holds one. Gives the text laid out."""
+    words, grams, doubts = Counter(), Counter(), Counter()
+    doc = laid(text, words, grams, doubts)
+    out.update(counts(words, grams, doubts))
+    return doc
 
-def counts(words: Counter, grams: Counter, seen: Counter) -> dict[tuple[int, str], int]:
-    return {(WORD, w): n for w, n in words.items()} | {(GRAM, " ".join(g)): n for g, n in grams.items()} | {(WINDOW, w): n for w, n in seen.items()}
 
-
-def packed(marks: Iterable[str], gaps: Iterable[tuple[int, float]]) -> str:
-    return " ".join(marks) + "\t" + " ".join(f"{j}:{o!r}" for j, o in gaps)
-
-
-def unpacked(key: str) -> tuple[tuple, tuple]:
-    marks, gaps = key.split("\t")
-    return tuple(marks.split(" ")), tuple((int(j), float(o)) for j, o in (x.split(":") for x in gaps.split(" ")))
+def counts(words: Counter, grams: Counter, doubts: Counter) -> dict[tuple[int, str], int]:
+    return {(WORD, w): n for w, n in words.items()} | {(GRAM, " ".join(g)): n for g, n in grams.items()} | {(DOUBT, " ".join(g)): n for g, n in doubts.items()}
 
 
 def suffixes(gram: tuple) -> Iterator[str]:
@@ -393,62 +489,33 @@ def suffixes(gram: tuple) -> Iterator[str]:
 
 
 def fold_counts(kind: int, key: str, model: Model) -> Iterator[tuple[int, str]]:
-    """A counted n-gram or window in the model's words; n-grams with all shorter ones."""
-    if kind == GRAM:
-        yield from ((GRAM, g) for g in suffixes(tuple(w if w in (START, END) else model.fold(w) for w in key.split(" "))))
-    else:
-        marks, gaps = unpacked(key)
-        yield WINDOW, packed(map(model.fold, marks), gaps)
+    """A counted n-gram in the model's words, with all shorter ones."""
+    return ((kind, g) for g in suffixes(tuple(w if w in (START, END) else model.fold(w) for w in key.split(" "))))
 
 
-def posteriors(marks: list[str], gaps: list[tuple[int, float]], model: Model) -> list[float]:
-    """Forward-backward over the candidates: the probability of a boundary at each.
+def decided(docs: Iterable[list[tuple]], model: Model) -> Iterator[tuple[list[tuple], list[tuple]]]:
+    """Each text that is laid out and, of each of its stretches, the words in the model's words, the candidates and where it is divided."""
 
-    A candidate's two states give the words after it their history, as far as the next candidate or the model's order
-    reaches; a boundary just before shortens the history of the next decision.
-    """
-    if not gaps:
-        return []
-    reach = ORDER - 1
-    at = [j for j, _ in gaps]
-
-    def past(j: int, since: int) -> tuple:
-        # history before token j where the sentence began at token `since`, or long before
-        return tuple(marks[max(0, j - reach) : j]) if since < 0 or j - since >= reach else (START, *marks[since:j])
-
-    def factor(g: int, before: int, event: int) -> float:
-        j, prior = gaps[g]
-        since = (at[g - 1] if g else 0) if before else -1
-        if g == 0:
-            since = 0
-        stop = min(len(marks), j + reach, at[g + 1] if g + 1 < len(at) else len(marks))
-        if event:
-            score = prior + model.log(past(j, since), END)
-            return score + sum(model.log(past(k, j), marks[k]) for k in range(j, stop))
-        return math.log1p(-min(0.999999, math.exp(model.log(past(j, since), END)))) + sum(model.log(past(k, since), marks[k]) for k in range(j, stop))
-
-    table = [[[factor(g, b, e) for e in (0, 1)] for b in ((0, 1) if g and at[g] - at[g - 1] < reach else (0,))] for g in range(len(gaps))]
-    step = lambda g, b, e: table[g][b if len(table[g]) > 1 else 0][e]
-    both = lambda x, y: max(x, y) + math.log1p(math.exp(-abs(x - y)))
-    forward = [[step(0, 0, 0), step(0, 0, 1)]]
-    for g in range(1, len(gaps)):
-        forward.append([both(forward[-1][0] + step(g, 0, e), forward[-1][1] + step(g, 1, e)) for e in (0, 1)])
-    back = [[0.0, 0.0]]
-    for g in range(len(gaps) - 1, 0, -1):
-        back.append([both(step(g, b, 0) + back[-1][0], step(g, b, 1) + back[-1][1]) for b in (0, 1)])
-    back.reverse()
-    out = []
-    for f, b in zip(forward, back):
-        x = f[1] + b[1] - f[0] - b[0]
-        out.append(1 / (1 + math.exp(-x)) if x > -700 else 0.0)
-    return out
+    def run() -> Iterator[tuple[list[tuple], list[tuple]]]:
+        found = iter([[j + 1 for j in np.flatnonzero(p >= 0.5).tolist()] for p in chances([x for _, own in held for x in own], model)])
+        for doc, own in held:
+            yield doc, [(words, gaps, next(found)) for words, gaps in own]
+
+    held, n = [], 0
+    for doc in docs:
+        own = [(model.fold_all(x[2].split(" ") if x[2] else []), x[4]) for x in doc if len(x) > 2]
+        held.append((doc, own))
+        n += sum(len(words) for words, _ in own)
+        if n > WORDS_AT_ONCE:
+            yield from run()
+            held, n = [], 0
+    yield from run()
 
 
 def fit(texts: list[str]) -> Model:
     """The model of texts at hand; fit_all is the same over a table."""
     seen: Counter = Counter()
-    for t in texts:
-        tally(t, seen)
+    docs = [tally(t, seen) for t in texts]
     model, fixed = Model(frozenset(w for (kind, w), n in seen.items() if kind == WORD and n >= RARE)), Counter()
     for (kind, key), n in seen.items():
         if kind != WORD:
@@ -458,16 +525,19 @@ def fit(texts: list[str]) -> Model:
     for _ in range(ROUNDS + 1):
         new = Model(model.vocabulary)
         sums: Counter = Counter({key: n for (kind, key), n in fixed.items() if kind == GRAM})
-        for (kind, key), n in fixed.items():
-            if kind == WINDOW:
-                for gram, weight in touched(*unpacked(key), last):
-                    for g in suffixes(gram):
-                        sums[g] += n * weight
+        if last:
+            for gram, n in changes(x for _, own in decided(docs, last) for x in own).items():
+                for g in suffixes(gram):
+                    sums[g] += n
+        else:
+            for (kind, key), n in fixed.items():
+                sums[key] += n / 2 if kind == DOUBT else 0
         for g, n in sums.items():
-            *h, word = g.split(" ")
-            new.follow[tuple(h), word] = n
-            new.total[tuple(h)] += n
-            new.kinds[tuple(h)] += 1
+            if n > 0:
+                *h, word = g.split(" ")
+                new.follow[tuple(h), word] = n
+                new.total[tuple(h)] += n
+                new.kinds[tuple(h)] += 1
         last = new.freeze()
     return last
 
@@ -531,7 +601,7 @@ def _model(grams: DataFrame, vocabulary: frozenset) -> Model:
 
 
 def lay_out(rows: DataFrame) -> DataFrame:
-    """kind, key, n, id, doc of rows(id, _text), stored: the counts of words, n-grams and windows, and each text laid out."""
+    """kind, key, n, id, doc of rows(id, _text), stored: the counts of words and n-grams, and each text laid out."""
     schema = pa.schema([("kind", pa.int32()), ("key", pa.string()), ("n", pa.int64()), ("id", pa.int64()), ("doc", pa.binary())])
 
     def said(found: dict) -> pa.RecordBatch:
@@ -540,18 +610,18 @@ def lay_out(rows: DataFrame) -> DataFrame:
         return pa.record_batch([pa.array(kinds, pa.int32()), pa.array(keys, pa.string()), pa.array(found.values(), pa.int64()), none, pa.nulls(len(found), pa.binary())], schema=schema)
 
     def run(batches):
-        words, grams, seen = Counter(), Counter(), Counter()
+        words, grams, doubts = Counter(), Counter(), Counter()
         for batch in in_slices(batches, "_text"):
             docs = []
             for text in batch.column("_text").to_pylist():
-                plain = pickle.dumps(laid(text, words, grams, seen), 5)
+                plain = pickle.dumps(laid(text, words, grams, doubts), 5)
                 docs.append(len(plain).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True))
-                if len(words) + len(grams) + len(seen) > COUNTED:
-                    yield said(counts(words, grams, seen))
-                    words, grams, seen = Counter(), Counter(), Counter()
+                if len(words) + len(grams) + len(doubts) > COUNTED:
+                    yield said(counts(words, grams, doubts))
+                    words, grams, doubts = Counter(), Counter(), Counter()
             n = len(docs)
             yield pa.record_batch([pa.array([DOC] * n, pa.int32()), pa.nulls(n, pa.string()), pa.array([len(d) for d in docs], pa.int64()), batch.column("id").cast(pa.int64()), pa.array(docs, pa.binary())], schema=schema)
-        yield said(counts(words, grams, seen))
+        yield said(counts(words, grams, doubts))
 
     return stored(rows.select("id", "_text").mapInArrow(run, "kind int, key string, n bigint, id bigint, doc binary"), "layout")
 
@@ -570,55 +640,49 @@ def fit_all(laid_out: DataFrame) -> Model:
                 yield k, n
 
     folded = stored(_summed(seen.where(F.col("kind") != WORD), folding, "kind int, key string", "bigint", "key"), "folded")
-    fixed, open_ones = folded.where(F.col("kind") == GRAM).select("key", F.col("n").cast("double").alias("n")), folded.where(F.col("kind") == WINDOW).select("key", "n")
-    last = None
-    for _ in range(ROUNDS + 1):
-        sent = context.broadcast(last)
-
-        def counting(batch: pa.RecordBatch, sent=sent):
-            grams: dict = defaultdict(float)
-            for key, n in zip(batch.column("key").to_pylist(), batch.column("n").to_pylist()):
-                for gram, weight in touched(*unpacked(key), sent.value):
-                    grams[gram] += n * weight
-            for gram, n in grams.items():
-                for g in suffixes(gram):
-                    yield (g,), n
-
-        added = _summed(open_ones, counting, "key string", "double", "key")
-        last = _model(stored(fixed.union(added).groupBy("key").agg(F.sum("n").alias("n")), "grams"), bare.vocabulary)
+    fixed = folded.where(F.col("kind") == GRAM).select("key", F.col("n").cast("double").alias("n"))
+    added = folded.where(F.col("kind") == DOUBT).select("key", (F.col("n") / 2).alias("n"))
+    docs, last = laid_out.where(F.col("kind") == DOC).select("doc"), None
+    for n in range(ROUNDS + 1):
+        if n:
+            sent = context.broadcast(last)
+
+            def counting(batch: pa.RecordBatch, sent=sent):
+                for _, own in decided(read_docs(batch), sent.value):
+                    for gram, n in changes(own).items():
+                        if n:
+                            for g in suffixes(gram):
+                                yield (g,), n
+
+            added = _summed(docs, counting, "key string", "double", "doc")
+        sums = fixed.union(added).groupBy("key").agg(F.sum("n").alias("n"))
+        last = _model(stored(sums.where("n > 0"), "grams"), bare.vocabulary)
     return last
 
 
-def decided(key: str, model: Model) -> list[float]:
-    """The posteriors of a window in words as they are written; the latest answers are kept."""
-    found = model.decided.get(key)
-    if found is None:
-        if len(model.decided) > KEPT:
-            model.decided.clear()
-        marks, gaps = unpacked(key)
-        found = model.decided[key] = posteriors([model.fold(w) for w in marks], gaps, model)
-    return found
+def read_docs(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+    """The texts of a batch as they were laid out."""
+    return (pickle.loads(pa.decompress(d[8:], int.from_bytes(d[:8], "little"), codec="zstd", asbytes=True)) for d in (x.as_py() for x in batch.column("doc")))
 
 
-def units_of(doc: list[tuple], model: Model) -> list[tuple[int, int]]:
-    """(start, end) of the sentence units of a text that is laid out."""
+def units_of(doc: list[tuple], own: list[tuple]) -> list[tuple[int, int]]:
+    """(start, end) of the sentence units of a text that is laid out and decided."""
     out: list[tuple[int, int]] = []
-    for a, b, *open_ones in doc:
+    stretches = iter(own)
+    for a, b, *said in doc:
         start = a
-        if open_ones:
-            cuts, keys = open_ones
-            chosen = [p for key in keys for p in decided(key, model)]
-            for k, p in enumerate(chosen):
-                if p >= 0.5:
-                    out.append((start, cuts[2 * k]))
-                    start = cuts[2 * k + 1]
+        if said and (ends := next(stretches)[2]):
+            at = np.cumsum(np.frombuffer(said[1], np.int32)) + a
+            for end, following in zip(at[[2 * j - 1 for j in ends]].tolist(), at[[2 * j for j in ends]].tolist()):
+                out.append((start, end))
+                start = following
         out.append((start, b))
     return out
 
 
 def units(text: str | None, model: Model) -> list[tuple[int, int]]:
     """(start, end) of the sentence units."""
-    return units_of(laid(text or "", Counter(), Counter(), Counter()), model)
+    return [u for x in decided([laid(text or "", Counter(), Counter(), Counter())], model) for u in units_of(*x)]
 
 
 def sentence_units(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -629,8 +693,7 @@ def sentence_units(df: DataFrame, key: str, text: str) -> DataFrame:
     schema = pa.schema([(key, pa.int64()), ("char_start", pa.int32()), ("char_end", pa.int32())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        docs = (pickle.loads(pa.decompress(d.as_py()[8:], int.from_bytes(d.as_py()[:8], "little"), codec="zstd", asbytes=True)) for d in batch.column("doc"))
-        found = [(i, *u) for i, doc in zip(batch.column("id").to_pylist(), docs) for u in units_of(doc, model.value)]
+        found = [(i, *u) for i, x in zip(batch.column("id").to_pylist(), decided(read_docs(batch), model.value)) for u in units_of(*x)]
         return pa.record_batch([pa.array([f[k] for f in found], x.type) for k, x in enumerate(schema)], schema=schema)
 
     docs = laid_out.where(F.col("kind") == DOC).select("id", "doc")

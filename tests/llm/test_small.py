@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -204,6 +205,40 @@ def test_forward_backward_is_exact():
     assert sentences.posteriors(marks, [], model) == []
 
 
+def test_every_gap_is_decided():
+    """The probabilities of all gaps of a stretch, named or not, are those over all of its divisions; side by side with others."""
+    model = sentences.fit(["A b. C d. E f g. A b c. D e."] * 5)
+    told = [(["A", "b", ".", "C", "d", ".", "E", "f"], [(3, 0.5), (6, -0.5)]), (["E"], []), ([], []), (["A", "b", "C", "d", "E"], []), (["D", "e"], [(1, 1.0)])]
+    found = sentences.chances(told, model)
+    for (marks, gaps), p in zip(told, found):
+        n, odds = len(marks), dict(gaps)
+        assert len(p) == max(0, n - 1)
+        weights = {}
+        for k in range(2 ** max(0, n - 1)):
+            ends = [j for j in range(1, n) if k >> (j - 1) & 1]
+            score = sum(odds.get(j, sentences.plain_odds(marks[j - 1], marks[j])) for j in ends)
+            row = [sentences.START]
+            for j, word in enumerate([*marks, sentences.END]):
+                end = model.log(tuple(row[-3:]), sentences.END)
+                if j in ends:
+                    score, row = score + end, [sentences.START]
+                elif 0 < j < n:
+                    score += math.log1p(-min(0.999999, math.exp(end)))
+                score += model.log(tuple(row[-3:]), word)
+                row.append(word)
+            weights[k] = math.exp(score)
+        assert all(abs(x - sum(w for k, w in weights.items() if k >> i & 1) / sum(weights.values())) < 1e-9 for i, x in enumerate(p))
+
+
+def test_sentence_ends_that_nothing_marks():
+    """A boundary is found by the words alone where other ends of the stretch have marks, before a capital and before a small word."""
+    corpus = [f"Yields fell. The rand {x}.\nSenior analysts agree" for x in ("rose", "fell")] * 40 + ["gold may slip. Yields fell. Not yet!"] * 40
+    model = sentences.fit(corpus)
+    cut = lambda t: [t[a:b] for a, b in sentences.units(t, model)]
+    assert cut("Not yet! Senior analysts agree Yields fell. The rand rose.") == ["Not yet!", "Senior analysts agree", "Yields fell.", "The rand rose."]
+    assert cut("The rand fell. Senior analysts agree gold may slip.") == ["The rand fell.", "Senior analysts agree", "gold may slip."]
+
+
 def test_planes_miss_next_to_nothing():
     """Coordinates agree with the similarity's probability: at the least one all planes together must miss at most one pair in 100,000."""
     agree = np.random.default_rng(5).random((200_000, 16)) < neardup.LEAST_SIMILARITY
