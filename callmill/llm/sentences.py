@@ -255,10 +255,12 @@ class Model:
         self.known: dict = {}
         self.folded: dict = {}
         self.contexts: dict = {}
+        self.pasts: dict = {}
+        self.singles: dict = {}
         self.table = np.zeros((1024, 7))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("known", "folded", "contexts", "table")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "folded", "contexts", "pasts", "singles", "table")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ |= state
@@ -317,37 +319,79 @@ def plain_odds(before: str, word: str) -> float:
     return PLAIN_CAPITAL if (word == "<cap>" or word[0].isupper()) and (before == "<low>" or before[0].islower()) else PLAIN
 
 
-def context(model: Model, a: str, b: str, c: str, word: str) -> list[float]:
+def _lent(follow: dict, past: tuple | None, word: str, p: float) -> float:
+    """The word's probability after a history, of the one after the next shorter history."""
+    return p if past is None else (follow.get((past[0], word), 0.0) + past[1] * p) / past[2]
+
+
+def _after(model: Model, pasts: tuple, word: str, alone: float) -> tuple[float, float, float]:
+    """The word's probability as a sentence's second word, third word and later one: as by model.log, shorter histories taken once."""
+    one, two, three, first, second = pasts
+    follow = model.follow
+    p1 = _lent(follow, one, word, alone)
+    p2 = _lent(follow, two, word, p1)
+    return _lent(follow, first, word, p1), _lent(follow, second, word, p2), _lent(follow, three, word, p2)
+
+
+def _past(model: Model, a: str, b: str, c: str) -> tuple:
+    """(history, kinds, total + kinds) of each history that ends with the words a, b, c, the probability of an end after each, and how many there are."""
+    total, kinds = model.total, model.kinds
+    pasts = tuple((h, d := kinds[h], total[h] + d) if h in total else None for h in ((c,), (b, c), (a, b, c), (START, c), (START, b, c)))
+    return pasts, _after(model, pasts, END, math.exp(model.log((), END))), 3 if a else 2 if b else 1
+
+
+def context(model: Model, a: str, b: str, c: str, word: str) -> tuple[float, ...]:
     """What a word after the words a, b, c (empty ones aren't there) weighs with a boundary before it and without one.
 
     Three numbers each, by how many words the sentence has so far (1, 2, or more), and the prior of a boundary where no
     other is told; all relative to the longest history's weight without a boundary. The end of a stretch has none.
     """
-    histories = [(START, c), *([(START, b, c)] if b else []), *([(a, b, c)] if a else [])]
-    begun = [-math.inf if word == END else model.log(h, END) + model.log((START,), word) for h in histories]
-    kept = [model.log(h, END) if word == END else model.log(h, word) + math.log1p(-min(0.999999, math.exp(model.log(h, END)))) for h in histories]
-    none = [0.0] * (3 - len(histories))
-    return [*(math.exp(x - kept[-1]) for x in begun), *none, *(math.exp(x - kept[-1]) for x in kept), *none, 0.0 if word == END else math.exp(plain_odds(c, word))]
+    past = model.pasts.get((a, b, c))
+    if past is None:
+        past = model.pasts[a, b, c] = _past(model, a, b, c)
+    pasts, (e1, e2, e3), most = past
+    if word == END:
+        k1, k2, k3, start, odds = e1, e2, e3, 0.0, 0.0
+    else:
+        one = model.singles.get(word)
+        if one is None:
+            one = model.singles[word] = math.exp(model.log((), word)), math.exp(model.log((START,), word))
+        alone, start = one
+        k1, k2, k3 = _after(model, pasts, word, alone)
+        k1, k2, k3 = k1 * (1 - min(0.999999, e1)), k2 * (1 - min(0.999999, e2)), k3 * (1 - min(0.999999, e3))
+        odds = math.exp(plain_odds(c, word))
+    if most == 3:
+        return e1 * start / k3, e2 * start / k3, e3 * start / k3, k1 / k3, k2 / k3, 1.0, odds
+    if most == 2:
+        return e1 * start / k2, e2 * start / k2, 0.0, k1 / k2, 1.0, 0.0, odds
+    return e1 * start / k1, 0.0, 0.0, 1.0, 0.0, 0.0, odds
 
 
 def contexts(model: Model, stretches: list[list[str]]) -> list[np.ndarray]:
     """The place in model.table of each gap's context, one after each word of each stretch; the latest contexts are kept."""
-    known, out = model.contexts, []
+    known, out, new = model.contexts, [], []
     if len(known) > KEPT:
         known.clear()
+        model.pasts.clear()
+        model.singles.clear()
     for words in stretches:
         row = ["", "", *words, END]
         keys = [*zip(row, row[1:], row[2:], row[3:])]
         found = [*map(known.get, keys)]
         if None in found:
-            for key in {k for k, f in zip(keys, found) if f is None}:
-                known[key] = n = len(known) + 1  # the first row is for places beyond a stretch
-                if n >= len(model.table):
-                    model.table = np.concatenate([model.table, np.zeros_like(model.table)])
-                model.table[n] = context(model, *key)
-            found = [known[k] for k in keys]
+            for k, key in enumerate(keys):
+                if found[k] is None:
+                    if (n := known.get(key)) is None:
+                        known[key] = n = len(known) + 1  # the first row is for places beyond a stretch
+                        new.append(context(model, *key))
+                    found[k] = n
         out.append(np.array(found, np.int32))
+    n = len(known) + 1
+    if n > len(model.table):
+        model.table = np.concatenate([model.table, np.zeros((n, 7))])
     model.table[0] = [0, 0, 0, 1, 1, 1, 0]
+    if new:
+        model.table[n - len(new) : n] = new
     return out
 
 
