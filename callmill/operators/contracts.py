@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from callmill.functions.text import fenced_json, strip
 
@@ -84,15 +85,41 @@ def _in(x: Column, allowed: tuple) -> Column:
     return F.coalesce(x.isin(*allowed), F.lit(False))
 
 
+class _Read(_Object):
+    """An object whose fields' types and texts read() has put into columns, since each of them is asked for often."""
+
+    def kind(self, key: str) -> Column:
+        return F.col(f"_kind_{key}")
+
+    def there(self, key: str) -> Column:
+        return self.kind(key).isNotNull()
+
+    def text(self, key: str) -> Column:
+        return F.col(f"_text_{key}")
+
+    @staticmethod
+    def read(x: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        o = _Object(F.col("_v"))
+        kinds = x.withColumns({f"_kind_{k}": o.kind(k) for k in keys})
+        return kinds.withColumns({f"_text_{k}": F.when(F.col(f"_kind_{k}") == "STRING", F.try_variant_get("_v", f"$.{k}", "string")) for k in keys})
+
+    @staticmethod
+    def drop(x: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        return x.drop(*[f"_{what}_{k}" for what in ("kind", "text") for k in keys])
+
+
 def parse_object(df: DataFrame, text: str) -> DataFrame:
-    """Adds _v, the object as VARIANT, null for anything else. A code fence around it is taken off."""
-    v = F.try_parse_json(fenced_json(F.col(text)))
-    return df.withColumn("_v", v).withColumn("_v", F.when(F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")), F.col("_v")))
+    """Adds _v, the object as VARIANT, null for anything else. A code fence around it is taken off; what is VARIANT already is not parsed."""
+    if isinstance(df.schema[text].dataType, VariantType):
+        return df.withColumn("_v", F.when(F.startswith(F.schema_of_variant(text), F.lit("OBJECT")), F.col(text)))
+    # JSON that begins with a brace is an object: no need to make a schema of all that it holds
+    return df.withColumn("_v", fenced_json(F.col(text))).withColumn("_v", F.when(F.startswith("_v", F.lit("{")), F.try_parse_json("_v")))
 
 
 def candidates(df: DataFrame, text: str, required: tuple[str, ...] = REQUIRED) -> DataFrame:
-    o = _Object(F.col("_v"))
-    x = parse_object(df, text)
+    asked = tuple(dict.fromkeys((*required, *REQUIRED, "sub_asset_raw", "basis", "conflict", "delta_value", "delta_unit")))
+    o = _Read(F.col("_v"))
+    x = o.read(parse_object(df, text), asked)
     missing = F.array_compact(F.array(*[F.when(~o.there(k), F.lit(k)) for k in required]))
     language = o.text("call_language")
     for old, new in FORMER_LANGUAGE.items():
@@ -127,7 +154,7 @@ def candidates(df: DataFrame, text: str, required: tuple[str, ...] = REQUIRED) -
             (bad_spans, "evidence_quote", about_spans), *[_text_check(o, k) for k in ("locator", "reasoning")], (conflict.isNull(), "conflict", "conflict must be a boolean"),
         ]
     )
-    return _with_errors(x, fields, wrong, first)
+    return o.drop(_with_errors(x, fields, wrong, first), asked)
 
 
 def _with_errors(x: DataFrame, fields: dict, wrong: Column, first: Column) -> DataFrame:
@@ -151,14 +178,11 @@ def verdicts(df: DataFrame, text: str) -> DataFrame:
     return _with_errors(x, fields, wrong, first)
 
 
-def items(df: DataFrame, text: str, field: str, keep: list[str] | None = None) -> DataFrame:
-    """df with item_no and item, the JSON of each element of the list in `field`; null item where there is no such list.
-
-    keep: the columns that each item gets, else all; a long text among them is repeated for each item.
-    """
+def items(df: DataFrame, text: str, field: str) -> DataFrame:
+    """df with item_no and item, the JSON of each element of the list in `field`; null item where there is no such list."""
     x = parse_object(df, text)
     listed = F.try_variant_get("_v", f"$.{field}", "array<variant>")
-    return x.select(*(df.columns if keep is None else keep), F.posexplode_outer(listed).alias("item_no", "_i")).withColumn("item", F.to_json("_i")).drop("_i")
+    return x.select(*df.columns, F.posexplode_outer(listed).alias("item_no", "_i")).withColumn("item", F.to_json("_i")).drop("_i")
 
 
 def whole_responses(checked: DataFrame, response: list[str]) -> DataFrame:
@@ -181,14 +205,28 @@ def last_verdicts(checked: DataFrame, counts: DataFrame, source: str, order: str
 
 def list_response(df: DataFrame, text: str, field: str, who: str = "response") -> DataFrame:
     """Adds summary and envelope_error: what is wrong with a response that must be an object with a list in `field`, or null."""
-    o = _Object(F.col("_v"))
     x = parse_object(df, text)
-    listed = F.coalesce(F.startswith(o.kind(field), F.lit("ARRAY")), F.lit(False))
-    summary = F.when(~o.there("summary"), "").otherwise(o.text("summary"))
-    error = F.when(F.col("_v").isNull(), f"{who} must be a JSON object").when(~listed, f"{who} must include a {field} list").when(summary.isNull(), f"{who} summary must be a string")
+    summary, error = _envelope(F.coalesce(F.startswith(_Object(F.col("_v")).kind(field), F.lit("ARRAY")), F.lit(False)), field, who)
     return x.withColumn("summary", summary).withColumn("envelope_error", error).drop("_v")
 
 
+def _envelope(listed: Column, field: str, who: str) -> tuple[Column, Column]:
+    """(summary, what is wrong) of a parsed response."""
+    o = _Object(F.col("_v"))
+    summary = F.when(~o.there("summary"), "").otherwise(o.text("summary"))
+    return summary, F.when(F.col("_v").isNull(), f"{who} must be a JSON object").when(~listed, f"{who} must include a {field} list").when(summary.isNull(), f"{who} summary must be a string")
+
+
+def list_items(df: DataFrame, text: str, field: str, keep: list[str], who: str = "response") -> DataFrame:
+    """keep, envelope_error, item_no, item: the elements, as VARIANT, of each response's list; one row without them where it is empty or no list.
+
+    The response is parsed once, and its text stays behind: an item has the columns of `keep` only.
+    """
+    x = parse_object(df, text).withColumn("_list", F.try_variant_get("_v", f"$.{field}", "array<variant>"))
+    told = x.withColumn("envelope_error", _envelope(F.col("_list").isNotNull(), field, who)[1])
+    return told.select(*keep, "envelope_error", F.posexplode_outer("_list").alias("item_no", "item"))
+
+
 def group_plan(df: DataFrame, text: str) -> DataFrame:
     """Adds groups (array of source_ids and note), unmatched_notes and error, of a response that groups sources."""
     o = _Object(F.col("_v"))

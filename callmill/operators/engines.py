@@ -204,8 +204,7 @@ def responses_to_candidates(responses: DataFrame, keys: list[str], text: str, pa
     response's text behind, so that what is held and written grows with the texts and not with texts times observations.
     """
     said = responses.select(*keys, (F.col(part) if part else F.lit(0)).alias("_part"), F.col(text).alias("_answer"))
-    opened = contracts.list_response(said, "_answer", "candidates", "LLM response")
-    parted = contracts.items(opened, "_answer", "candidates", keep=[*keys, "_part", "envelope_error"])
+    parted = contracts.list_items(said, "_answer", "candidates", [*keys, "_part"], "LLM response")
     told = parted.where("item is not null or envelope_error is not null").withColumnsRenamed({k: f"_{k}" for k in keys})
     checked = stored(contracts.candidates(told, "item").drop("item").withColumnsRenamed({f"_{k}": f"response_{k}" for k in keys}), "checked")
     marks = [f"response_{k}" for k in keys]
